@@ -112,3 +112,90 @@ def q_restricted_orders(spark, sf_dir):
 def q_hourly_sales(spark, sf_dir):
     s = Star(spark, sf_dir)
     return normalise(views.hourly_sales(s.fact_order()))
+
+
+# -------------------------------------------------------------- medallion
+from . import medallion  # noqa: E402
+from ..functions.variant import json_text  # noqa: E402
+
+BRONZE_DAYS = 3650
+
+
+def _layers(spark, sf_dir):
+    s = Star(spark, sf_dir)
+    bronze = medallion.bronze_events(s.fact_order(since=AS_OF_ORDERS - dt.timedelta(days=BRONZE_DAYS)),
+                                     s.fact_order_item(), s.dim_menu_item(), AS_OF_ORDERS,
+                                     days=BRONZE_DAYS)
+    silver = medallion.silver_orders(bronze)
+    return s, bronze, silver
+
+
+@register("bronze_payload")
+def q_bronze(spark, sf_dir):
+    _, bronze, _ = _layers(spark, sf_dir)
+    return normalise(bronze.withColumn("payload", json_text("payload")))
+
+
+@register("silver_orders")
+def q_silver_orders(spark, sf_dir):
+    _, _, silver = _layers(spark, sf_dir)
+    return normalise(silver.withColumn("order_items", json_text("order_items")))
+
+
+@register("silver_items")
+def q_silver_items(spark, sf_dir):
+    _, _, silver = _layers(spark, sf_dir)
+    return normalise(medallion.silver_order_items(silver))
+
+
+@register("gold_daily")
+def q_gold_daily(spark, sf_dir):
+    s, _, silver = _layers(spark, sf_dir)
+    return normalise(medallion.gold_daily_sales(silver, s.dim_location()))
+
+
+@register("gold_hourly")
+def q_gold_hourly(spark, sf_dir):
+    s, _, silver = _layers(spark, sf_dir)
+    return normalise(medallion.gold_hourly_sales(silver, s.dim_location()))
+
+
+def _gold_items(spark, sf_dir):
+    s, _, silver = _layers(spark, sf_dir)
+    return medallion.gold_item_performance(medallion.silver_order_items(silver), s.dim_location(),
+                                           s.dim_menu_item(), s.dim_category())
+
+
+@register("gold_items")
+def q_gold_items(spark, sf_dir):
+    return normalise(_gold_items(spark, sf_dir))
+
+
+@register("gold_customers")
+def q_gold_customers(spark, sf_dir):
+    s, _, silver = _layers(spark, sf_dir)
+    return normalise(medallion.gold_customer_activity(silver, s.dim_customer()))
+
+
+@register("dash_daily")
+def q_dash_daily(spark, sf_dir):
+    s, _, silver = _layers(spark, sf_dir)
+    return normalise(medallion.dash_daily(medallion.gold_daily_sales(silver, s.dim_location())))
+
+
+@register("dash_hour")
+def q_dash_hour(spark, sf_dir):
+    s, _, silver = _layers(spark, sf_dir)
+    hourly = medallion.gold_hourly_sales(silver, s.dim_location())
+    return normalise(medallion.dash_current_hour_at_latest(hourly, silver))
+
+
+@register("dash_top_items")
+def q_dash_top_items(spark, sf_dir):
+    return normalise(medallion.dash_top_items_at_latest(_gold_items(spark, sf_dir), 10))
+
+
+@register("dash_vip")
+def q_dash_vip(spark, sf_dir):
+    s, _, silver = _layers(spark, sf_dir)
+    return normalise(medallion.dash_vip(medallion.gold_customer_activity(silver, s.dim_customer())))
