@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import timefn
 from ..sources.star import AS_OF_ORDERS, Star
 from . import views
 
@@ -199,3 +200,145 @@ def q_dash_top_items(spark, sf_dir):
 def q_dash_vip(spark, sf_dir):
     s, _, silver = _layers(spark, sf_dir)
     return normalise(medallion.dash_vip(medallion.gold_customer_activity(silver, s.dim_customer())))
+
+
+# ------------------------------------------------------------------- jobs
+from . import change_jobs, jobs  # noqa: E402
+from ..operators import changes  # noqa: E402
+
+MERGE_WINDOW_START = AS_OF_ORDERS - dt.timedelta(days=30)
+TARGET_START = AS_OF_ORDERS - dt.timedelta(days=60)
+TARGET_END = AS_OF_ORDERS - dt.timedelta(days=15)
+SALES_DATE = AS_OF_ORDERS - dt.timedelta(days=1)
+CHANGE_T0 = dt.datetime(2001, 1, 1)
+CHANGE_T1 = dt.datetime(2001, 8, 1, 12, 0)
+INVENTORY_BATCH_START = dt.date(2001, 1, 1)
+INVENTORY_PRIOR_START = dt.date(2000, 1, 1)
+
+
+def _daily_sales_target(s: Star) -> DataFrame:
+    """An existing daily-sales table: an earlier partial load (completed
+    orders only) of [t-60 d, t-15 d) with a weather value filled in."""
+    o = jobs.orders_between(s.fact_order(since=TARGET_START, until=TARGET_END), TARGET_START, TARGET_END)
+    o = o.filter(F.col("order_status") == "COMPLETED")
+    return jobs.daily_sales_source(o, s.fact_order_item(), s.dim_customer()).withColumn(
+        "weather_condition", F.lit("CLEAR"))
+
+
+def _merged_daily_sales(s: Star) -> DataFrame:
+    src_orders = jobs.orders_between(s.fact_order(since=MERGE_WINDOW_START, until=AS_OF_ORDERS),
+                                     MERGE_WINDOW_START, AS_OF_ORDERS)
+    source = jobs.daily_sales_source(src_orders, s.fact_order_item(), s.dim_customer())
+    return jobs.daily_sales_merge(_daily_sales_target(s), source)
+
+
+@register("daily_sales_merge")
+def q_daily_sales_merge(spark, sf_dir):
+    return normalise(_merged_daily_sales(Star(spark, sf_dir)))
+
+
+@register("daily_sales_all_locations")
+def q_daily_sales_all_locations(spark, sf_dir):
+    s = Star(spark, sf_dir)
+    return normalise(jobs.daily_sales_all_locations(
+        s.fact_order(since=SALES_DATE, until=SALES_DATE + dt.timedelta(days=1)), s.dim_location(),
+        _merged_daily_sales(s), SALES_DATE))
+
+
+@register("weekly_wow")
+def q_weekly_wow(spark, sf_dir):
+    s = Star(spark, sf_dir)
+    daily = jobs.daily_sales_source(s.fact_order(), s.fact_order_item(), s.dim_customer())
+    return normalise(jobs.weekly_report(daily, s.dim_location(), AS_OF_ORDERS, 8))
+
+
+@register("retention_logs")
+def q_retention_logs(spark, sf_dir):
+    s = Star(spark, sf_dir)
+    o = s.fact_order()
+    log = jobs.order_log(changes.insert_feed(o)).join(
+        o.select("order_id", F.col("order_timestamp").alias("processed_at")), "order_id")
+    return normalise(jobs.purge_order_log(log, AS_OF_ORDERS, 30))
+
+
+def _alert_table(s: Star) -> DataFrame:
+    """Alert table of every inventory image at or below its reorder point,
+    created at the record date; alerts with 10 or more on hand count as
+    resolved a week later."""
+    alerts = change_jobs.inventory_alerts(changes.insert_feed(s.fact_inventory()), s.dim_ingredient(), None)
+    created = F.col("record_date").cast("timestamp_ntz")
+    resolved = F.col("current_quantity") >= 10
+    return alerts.select(
+        "location_id", "ingredient_id", "ingredient_name", "current_quantity", "reorder_point", "alert_type",
+        F.when(resolved, "RESOLVED").otherwise("OPEN").alias("alert_status"),
+        created.alias("created_at"),
+        F.when(resolved, created + F.expr("INTERVAL 7 DAYS")).alias("resolved_at"))
+
+
+@register("retention_alerts")
+def q_retention_alerts(spark, sf_dir):
+    return normalise(jobs.purge_alerts(_alert_table(Star(spark, sf_dir)), AS_OF_ORDERS, 90))
+
+
+def _customer_changes(s: Star) -> DataFrame:
+    return changes.snapshot_diff(s.dim_customer("before"), s.dim_customer("after"), ["customer_id"])
+
+
+@register("change_feed")
+def q_change_feed(spark, sf_dir):
+    return normalise(_customer_changes(Star(spark, sf_dir)))
+
+
+@register("customer_history")
+def q_customer_history(spark, sf_dir):
+    return normalise(change_jobs.customer_history(_customer_changes(Star(spark, sf_dir))))
+
+
+@register("as_of_snapshot")
+def q_as_of_snapshot(spark, sf_dir):
+    """Replay: the before snapshot loaded at T0, the diff applied at T1; the
+    table as of T1 must equal the after snapshot."""
+    s = Star(spark, sf_dir)
+    initial = changes.insert_feed(s.dim_customer("before")).withColumn("_changed_at", timefn.ts_lit(CHANGE_T0))
+    diff = _customer_changes(s).drop(changes.ROW_ID).withColumn("_changed_at", timefn.ts_lit(CHANGE_T1))
+    history = initial.unionByName(diff)
+    return normalise(changes.as_of(history, ["customer_id"], "_changed_at", timefn.ts_lit(CHANGE_T1)))
+
+
+@register("inventory_alerts")
+def q_inventory_alerts(spark, sf_dir):
+    s = Star(spark, sf_dir)
+    prior = s.fact_inventory(since=INVENTORY_PRIOR_START).filter(
+        F.col("record_date") < timefn.date_lit(INVENTORY_BATCH_START))
+    open_alerts = change_jobs.inventory_alerts(changes.insert_feed(prior), s.dim_ingredient(), None)
+    batch = changes.insert_feed(s.fact_inventory(since=INVENTORY_BATCH_START))
+    return normalise(change_jobs.inventory_alerts(batch, s.dim_ingredient(), open_alerts).drop("record_date"))
+
+
+@register("sentiment_labels")
+def q_sentiment_labels(spark, sf_dir):
+    return normalise(change_jobs.sentiment_labels(Star(spark, sf_dir).fact_review()))
+
+
+def _loyalty(s: Star) -> DataFrame:
+    since = AS_OF_ORDERS - dt.timedelta(days=30)
+    batch = s.fact_order(since=since).select("customer_id", F.col("total_amount").alias("order_total"))
+    return jobs.loyalty_update(s.dim_customer(), batch)
+
+
+@register("loyalty_batch")
+def q_loyalty_batch(spark, sf_dir):
+    return normalise(_loyalty(Star(spark, sf_dir)))
+
+
+@register("keyed_update")
+def q_keyed_update(spark, sf_dir):
+    s = Star(spark, sf_dir)
+    return normalise(jobs.apply_loyalty(s.dim_customer(), _loyalty(s)))
+
+
+@register("promotion_offers")
+def q_promotion_offers(spark, sf_dir):
+    s = Star(spark, sf_dir)
+    return normalise(jobs.promotion_offers(spark, s.dim_customer(), s.fact_order(), AS_OF_ORDERS,
+                                           AS_OF_ORDERS + dt.timedelta(days=30), 20, AS_OF_ORDERS))
