@@ -342,3 +342,38 @@ def q_promotion_offers(spark, sf_dir):
     s = Star(spark, sf_dir)
     return normalise(jobs.promotion_offers(spark, s.dim_customer(), s.fact_order(), AS_OF_ORDERS,
                                            AS_OF_ORDERS + dt.timedelta(days=30), 20, AS_OF_ORDERS))
+
+
+# -------------------------------------------------------------- analytics
+from . import analytics, quality  # noqa: E402
+
+ANOMALY_LOOKBACK_DAYS = 3650
+RECOMMEND_FOR_CUSTOMER = 5
+
+
+@register("rfm_segments")
+def q_rfm_segments(spark, sf_dir):
+    s = Star(spark, sf_dir)
+    return normalise(analytics.rfm_segments(s.dim_customer(), s.fact_order(), AS_OF_ORDERS))
+
+
+@register("sales_anomalies")
+def q_sales_anomalies(spark, sf_dir):
+    s = Star(spark, sf_dir)
+    daily = jobs.daily_sales_source(s.fact_order(), s.fact_order_item(), s.dim_customer())
+    return normalise(analytics.sales_anomalies(daily, s.dim_location(), AS_OF_ORDERS,
+                                               ANOMALY_LOOKBACK_DAYS, 2.0))
+
+
+@register("recommendations")
+def q_recommendations(spark, sf_dir):
+    s = Star(spark, sf_dir)
+    return normalise(analytics.recommend_items(s.fact_order(), s.fact_order_item(), s.dim_menu_item(),
+                                               s.dim_category(), s.fact_review(), RECOMMEND_FOR_CUSTOMER, 5))
+
+
+@register("dq_checks")
+def q_dq_checks(spark, sf_dir):
+    s = Star(spark, sf_dir)
+    return normalise(quality.run_quality_checks(s.fact_order(), s.fact_order_item(), s.fact_review(),
+                                                s.dim_customer()))
