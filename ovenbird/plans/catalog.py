@@ -377,3 +377,41 @@ def q_dq_checks(spark, sf_dir):
     s = Star(spark, sf_dir)
     return normalise(quality.run_quality_checks(s.fact_order(), s.fact_order_item(), s.fact_review(),
                                                 s.dim_customer()))
+
+
+# --------------------------------------------------------------- messages
+from . import messages  # noqa: E402
+
+
+def _json_inputs(spark, sf_dir) -> DataFrame:
+    """Order JSON texts to validate: every bronze payload plus the event
+    property texts (objects without order fields)."""
+    s, bronze, _ = _layers(spark, sf_dir)
+    payloads = bronze.select(F.lit("bronze").alias("source"),
+                             F.variant_get("payload", "$.order_id", "bigint").alias("record_id"),
+                             json_text("payload").alias("order_json"))
+    props = s.raw("events").select(F.lit("events").alias("source"), F.col("event_id").alias("record_id"),
+                                   F.col("props").alias("order_json"))
+    return payloads.unionByName(props)
+
+
+@register("order_json_validation")
+def q_order_json_validation(spark, sf_dir):
+    v = messages.validate_orders(_json_inputs(spark, sf_dir), "order_json")
+    return normalise(v.select("source", "record_id", "is_valid",
+                              F.array_join("errors", " | ").alias("errors"),
+                              F.size("errors").cast("bigint").alias("error_count"),
+                              "parsed_order", "subtotal", "tax", "total"))
+
+
+@register("email_content")
+def q_email_content(spark, sf_dir):
+    s = Star(spark, sf_dir)
+    cust = s.dim_customer()
+    requests = messages.all_customer_requests(cust, messages.EMAIL_TYPES + ["BIRTHDAY"])
+    return normalise(messages.email_content(cust, s.fact_order(), requests))
+
+
+@register("staged_orders")
+def q_staged_orders(spark, sf_dir):
+    return normalise(messages.staged_online_orders(Star(spark, sf_dir).dim_customer()))
