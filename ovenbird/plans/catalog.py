@@ -415,3 +415,89 @@ def q_email_content(spark, sf_dir):
 @register("staged_orders")
 def q_staged_orders(spark, sf_dir):
     return normalise(messages.staged_online_orders(Star(spark, sf_dir).dim_customer()))
+
+
+# ----------------------------------------------------- sources and audit
+import uuid  # noqa: E402
+
+from ..session import work_dir  # noqa: E402
+from ..sources import external, schemas  # noqa: E402
+from ..functions.variant import object_of  # noqa: E402
+
+
+@register("customer_360")
+def q_customer_360(spark, sf_dir):
+    s = Star(spark, sf_dir)
+    seg = analytics.rfm_segments(s.dim_customer(), s.fact_order(), AS_OF_ORDERS)
+    return normalise(analytics.customer_360(s.dim_customer(), s.fact_order(), s.fact_order_item(),
+                                            s.dim_menu_item(), s.fact_review(), seg, AS_OF_ORDERS))
+
+
+def append_audit(events: DataFrame) -> DataFrame:
+    """Audit rows for a batch of (event_type, table_name, record_id, details):
+    stamped with the run time, the user and the application id."""
+    spark = events.sparkSession
+    return events.select(
+        F.current_timestamp().cast("timestamp_ntz").alias("event_timestamp"), "event_type", "table_name",
+        "record_id", F.expr("current_user()").alias("user_name"),
+        F.lit(spark.sparkContext.applicationId).alias("session_id"), "details")
+
+
+@register("audit_batch")
+def q_audit_batch(spark, sf_dir):
+    """Audit events of the loyalty batch; run-context columns are left out of
+    the compared result."""
+    s = Star(spark, sf_dir)
+    upd = _loyalty(s)
+    ev = upd.select(F.lit("LOYALTY_UPDATE").alias("event_type"), F.lit("DIM_CUSTOMER").alias("table_name"),
+                    F.col("customer_id").alias("record_id"),
+                    json_text(object_of(points_before=F.col("points_before"), points_earned=F.col("points_earned"),
+                                        points_after=F.col("points_after"), loyalty_tier=F.col("loyalty_tier")))
+                    .alias("details"))
+    return normalise(append_audit(ev).select("event_type", "table_name", "record_id", "details"))
+
+
+def _stage_base(spark) -> str:
+    return work_dir(spark, f"stage-{uuid.uuid4().hex}")
+
+
+@register("partner_a_scan")
+def q_partner_a_scan(spark, sf_dir):
+    """Land partner A files (delivery orders) in the stage and scan them
+    through the typed external-table projection."""
+    s = Star(spark, sf_dir)
+    o = s.fact_order().filter(F.col("order_type") == "DELIVERY")
+    c = s.dim_customer().select("customer_id", F.concat("first_name", F.lit(" "), "last_name").alias("customer_name"))
+    rows = o.join(c, "customer_id", "left").select(
+        F.concat(F.lit("DD-"), F.col("order_id").cast("string")).alias("order_id"),
+        F.concat(F.lit("LOC-"), F.col("location_id").cast("string")).alias("restaurant_id"),
+        "customer_name", F.col("total_amount").alias("order_total"),
+        (F.lit(2.99).cast("decimal(8,2)") + (F.col("order_id") % 3).cast("decimal(8,2)")).cast("decimal(8,2)")
+        .alias("delivery_fee"),
+        F.col("tip_amount").cast("decimal(8,2)").alias("tip_amount"),
+        F.col("order_timestamp").alias("order_placed_at"),
+        (F.col("actual_ready_time") + F.expr("INTERVAL 25 MINUTES")).alias("delivered_at"),
+        (F.col("order_id") % 5 + 1).cast("int").alias("driver_rating"))
+    path = external.stage_path(_stage_base(spark), "doordash")
+    external.land_objects(rows, path)
+    return normalise(external.external_scan(spark, path, schemas.PARTNER_A))
+
+
+@register("partner_b_scan")
+def q_partner_b_scan(spark, sf_dir):
+    s = Star(spark, sf_dir)
+    o = s.fact_order().filter(F.col("order_type") == "PICKUP")
+    lines = s.fact_order_item().join(s.dim_menu_item().select("item_id", F.col("item_name").alias("name")), "item_id")
+    arr = lines.groupBy("order_id").agg(F.array_sort(F.collect_list(F.struct("item_id", "name", "quantity"))).alias("items"))
+    rows = o.join(arr, "order_id", "left").select(
+        F.concat(F.lit("UE-"), F.col("order_id").cast("string")).alias("uber_order_id"),
+        F.concat(F.lit("M"), F.col("location_id").cast("string")).alias("merchant_id"),
+        "items", F.col("subtotal"),
+        F.round(F.col("subtotal") * F.lit(0.05).cast("decimal(3,2)"), 2).cast("decimal(8,2)").alias("service_fee"),
+        F.lit(0).cast("decimal(8,2)").alias("delivery_fee"),
+        F.col("order_timestamp").alias("created_at"))
+    path = external.stage_path(_stage_base(spark), "ubereats")
+    external.land_objects(rows, path)
+    scan = external.external_scan(spark, path, schemas.PARTNER_B)
+    return normalise(scan.withColumn("item_count", F.size(F.try_variant_get("items", "$", "array<variant>")))
+                     .withColumn("items", json_text("items")))
