@@ -418,6 +418,7 @@ def q_staged_orders(spark, sf_dir):
 
 
 # ----------------------------------------------------- sources and audit
+import os  # noqa: E402
 import uuid  # noqa: E402
 
 from ..session import work_dir  # noqa: E402
@@ -501,3 +502,37 @@ def q_partner_b_scan(spark, sf_dir):
     scan = external.external_scan(spark, path, schemas.PARTNER_B)
     return normalise(scan.withColumn("item_count", F.size(F.try_variant_get("items", "$", "array<variant>")))
                      .withColumn("items", json_text("items")))
+
+
+# -------------------------------------------------------------- streaming
+from ..streaming import feeds  # noqa: E402
+
+FEED_SPLIT = dt.datetime(2001, 1, 1)
+
+
+def _order_feed(spark, sf_dir) -> feeds.AppendFeed:
+    """Orders land in two drops; the feed is created after the first drop
+    (its rows are skipped) and consumes the second."""
+    s = Star(spark, sf_dir)
+    base = work_dir(spark, f"feed-{uuid.uuid4().hex}")
+    landing = os.path.join(base, "landing")
+    orders = s.fact_order()
+    feeds.land(orders.filter(F.col("order_timestamp") < timefn.ts_lit(FEED_SPLIT)), landing)
+    feed = feeds.AppendFeed(spark, landing, os.path.join(base, "state"), orders.schema)
+    feed.prime()
+    feeds.land(orders.filter(F.col("order_timestamp") >= timefn.ts_lit(FEED_SPLIT)), landing)
+    return feed
+
+
+@register("append_feed")
+def q_append_feed(spark, sf_dir):
+    feed = _order_feed(spark, sf_dir)
+    feed.consume()
+    return normalise(feed.consumed())
+
+
+@register("order_log")
+def q_order_log(spark, sf_dir):
+    feed = _order_feed(spark, sf_dir)
+    feed.consume(jobs.order_log)
+    return normalise(feed.consumed())
