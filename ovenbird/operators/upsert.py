@@ -21,11 +21,10 @@ def assert_unique(df: DataFrame, keys: Sequence[str], what: str = "source") -> D
     partitioning the following keyed join needs, so it costs no extra shuffle.
     """
     n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
-    return (df.withColumn("__n", n)
-            .withColumn("__n", F.when(F.col("__n") > 1,
-                                      F.raise_error(F.lit(f"duplicate key in {what}: ambiguous match")))
-                        .otherwise(F.col("__n")))
-            .drop("__n"))
+    ok = F.when(F.col("__n") > 1, F.raise_error(F.lit(f"duplicate key in {what}: ambiguous match"))) \
+        .otherwise(F.lit(True))
+    # A filter (not a dropped column) so the check cannot be pruned away.
+    return df.withColumn("__n", n).filter(ok.cast("boolean")).drop("__n")
 
 
 def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],

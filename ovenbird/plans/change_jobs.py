@@ -48,7 +48,7 @@ def inventory_alerts(changes: DataFrame, ingredients: DataFrame, open_alerts: Da
         "location_id", "ingredient_id", "ingredient_name",
         q.alias("current_quantity"), rp.alias("reorder_point"),
         F.when(q == 0, "OUT_OF_STOCK").when(q <= rp * 0.5, "CRITICAL").otherwise("LOW_STOCK").alias("alert_type"),
-        F.lit("OPEN").alias("alert_status"), "record_date")
+        F.lit("OPEN").alias("alert_status"), *[c for c in ("record_date",) if c in changes.columns])
 
 
 HISTORY_FIELDS = ["first_name", "last_name", "email", "phone", "address", "loyalty_points"]

@@ -1,4 +1,5 @@
 import datetime as dt
+from decimal import Decimal
 
 from ovenbird.plans import messages
 
@@ -44,7 +45,7 @@ def test_script_edge_cases(spark):
 def test_email_templates(spark):
     cust = spark.createDataFrame([(1, "Ann", "Lee", "a@x", 420), (2, "Bo", "Ng", "b@x", 700)],
                                  "customer_id bigint, first_name string, last_name string, email string, loyalty_points int")
-    orders = spark.createDataFrame([(1, 10.5)], "customer_id bigint, total_amount decimal(10,2)")
+    orders = spark.createDataFrame([(1, Decimal("10.50"))], "customer_id bigint, total_amount decimal(10,2)")
     req = spark.createDataFrame([(1, "LOYALTY_UPDATE"), (2, "LOYALTY_UPDATE"), (1, "BOGUS"), (9, "WELCOME")],
                                 "customer_id bigint, email_type string")
     out = {(r.customer_id, r.email_type): r for r in messages.email_content(cust, orders, req).collect()}
