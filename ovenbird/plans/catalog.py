@@ -187,13 +187,14 @@ def q_dash_daily(spark, sf_dir):
 @register("dash_hour")
 def q_dash_hour(spark, sf_dir):
     s, _, silver = _layers(spark, sf_dir)
-    hourly = medallion.gold_hourly_sales(silver, s.dim_location())
-    return normalise(medallion.dash_current_hour_at_latest(hourly, silver))
+    return normalise(medallion.dash_current_hour_at_latest(silver, s.dim_location()))
 
 
 @register("dash_top_items")
 def q_dash_top_items(spark, sf_dir):
-    return normalise(medallion.dash_top_items_at_latest(_gold_items(spark, sf_dir), 10))
+    s, _, silver = _layers(spark, sf_dir)
+    return normalise(medallion.dash_top_items_at_latest(medallion.silver_order_items(silver), s.dim_location(),
+                                                        s.dim_menu_item(), s.dim_category(), 10))
 
 
 @register("dash_vip")

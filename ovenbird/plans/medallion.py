@@ -241,9 +241,17 @@ def dash_current_hour(gold_hourly: DataFrame, now) -> DataFrame:
                     "period_type").orderBy(F.desc("revenue"))
 
 
-def dash_current_hour_at_latest(gold_hourly: DataFrame, silver: DataFrame) -> DataFrame:
-    g = attach_constants(gold_hourly, latest(silver.filter(F.col("is_valid_order")), "event_timestamp"))
-    return dash_current_hour(g, F.col("now"))
+def dash_current_hour_at_latest(silver: DataFrame, locations: DataFrame) -> DataFrame:
+    """Current-hour board at the data's latest event time.  The (date, hour)
+    key is fixed before aggregating, so only that hour's orders are read and
+    grouped — the same rows the hourly gold table holds for that key."""
+    valid = silver.filter(F.col("is_valid_order"))
+    now = latest(valid, "event_timestamp").select(
+        F.to_date("now").alias("order_date"), F.hour("now").alias("order_hour"))
+    hour_rows = valid.join(F.broadcast(now), ["order_date", "order_hour"], "left_semi")
+    g = gold_hourly_sales(hour_rows, locations)
+    return g.select("location_name", "orders", F.round("revenue", 2).alias("revenue"),
+                    "period_type").orderBy(F.desc("revenue"))
 
 
 def dash_top_items(gold_items: DataFrame, day_col, n: int = 10) -> DataFrame:
@@ -255,9 +263,15 @@ def dash_top_items(gold_items: DataFrame, day_col, n: int = 10) -> DataFrame:
     return agg.orderBy(F.desc("total_sold"), F.desc("revenue"), "item_name", "category_name").limit(n)
 
 
-def dash_top_items_at_latest(gold_items: DataFrame, n: int = 10) -> DataFrame:
-    g = attach_constants(gold_items, gold_items.agg(F.max("order_date").alias("today")))
-    return dash_top_items(g, F.col("today"), n)
+def dash_top_items_at_latest(silver_items: DataFrame, locations: DataFrame, menu: DataFrame,
+                             categories: DataFrame, n: int = 10) -> DataFrame:
+    """Top items of the latest order date.  The date is fixed before the item
+    aggregation (one-row broadcast semi join), so only that day's lines are
+    grouped — the same rows the item gold table holds for that date."""
+    today = silver_items.agg(F.max("order_date").alias("order_date"))
+    day_items = silver_items.join(F.broadcast(today), "order_date", "left_semi")
+    g = gold_item_performance(day_items, locations, menu, categories)
+    return dash_top_items(g, F.col("order_date"), n)
 
 
 def dash_vip(gold_customers: DataFrame) -> DataFrame:

@@ -27,10 +27,10 @@ def vtype(x: Column) -> Column:
     return F.schema_of_variant(x)
 
 
-def truthy(x: Column) -> Column:
-    """Script truthiness of a variant value: absent, null, false, 0, NaN and
-    "" are false; everything else (objects and arrays included) is true."""
-    t = vtype(x)
+def truthy_typed(t: Column, x: Column) -> Column:
+    """Script truthiness of a variant value ``x`` whose type name is ``t``:
+    absent, null, false, 0, NaN and "" are false; everything else (objects
+    and arrays included) is true."""
     return (F.when(x.isNull() | F.is_variant_null(x), False)
             .when(t == "BOOLEAN", F.variant_get(x, "$", "boolean"))
             .when(t == "STRING", F.length(F.variant_get(x, "$", "string")) > 0)
@@ -38,6 +38,10 @@ def truthy(x: Column) -> Column:
             .otherwise(F.coalesce(F.try_variant_get(x, "$", "double") != 0, F.lit(False))))
 
 
+def truthy(x: Column) -> Column:
+    return truthy_typed(vtype(x), x)
+
+
 def present(x: Column) -> Column:
     """``hasOwnProperty(f) && value !== null``: present and not JSON null."""
     return x.isNotNull() & ~F.is_variant_null(x)
@@ -56,20 +60,30 @@ def _non_null(arr: Column) -> Column:
     return F.filter(arr, lambda e: e.isNotNull())
 
 
-def _item_errors(it: Column, i: Column) -> Column:
-    item_id = F.variant_get(it, "$.item_id", "variant")
+def _item_info(it: Column) -> Column:
+    """Per array element, the fields the rules read, each typed once (lambda
+    bodies are not code-generated, so repeated sub-expressions would be
+    evaluated again)."""
+    fid = F.variant_get(it, "$.item_id", "variant")
     qty = F.variant_get(it, "$.quantity", "variant")
+    price = F.variant_get(it, "$.price", "variant")
+    return F.struct(F.is_variant_null(it).alias("nul"),
+                    fid.alias("vid"), vtype(fid).alias("tid"),
+                    qty.alias("vq"), vtype(qty).alias("tq"),
+                    price.alias("vp"), vtype(price).alias("tp"))
+
+
+def _item_errors(info: Column, i: Column) -> Column:
     pos = (i + 1).cast("string")
     return _non_null(F.array(
-        F.when(~truthy(item_id), F.concat(F.lit("Item "), pos, F.lit(" missing item_id"))),
-        F.when(~truthy(qty) | F.coalesce(as_number(qty) <= 0, F.lit(False)),
+        F.when(~truthy_typed(info["tid"], info["vid"]), F.concat(F.lit("Item "), pos, F.lit(" missing item_id"))),
+        F.when(~truthy_typed(info["tq"], info["vq"]) | F.coalesce(as_number(info["vq"]) <= 0, F.lit(False)),
                F.concat(F.lit("Item "), pos, F.lit(" has invalid quantity")))))
 
 
-def _price_times_qty(acc: Column, it: Column) -> Column:
-    price = F.variant_get(it, "$.price", "variant")
-    p = F.when(truthy(price), as_number(price)).otherwise(F.lit(0.0))
-    return acc + p * as_number(F.variant_get(it, "$.quantity", "variant"))
+def _price_times_qty(acc: Column, info: Column) -> Column:
+    p = F.when(truthy_typed(info["tp"], info["vp"]), as_number(info["vp"])).otherwise(F.lit(0.0))
+    return acc + p * as_number(info["vq"])
 
 
 def validate_orders(df: DataFrame, json_col: str) -> DataFrame:
@@ -101,16 +115,18 @@ def validate_orders(df: DataFrame, json_col: str) -> DataFrame:
         field("order_type").alias("__ot"),
         field("delivery_address").alias("__addr"))
     arr, ot = F.col("__arr"), F.col("__ot")
+    s2 = s2.withColumn("__info", F.transform(arr, _item_info))
+    info = F.col("__info")
     # A JSON null element makes the item loop throw: errors of earlier items
     # stay, then the parse error ends validation.
-    first_null = F.coalesce(F.array_position(F.transform(arr, lambda it: F.is_variant_null(it)), True), F.lit(0))
+    first_null = F.coalesce(F.array_position(F.transform(info, lambda x: x["nul"]), True), F.lit(0))
     s3 = s2.select(
         "*", first_null.alias("__first_null"),
         F.when(vtype(ot) == "STRING", F.variant_get(ot, "$", "string")).alias("__ot_str"),
         truthy(ot).alias("__ot_truthy"), truthy(F.col("__addr")).alias("__addr_truthy"))
     fn, ot_str = F.col("__first_null"), F.col("__ot_str")
     n_checked = F.when(fn > 0, fn - 1).otherwise(F.size(arr))
-    item_errors = F.flatten(F.transform(F.filter(arr, lambda it, i: i < n_checked), _item_errors))
+    item_errors = F.flatten(F.transform(F.filter(info, lambda it, i: i < n_checked), _item_errors))
     is_arr = arr.isNotNull()
     tail = _non_null(F.array(
         F.when(F.col("__ot_truthy") & ~F.coalesce(ot_str.isin(*VALID_ORDER_TYPES), F.lit(False)),
@@ -133,7 +149,7 @@ def validate_orders(df: DataFrame, json_col: str) -> DataFrame:
               .otherwise(b))
     s6 = s5.select("*", errors.alias("errors")).withColumn("is_valid", F.size("errors") == 0)
     valid = F.col("is_valid")
-    s7 = s6.select("*", F.when(valid, F.aggregate(arr, F.lit(0.0), _price_times_qty)).alias("subtotal"))
+    s7 = s6.select("*", F.when(valid, F.aggregate(info, F.lit(0.0), _price_times_qty)).alias("subtotal"))
     sub = F.col("subtotal")
     s8 = s7.select("*", _js_round2(sub * TAX_RATE).alias("tax"))
     return s8.select(*keep, "is_valid", "errors",
