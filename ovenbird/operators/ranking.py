@@ -88,3 +88,17 @@ def quantile_edges(ranked: DataFrame, value_col: str, rank_col: str, n_col: str,
         aggs += [lo.alias(f"v_lo_{q}"), F.coalesce(hi, lo).alias(f"v_hi_{q}"),
                  F.max(F.when(F.col("k") == q, F.col("m"))).alias(f"m_{q}")]
     return hit.agg(*aggs)
+
+
+def surrogate_ids(new_rows: DataFrame, order: Sequence[Column | str], id_col: str,
+                  existing: DataFrame | None = None) -> DataFrame:
+    """AUTOINCREMENT-style dense ids: ``max(existing id) + row_number()`` over
+    ``order`` (which must end in a unique key), without a one-partition
+    window — the row number is the distributed global rank."""
+    ranked = global_rank(new_rows, order, "__rank", None)
+    if existing is None:
+        return ranked.withColumn(id_col, F.col("__rank")).drop("__rank")
+    from .joins import attach_constants
+    start = existing.agg(F.coalesce(F.max(id_col), F.lit(0)).alias("__start"))
+    return (attach_constants(ranked, start).withColumn(id_col, F.col("__start") + F.col("__rank"))
+            .drop("__rank", "__start"))

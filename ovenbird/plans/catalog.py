@@ -536,4 +536,5 @@ def q_append_feed(spark, sf_dir):
 def q_order_log(spark, sf_dir):
     feed = _order_feed(spark, sf_dir)
     feed.consume(jobs.order_log)
-    return normalise(feed.consumed())
+    from ..operators.ranking import surrogate_ids
+    return normalise(surrogate_ids(feed.consumed(), ["order_id"], "log_id"))

@@ -169,7 +169,7 @@ class Star:
         p = self.raw("part")
         cat = self.dim_category().select("category_id", F.col("category_name").alias("p_type"))
         price = F.col("p_retailprice").cast(dec(8, 2))
-        return p.join(F.broadcast(cat), "p_type").select(
+        return p.join(cat, "p_type").select(
             F.col("p_partkey").alias("item_id"),
             F.col("category_id"),
             F.col("p_name").alias("item_name"),
@@ -198,7 +198,7 @@ class Star:
         elif variant == "after":
             c = c.filter(key % 10 != 1)
             acct = F.when(key % 10 == 2, acct + 1).otherwise(acct)
-        c = c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey, "left")
+        c = c.join(n, c.c_nationkey == n.n_nationkey, "left")
         parts = F.split(F.col("c_name"), "#")
         return c.select(
             key.alias("customer_id"),

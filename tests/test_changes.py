@@ -76,3 +76,22 @@ def test_keyed_update_sets_null_too(spark):
     t = spark.createDataFrame([(1, 5), (2, 6)], "id bigint, pts int")
     ch = spark.createDataFrame([(2, None)], "id bigint, pts int")
     assert sorted(map(tuple, keyed_update(t, ch, ["id"], ["pts"]).collect())) == [(1, 5), (2, None)]
+
+
+def test_surrogate_ids_continue_after_existing(spark):
+    from ovenbird.operators.ranking import surrogate_ids
+    existing = spark.createDataFrame([(1,), (7,)], "log_id bigint")
+    new = spark.createDataFrame([(30,), (10,), (20,)], "order_id bigint")
+    out = sorted((r.order_id, r.log_id) for r in surrogate_ids(new, ["order_id"], "log_id", existing).collect())
+    assert out == [(10, 8), (20, 9), (30, 10)]
+
+
+def test_versioned_table_swap(spark, scratch):
+    from ovenbird.sources import tables
+    t1 = spark.createDataFrame([(1,)], "a int")
+    tables.write_version(spark, scratch, "t", t1)
+    cur = tables.read_current(spark, scratch, "t")
+    tables.write_version(spark, scratch, "t", cur.union(spark.createDataFrame([(2,)], "a int")))
+    assert sorted(r.a for r in tables.read_current(spark, scratch, "t").collect()) == [1, 2]
+    d = tables.apply_defaults(t1, {"flag": F.lit(False), "a": F.lit(99)})
+    assert d.first().a == 1 and d.first().flag is False
