@@ -125,7 +125,7 @@ BRONZE_DAYS = 3650
 def _layers(spark, sf_dir):
     s = Star(spark, sf_dir)
     bronze = medallion.bronze_events(s.fact_order(since=AS_OF_ORDERS - dt.timedelta(days=BRONZE_DAYS)),
-                                     s.fact_order_item(), s.dim_menu_item(), AS_OF_ORDERS,
+                                     s.fact_order_item(), s.dim_menu_item(with_category=False), AS_OF_ORDERS,
                                      days=BRONZE_DAYS)
     silver = medallion.silver_orders(bronze)
     return s, bronze, silver

@@ -18,6 +18,9 @@ BASE_CONF = {
     "spark.sql.ansi.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Python-side call-site capture costs several JVM round trips per column
+    # function; plans are built from hundreds of them.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -37,6 +40,12 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
+def apply_runtime_conf(spark: SparkSession) -> None:
+    """Apply the settings that can change on a running session (static ones,
+    such as the debugging switch, only take effect in ``build_session``)."""
+    spark.conf.set("spark.sql.session.timeZone", BASE_CONF["spark.sql.session.timeZone"])
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 

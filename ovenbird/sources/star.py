@@ -26,6 +26,24 @@ REORDER_POINT = Decimal("25.00")
 N_LOCATIONS = 25
 
 
+# Declared schemas of the driver's input tables.
+RAW_SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": ("o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+               "o_orderdate timestamp_ntz, o_orderpriority string"),
+    "lineitem": ("l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                 "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+                 "l_linestatus string, l_shipdate timestamp_ntz"),
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "labels": "doc_id bigint, quality int, toxic int",
+}
+
+
 def _case(col: Column, mapping: dict, default=None) -> Column:
     expr = None
     for key, value in mapping.items():
@@ -48,7 +66,12 @@ class Star:
         self.sf_dir = sf_dir.rstrip("/")
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        """Typed scan: the declared schema is given to the reader, so no file
+        footer is read on the driver to infer it (thousands of files at scale)."""
+        reader = self.spark.read
+        if name in RAW_SCHEMAS:
+            reader = reader.schema(RAW_SCHEMAS[name])
+        return reader.parquet(f"{self.sf_dir}/{name}.parquet")
 
     # ------------------------------------------------------------------ facts
     def fact_order(self, since=None, until=None) -> DataFrame:
@@ -165,10 +188,18 @@ class Star:
             F.row_number().over(w).alias("display_order"),
         )
 
-    def dim_menu_item(self) -> DataFrame:
+    def dim_menu_item(self, with_category: bool = True) -> DataFrame:
+        """DIM_MENU_ITEM.  Every part has a type, so the category join never
+        drops an item; ``with_category=False`` skips it for callers that only
+        read names and prices."""
         p = self.raw("part")
-        cat = self.dim_category().select("category_id", F.col("category_name").alias("p_type"))
         price = F.col("p_retailprice").cast(dec(8, 2))
+        if not with_category:
+            return p.select(
+                F.col("p_partkey").alias("item_id"), F.col("p_name").alias("item_name"), price.alias("base_price"),
+                F.round(price * F.lit(COST_SHARE), 2).cast(dec(8, 2)).alias("cost_to_make"),
+                (F.col("p_size") % 7 != 0).alias("is_available"))
+        cat = self.dim_category().select("category_id", F.col("category_name").alias("p_type"))
         return p.join(cat, "p_type").select(
             F.col("p_partkey").alias("item_id"),
             F.col("category_id"),
