@@ -24,13 +24,35 @@ BASE_CONF = {
 }
 
 
+# Settings for the large-cluster deployment (about 100 TB of facts on ~1000
+# executors).  Shuffle partitions start high and AQE coalesces them to the
+# advisory size; skewed partitions are split; scans read 256 MB splits; a
+# join side is broadcast only when its measured size is under 64 MB.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.parquet.filterPushdown": "true",
+    "spark.sql.optimizer.dynamicPartitionPruning.enabled": "true",
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "128",
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+}
+
+
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
-                  app_name: str = "ovenbird") -> SparkSession:
-    """Create (or reuse) a session with the engine's settings applied."""
+                  app_name: str = "ovenbird", cluster: bool = False) -> SparkSession:
+    """Create (or reuse) a session with the engine's settings applied
+    (``cluster=True`` adds ``CLUSTER_CONF``)."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in BASE_CONF.items():
+    for key, value in {**BASE_CONF, **(CLUSTER_CONF if cluster else {})}.items():
         builder = builder.config(key, value)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
