@@ -64,14 +64,18 @@ class Star:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self._raw: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
         """Typed scan: the declared schema is given to the reader, so no file
-        footer is read on the driver to infer it (thousands of files at scale)."""
-        reader = self.spark.read
-        if name in RAW_SCHEMAS:
-            reader = reader.schema(RAW_SCHEMAS[name])
-        return reader.parquet(f"{self.sf_dir}/{name}.parquet")
+        footer is read on the driver to infer it (thousands of files at scale).
+        One relation per table and instance (lazy; nothing is cached)."""
+        if name not in self._raw:
+            reader = self.spark.read
+            if name in RAW_SCHEMAS:
+                reader = reader.schema(RAW_SCHEMAS[name])
+            self._raw[name] = reader.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._raw[name]
 
     # ------------------------------------------------------------------ facts
     def fact_order(self, since=None, until=None) -> DataFrame:
