@@ -501,7 +501,8 @@ def q_partner_b_scan(spark, sf_dir):
     path = external.stage_path(_stage_base(spark), "ubereats")
     external.land_objects(rows, path)
     scan = external.external_scan(spark, path, schemas.PARTNER_B)
-    return normalise(scan.withColumn("item_count", F.size(F.try_variant_get("items", "$", "array<variant>")))
+    arr = F.try_variant_get("items", "$", "array<variant>")
+    return normalise(scan.withColumn("item_count", F.when(arr.isNotNull(), F.size(arr)))
                      .withColumn("items", json_text("items")))
 
 

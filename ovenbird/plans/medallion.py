@@ -102,7 +102,7 @@ def silver_orders(bronze: DataFrame) -> DataFrame:
         total.alias("total_amount"),
         get("payment_method", "string").alias("payment_method"),
         get("items", "variant").alias("order_items"),
-        F.size(items).alias("item_count"),
+        F.when(items.isNotNull(), F.size(items)).alias("item_count"),
         timefn.to_day("event_timestamp").alias("order_date"),
         F.hour("event_timestamp").alias("order_hour"),
         timefn.day_name("event_timestamp").alias("day_of_week"),

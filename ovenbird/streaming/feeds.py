@@ -14,7 +14,6 @@ import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..operators.changes import insert_feed
 
@@ -74,8 +73,3 @@ class AppendFeed:
 def land(df: DataFrame, landing_dir: str) -> None:
     """Append rows to a landing folder as new files."""
     df.write.mode("append").parquet(landing_dir)
-
-
-def stream_order_log(new_orders: DataFrame) -> DataFrame:
-    from ..plans.jobs import order_log
-    return order_log(new_orders).withColumn("processed_at", F.current_timestamp().cast("timestamp_ntz"))
