@@ -8,6 +8,8 @@ integers → bigint.  Run-time columns (uuids, refresh times) are not returned.
 from __future__ import annotations
 
 import datetime as dt
+import os
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,8 +17,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import timefn
+from ..functions.variant import json_text, object_of
+from ..operators import changes
+from ..operators.ranking import surrogate_ids
+from ..session import work_dir
+from ..sources import external, schemas
 from ..sources.star import AS_OF_ORDERS, Star
-from . import views
+from ..streaming import feeds
+from ..streaming.pipeline import OrderPipeline
+from . import analytics, change_jobs, jobs, medallion, messages, quality, views
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -116,8 +125,6 @@ def q_hourly_sales(spark, sf_dir):
 
 
 # -------------------------------------------------------------- medallion
-from . import medallion  # noqa: E402
-from ..functions.variant import json_text  # noqa: E402
 
 BRONZE_DAYS = 3650
 
@@ -204,8 +211,6 @@ def q_dash_vip(spark, sf_dir):
 
 
 # ------------------------------------------------------------------- jobs
-from . import change_jobs, jobs  # noqa: E402
-from ..operators import changes  # noqa: E402
 
 MERGE_WINDOW_START = AS_OF_ORDERS - dt.timedelta(days=30)
 TARGET_START = AS_OF_ORDERS - dt.timedelta(days=60)
@@ -346,7 +351,6 @@ def q_promotion_offers(spark, sf_dir):
 
 
 # -------------------------------------------------------------- analytics
-from . import analytics, quality  # noqa: E402
 
 ANOMALY_LOOKBACK_DAYS = 3650
 RECOMMEND_FOR_CUSTOMER = 5
@@ -381,7 +385,6 @@ def q_dq_checks(spark, sf_dir):
 
 
 # --------------------------------------------------------------- messages
-from . import messages  # noqa: E402
 
 
 def _json_inputs(spark, sf_dir) -> DataFrame:
@@ -419,12 +422,6 @@ def q_staged_orders(spark, sf_dir):
 
 
 # ----------------------------------------------------- sources and audit
-import os  # noqa: E402
-import uuid  # noqa: E402
-
-from ..session import work_dir  # noqa: E402
-from ..sources import external, schemas  # noqa: E402
-from ..functions.variant import object_of  # noqa: E402
 
 
 @register("customer_360")
@@ -507,7 +504,6 @@ def q_partner_b_scan(spark, sf_dir):
 
 
 # -------------------------------------------------------------- streaming
-from ..streaming import feeds  # noqa: E402
 
 FEED_SPLIT = dt.datetime(2001, 1, 1)
 
@@ -537,12 +533,9 @@ def q_append_feed(spark, sf_dir):
 def q_order_log(spark, sf_dir):
     feed = _order_feed(spark, sf_dir)
     feed.consume(jobs.order_log)
-    from ..operators.ranking import surrogate_ids
     return normalise(surrogate_ids(feed.consumed(), ["order_id"], "log_id"))
 
 
-from ..streaming.pipeline import OrderPipeline  # noqa: E402
-
 PIPELINE_SPLIT = dt.datetime(1999, 1, 1)
 
 
