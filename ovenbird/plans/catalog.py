@@ -24,7 +24,7 @@ from ..session import work_dir
 from ..sources import external, schemas
 from ..sources.star import AS_OF_ORDERS, Star
 from ..streaming import feeds
-from ..streaming.pipeline import OrderPipeline
+from ..streaming.incremental import IncrementalMedallion
 from . import analytics, change_jobs, jobs, medallion, messages, quality, views
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -539,16 +539,16 @@ def q_order_log(spark, sf_dir):
 PIPELINE_SPLIT = dt.datetime(1999, 1, 1)
 
 
-@register("pipeline_gold_daily")
-def q_pipeline_gold_daily(spark, sf_dir):
+@register("streamed_gold_daily")
+def q_streamed_gold_daily(spark, sf_dir):
     """The continuous pipeline end to end: bronze events land in two drops,
     each drop is one AvailableNow run (silver appended, touched dates of gold
     recomputed); the result must equal the batch gold table."""
     s, bronze, _ = _layers(spark, sf_dir)
-    base = work_dir(spark, f"pipeline-{uuid.uuid4().hex}")
+    base = work_dir(spark, f"medallion-{uuid.uuid4().hex}")
     landing = os.path.join(base, "bronze")
     # The test data spreads few orders over seven years: yearly partitions.
-    pipe = OrderPipeline(spark, os.path.join(base, "tables"), s.dim_location(), s.dim_customer(),
+    pipe = IncrementalMedallion(spark, os.path.join(base, "tables"), s.dim_location(), s.dim_customer(),
                          s.dim_menu_item(), s.dim_category(), period="year")
     ckpt = os.path.join(base, "checkpoint")
     cut = timefn.ts_lit(PIPELINE_SPLIT)

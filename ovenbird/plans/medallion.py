@@ -2,7 +2,7 @@
 aggregates -> dashboard reads.
 
 Every layer is a pure ``DataFrame -> DataFrame`` transform, so the same code
-serves a full batch build and an incremental refresh (``streaming.pipeline``)
+serves a full batch build and an incremental refresh (``streaming.incremental``)
 that recomputes only the group keys touched by new events.
 """
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from ovenbird.plans import medallion
 from ovenbird.sources.star import AS_OF_ORDERS, Star
 from ovenbird.streaming import feeds
-from ovenbird.streaming.pipeline import OrderPipeline
+from ovenbird.streaming.incremental import IncrementalMedallion
 
 SF = "/root/testdata/sf0.001"
 
@@ -38,7 +38,7 @@ def test_incremental_gold_equals_full_recompute(spark, scratch):
     landing = os.path.join(scratch, "bronze")
     cut = dt.datetime(1999, 6, 1)
     bronze.filter(F.col("event_timestamp") < cut).write.mode("append").parquet(landing)
-    pipe = OrderPipeline(spark, os.path.join(scratch, "tables"), s.dim_location(), s.dim_customer(),
+    pipe = IncrementalMedallion(spark, os.path.join(scratch, "tables"), s.dim_location(), s.dim_customer(),
                          s.dim_menu_item(), s.dim_category())
     ckpt = os.path.join(scratch, "ckpt")
     pipe.start(landing, bronze.schema, ckpt).awaitTermination()
