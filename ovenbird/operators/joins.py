@@ -5,6 +5,7 @@ shuffle output is under ``spark.sql.autoBroadcastJoinThreshold`` is switched to
 a broadcast hash join at runtime, and anything larger stays a sort-merge join.
 That runtime measurement is the size check; an explicit hint is given only for
 sides whose size is bounded by construction (a handful of literal rows).
+Global statistics reach the rows as scalar subqueries, never as joins.
 """
 
 from __future__ import annotations
@@ -19,13 +20,12 @@ def dim_join(fact: DataFrame, dim: DataFrame, on, how: str = "inner") -> DataFra
 
 
 def attach_constants(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Attach the columns of a one-row frame (global statistics, parameters)
-    to every row.  The one-row side is broadcast: its size is fixed at one row,
-    so this is a map-side lookup, not a pairing of two tables."""
-    key = "__one"
-    return (df.withColumn(key, F.lit(1))
-            .join(F.broadcast(one_row.withColumn(key, F.lit(1))), key, "inner")
-            .drop(key))
+    """Attach the columns of a one-row frame (global statistics) to every row
+    as an uncorrelated scalar subquery: it is computed once, reused for each
+    column, and involves no join at all.  More than one row is an error."""
+    cols = one_row.columns
+    s = one_row.select(F.struct(*cols).alias("__s")).scalar()
+    return df.select("*", *[s.getField(c).alias(c) for c in cols])
 
 
 def fixed_rows(spark, rows: list[tuple], schema: str) -> DataFrame:
