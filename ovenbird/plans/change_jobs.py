@@ -30,13 +30,15 @@ def sentiment_labels(reviews: DataFrame, scorer: Callable[[Column], Column] = le
         F.when(s <= NEGATIVE_AT, True).otherwise(False).alias("requires_response"))
 
 
-def inventory_alerts(changes: DataFrame, ingredients: DataFrame, open_alerts: DataFrame | None) -> DataFrame:
+def inventory_alerts(changes: DataFrame, ingredients: DataFrame, open_alerts: DataFrame | None,
+                     dedupe: bool = False) -> DataFrame:
     """Alerts for inserted inventory images at or below the reorder point.
 
     A (location, ingredient) that already has an OPEN alert in the alert table
     as it was when the batch started is skipped (anti join on both keys).  Two
     changes of one key inside the batch both alert, as the source's NOT EXISTS
-    only sees older alerts.
+    only sees older alerts; ``dedupe=True`` keeps one alert per key and
+    batch (the lowest quantity), as a keyed ``min_by`` aggregate.
     """
     c = changes.filter((F.col("quantity_on_hand") <= F.col("reorder_point")) & (F.col(ACTION) == "INSERT"))
     c = c.join(ingredients.select("ingredient_id", "ingredient_name"), "ingredient_id", "inner")
@@ -44,6 +46,10 @@ def inventory_alerts(changes: DataFrame, ingredients: DataFrame, open_alerts: Da
         existing = open_alerts.filter(F.col("alert_status") == "OPEN").select("location_id", "ingredient_id")
         c = c.join(existing, ["location_id", "ingredient_id"], "left_anti")
     q, rp = F.col("quantity_on_hand"), F.col("reorder_point")
+    if dedupe:
+        keys = ["location_id", "ingredient_id"]
+        c = c.groupBy(*keys).agg(F.min_by(F.struct(*[x for x in c.columns if x not in keys]), q).alias("__r"))
+        c = c.select(*keys, "__r.*")
     return c.select(
         "location_id", "ingredient_id", "ingredient_name",
         q.alias("current_quantity"), rp.alias("reorder_point"),

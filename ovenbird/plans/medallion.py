@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import money, timefn
 from ..functions.variant import object_of
-from ..operators.joins import attach_constants, dim_join
+from ..operators.joins import dim_join
 
 # Location codes written to and read back from events.
 LOCATION_CODE_OUT = {1: "DT-001", 2: "WL-002"}
@@ -235,7 +235,7 @@ def latest(df: DataFrame, ts_col: str) -> DataFrame:
 
 def dash_current_hour(gold_hourly: DataFrame, now) -> DataFrame:
     """Current hour per location.  ``now`` is a timestamp column or literal
-    (pass ``latest(...)`` attached via ``attach_constants`` for data time)."""
+    (see ``dash_current_hour_at_latest`` for the data's latest hour)."""
     g = gold_hourly.filter((F.col("order_date") == F.to_date(now)) & (F.col("order_hour") == F.hour(now)))
     return g.select("location_name", "orders", F.round("revenue", 2).alias("revenue"),
                     "period_type").orderBy(F.desc("revenue"))

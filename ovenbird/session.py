@@ -24,6 +24,8 @@ BASE_CONF = {
 }
 
 
+LOCAL_DRIVER_MEMORY = "8g"
+
 # Settings for the large-cluster deployment (about 100 TB of facts on ~1000
 # executors).  Shuffle partitions start high and AQE coalesces them to the
 # advisory size; skewed partitions are split; scans read 256 MB splits; a
@@ -52,6 +54,10 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
+        if master.startswith("local"):
+            # Local mode runs every task inside the driver JVM: give it the
+            # heap an executor would have (the 1 GB default thrashes the GC).
+            builder = builder.config("spark.driver.memory", LOCAL_DRIVER_MEMORY)
     for key, value in {**BASE_CONF, **(CLUSTER_CONF if cluster else {})}.items():
         builder = builder.config(key, value)
     if shuffle_partitions:

@@ -75,3 +75,12 @@ def test_sales_anomaly_group_rules(spark):
     loc = spark.createDataFrame([(1, "A"), (2, "B")], "location_id bigint, location_name string")
     out = analytics.sales_anomalies(ds, loc, dt.date(2024, 3, 1), lookback_days=365, threshold=2.0).collect()
     assert [(r.anomaly_date, r.anomaly_type) for r in out] == [(base + dt.timedelta(weeks=5), "HIGH")]
+
+
+def test_inventory_alerts_dedupe(spark):
+    ch = changes.insert_feed(spark.createDataFrame(
+        [(1, 12, Decimal("20"), Decimal("20")), (1, 12, Decimal("5"), Decimal("20"))],
+        "location_id bigint, ingredient_id bigint, quantity_on_hand decimal(10,2), reorder_point decimal(10,2)"))
+    ing = spark.createDataFrame([(12, "oil")], "ingredient_id bigint, ingredient_name string")
+    out = change_jobs.inventory_alerts(ch, ing, None, dedupe=True).collect()
+    assert [(r.ingredient_id, r.alert_type) for r in out] == [(12, "CRITICAL")]
