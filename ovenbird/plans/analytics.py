@@ -151,6 +151,10 @@ def recommend_items(orders: DataFrame, items: DataFrame, menu: DataFrame, catego
         F.count(F.lit(1)).alias("customer_count"),
         money.mean(F.sum("rs"), F.sum("ws")).alias("avg_rating"))
     stats = stats.join(mine, "item_id", "left_anti")
+    # One row per candidate item (bounded by the menu): stored once in the
+    # checkpoint folder so the normalising maxima and the ranking read it
+    # instead of repeating the scans of orders and lines.
+    stats = stats.checkpoint(eager=True)
     maxes = stats.agg(F.max("order_count").alias("max_orders"), F.max("customer_count").alias("max_customers"),
                       F.count(F.lit(1)).alias("n_candidates"))
     s = attach_constants(stats, maxes)
@@ -173,7 +177,8 @@ def recommend_items(orders: DataFrame, items: DataFrame, menu: DataFrame, catego
     fb = fb.orderBy("item_id").limit(5).select(
         "item_id", "item_name", "category_name", F.lit(0.5).alias("recommendation_score"),
         F.lit("Popular item").alias("reason"))
-    fb = attach_constants(fb, maxes.select("n_candidates")).filter(F.col("n_candidates") == 0).drop("n_candidates")
+    fb = (attach_constants(fb, maxes).filter(F.col("n_candidates") == 0)
+          .drop("max_orders", "max_customers", "n_candidates"))
     return top.unionByName(fb).withColumn("customer_id", F.lit(customer_id).cast("bigint"))
 
 

@@ -157,9 +157,9 @@ def validate_orders(df: DataFrame, json_col: str) -> DataFrame:
                      _js_round2(sub + F.col("tax")).alias("total"))
 
 
-# E-mail templates of the four message types (brand and codes
-# as in the source templates).
-BRAND = "Bella Napoli"
+# E-mail templates of the four message types and their codes.
+# The restaurant's name is a parameter (``brand``); this default is ours.
+BRAND = "Forno Verde"
 SILVER_AT = 500
 EMAIL_TEMPLATES = {
     "WELCOME": (

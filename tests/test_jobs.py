@@ -84,3 +84,15 @@ def test_inventory_alerts_dedupe(spark):
     ing = spark.createDataFrame([(12, "oil")], "ingredient_id bigint, ingredient_name string")
     out = change_jobs.inventory_alerts(ch, ing, None, dedupe=True).collect()
     assert [(r.ingredient_id, r.alert_type) for r in out] == [(12, "CRITICAL")]
+
+
+def test_recommendation_fallback_when_no_neighbours(spark):
+    orders = spark.createDataFrame([(1, 7), (2, 8)], "order_id bigint, customer_id bigint")
+    items = spark.createDataFrame([(1, 100), (2, 200)], "order_id bigint, item_id bigint")
+    menu = spark.createDataFrame([(i, f"item{i}", 1 if i < 108 else 2, True) for i in range(100, 110)] + [(200, "x", 2, True)],
+                                 "item_id bigint, item_name string, category_id bigint, is_available boolean")
+    cats = spark.createDataFrame([(1, "Pizzas"), (2, "Sides")], "category_id bigint, category_name string")
+    reviews = spark.createDataFrame([], "order_id bigint, overall_rating int")
+    out = analytics.recommend_items(orders, items, menu, cats, reviews, customer_id=7, n=5).collect()
+    assert [(r.item_id, r.recommendation_score, r.reason) for r in out] == [
+        (i, 0.5, "Popular item") for i in range(100, 105)]
