@@ -95,3 +95,24 @@ def test_versioned_table_swap(spark, scratch):
     assert sorted(r.a for r in tables.read_current(spark, scratch, "t").collect()) == [1, 2]
     d = tables.apply_defaults(t1, {"flag": F.lit(False), "a": F.lit(99)})
     assert d.first().a == 1 and d.first().flag is False
+
+
+def test_snapshot_diff_property(spark):
+    """Applying the diff of any two snapshots to the first gives the second."""
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    row = st.tuples(st.integers(0, 12), st.sampled_from(["a", "b", None]), st.integers(0, 3))
+
+    @settings(max_examples=8, deadline=None)
+    @given(st.lists(row, max_size=10), st.lists(row, max_size=10))
+    def check(b_rows, a_rows):
+        b = {r[0]: r for r in b_rows}
+        a = {r[0]: r for r in a_rows}
+        before = spark.createDataFrame(list(b.values()), SCHEMA)
+        after = spark.createDataFrame(list(a.values()), SCHEMA)
+        feed = changes.snapshot_diff(before, after, ["id"])
+        got = sorted(map(tuple, _apply(before, feed, ["id"]).collect()), key=str)
+        assert got == sorted(a.values(), key=str)
+
+    check()
