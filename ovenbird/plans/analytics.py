@@ -129,8 +129,11 @@ def recommend_items(orders: DataFrame, items: DataFrame, menu: DataFrame, catego
     lines = items.select("order_id", "item_id")
     ol = o.join(lines, "order_id")
     mine = ol.filter(F.col("customer_id") == customer_id).select("item_id").distinct()
+    # The customer's item set is bounded by the menu (a dimension), so it is
+    # broadcast and the order lines are filtered map-side; the neighbour set
+    # grows with the data and stays a shuffle semi join.
     neighbours = (ol.filter(F.col("customer_id") != customer_id)
-                  .join(mine, "item_id", "left_semi").select("customer_id").distinct())
+                  .join(F.broadcast(mine), "item_id", "left_semi").select("customer_id").distinct())
     r = reviews.groupBy("order_id").agg(F.count(F.lit(1)).alias("nr"),
                                         F.sum(F.coalesce(F.col("overall_rating"), F.lit(4))).alias("rs"))
     cand = (ol.join(neighbours, "customer_id", "left_semi")
