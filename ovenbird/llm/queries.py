@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, token_count, url_filter
+from . import chat, exact_dedup, token_count, url_filter
 from .common import read
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -115,3 +115,19 @@ def op8_url_filter(spark, sf_dir):
 @register("op10_token_count")
 def op10_token_count(spark, sf_dir):
     return token_count.count_tokens(read(spark, sf_dir, "documents"))
+
+
+OP3_SQL = r"""
+WITH d AS (
+  SELECT doc_id, length(coalesce(text, '')) AS points,
+    regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS norm FROM documents
+)
+SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY norm) AS group_size,
+  doc_id = first_value(doc_id) OVER w AS kept, sha256(norm) AS text_sha256
+FROM d WINDOW w AS (PARTITION BY norm ORDER BY points DESC, doc_id)
+"""
+
+
+@register("op3_exact_dedup", OP3_SQL)
+def op3_exact_dedup(spark, sf_dir):
+    return exact_dedup.duplicate_classes(read(spark, sf_dir, "documents"))
