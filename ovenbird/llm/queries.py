@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact_dedup, token_count, url_filter
+from . import chat, exact_dedup, quality, token_count, url_filter
 from .common import read
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -131,3 +131,8 @@ FROM d WINDOW w AS (PARTITION BY norm ORDER BY points DESC, doc_id)
 @register("op3_exact_dedup", OP3_SQL)
 def op3_exact_dedup(spark, sf_dir):
     return exact_dedup.duplicate_classes(read(spark, sf_dir, "documents"))
+
+
+@register("op9_quality")
+def op9_quality(spark, sf_dir):
+    return quality.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
