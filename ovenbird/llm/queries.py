@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact_dedup, quality, simhash, token_count, url_filter
+from . import chat, decontaminate, exact_dedup, quality, simhash, token_count, url_filter
 from .common import read
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -141,3 +141,8 @@ def op9_quality(spark, sf_dir):
 @register("op4_simhash")
 def op4_simhash(spark, sf_dir):
     return simhash.near_components(read(spark, sf_dir, "documents"), shingle=4, distance=4)
+
+
+@register("op5_decontaminate")
+def op5_decontaminate(spark, sf_dir):
+    return decontaminate.find_leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
