@@ -226,7 +226,8 @@ def search(raw: np.ndarray, off: np.ndarray, shards: list[Shard], step: int,
         at = np.minimum(np.searchsorted(shard.terms, h), n_terms - 1)
         known = np.flatnonzero(shard.terms[at] == h)
         pairs = np.concatenate([own[known] * n_terms + at[known], before[known] * n_terms + at[known]])
-        pairs = np.unique(pairs[np.concatenate([own[known], before[known]]) >= 0])
+        pairs = np.sort(pairs[np.concatenate([own[known], before[known]]) >= 0])
+        pairs = pairs[np.diff(pairs, prepend=-1) != 0]
         passage, term = pairs // n_terms, pairs % n_terms
         bound = np.bincount(passage, weights=shard.highest[term], minlength=len(passages.text))
         open_ = bound[passage] >= 1 - SLACK

@@ -11,7 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, exact_dedup, quality, simhash, token_count, url_filter
+from . import (chat, decontaminate, exact_dedup, packing, quality, simhash, token_count,
+               url_filter)
 from .common import read
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -146,3 +147,8 @@ def op4_simhash(spark, sf_dir):
 @register("op5_decontaminate")
 def op5_decontaminate(spark, sf_dir):
     return decontaminate.find_leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+@register("op2_packing")
+def op2_packing(spark, sf_dir):
+    return packing.pack(read(spark, sf_dir, "documents"), capacity=1024, end_id=2).drop("ids")
