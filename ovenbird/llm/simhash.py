@@ -44,7 +44,7 @@ from .components import components
 
 BITS = 64
 #: Members of an index bucket that are compared pair by pair.
-SMALL = 32
+SMALL = 256
 #: Cost of verifying a candidate against that of a probed value.
 VERIFY_COST = 0.05
 _LANES = np.uint64(0x0101010101010101)
