@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (chat, decontaminate, exact_dedup, packing, quality, simhash, token_count,
+from . import (chat, decontaminate, exact_dedup, packing, quality, repair, simhash, token_count,
                url_filter)
 from .common import read
 
@@ -152,3 +152,8 @@ def op5_decontaminate(spark, sf_dir):
 @register("op2_packing")
 def op2_packing(spark, sf_dir):
     return packing.pack(read(spark, sf_dir, "documents"), capacity=1024, end_id=2).drop("ids")
+
+
+@register("op6_repair")
+def op6_repair(spark, sf_dir):
+    return repair.round_trip(read(spark, sf_dir, "documents")).drop("ids")
