@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (chat, decontaminate, exact_dedup, packing, quality, repair, simhash, token_count,
+from . import (chat, decontaminate, exact_dedup, licenses, packing, quality, repair, simhash, token_count,
                url_filter)
 from .common import read
 
@@ -157,3 +157,8 @@ def op2_packing(spark, sf_dir):
 @register("op6_repair")
 def op6_repair(spark, sf_dir):
     return repair.round_trip(read(spark, sf_dir, "documents")).drop("ids")
+
+
+@register("op1_license_scan")
+def op1_license_scan(spark, sf_dir):
+    return licenses.find_licenses(read(spark, sf_dir, "documents"))
