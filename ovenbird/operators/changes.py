@@ -13,8 +13,13 @@ ROW_ID = "_row_id"
 
 
 def row_id(keys: Sequence[str]) -> Column:
-    """Stable row identifier: hash of the key values."""
-    return F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in keys]))
+    """Stable row identifier: hash of the key values.  Every value is preceded by
+    its length (``-`` for NULL), so different keys have different texts."""
+    def part(k: str) -> Column:
+        text = F.col(k).cast("string")
+        return F.when(text.isNull(), F.lit("-;")).otherwise(
+            F.concat(F.char_length(text).cast("string"), F.lit(":"), text, F.lit(";")))
+    return F.md5(F.concat(*[part(k) for k in keys]))
 
 
 def snapshot_diff(before: DataFrame, after: DataFrame, keys: Sequence[str],
@@ -57,19 +62,23 @@ def insert_feed(df: DataFrame) -> DataFrame:
     return df.withColumn(ACTION, F.lit("INSERT")).withColumn(IS_UPDATE, F.lit(False))
 
 
-def as_of(history: DataFrame, keys: Sequence[str], ts_col: str, at) -> DataFrame:
+def as_of(history: DataFrame, keys: Sequence[str], ts_col: str, at, seq_col: str | None = None) -> DataFrame:
     """Table contents as of ``at`` from a change history.
 
     ``history`` holds change images with ``_action`` and a change time.  For
     each key the last change at or before ``at`` wins (a DELETE of an update
     pair sorts before its INSERT); keys whose last change is a DELETE are
-    gone.  Computed as a keyed ``max_by`` aggregate, so it combines map-side
+    gone.  ``seq_col`` numbers the changes: of two at the same time the higher
+    one wins.  Without it, or if that ties too, the greater image wins, so the
+    result doesn't depend on the order of the rows.  Computed as a keyed ``max_by`` aggregate, so it combines map-side
     and never sorts a key's whole history.
     """
     keys = list(keys)
-    image_cols = [c for c in history.columns if c not in (ACTION, IS_UPDATE, ROW_ID, ts_col)]
+    image_cols = [c for c in history.columns if c not in (ACTION, IS_UPDATE, ROW_ID, ts_col, seq_col)]
     h = history.filter(F.col(ts_col) <= at)
-    order = F.struct(F.col(ts_col), F.when(F.col(ACTION) == "INSERT", 1).otherwise(0))
+    order = F.struct(F.col(ts_col), *([F.col(seq_col)] if seq_col else []),
+                     F.when(F.col(ACTION) == "INSERT", 1).otherwise(0),
+                     *[F.col(c) for c in image_cols if c not in keys])
     last = h.groupBy(*keys).agg(
         F.max_by(F.struct(*[F.col(c) for c in image_cols if c not in keys], F.col(ACTION)), order).alias("__l"))
     return (last.filter(F.col("__l." + ACTION) == "INSERT")

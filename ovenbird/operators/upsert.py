@@ -1,9 +1,8 @@
 """Keyed upsert, keyed update and retention delete as DataFrame rewrites.
 
 The built-in parquet catalog has no MERGE/UPDATE/DELETE, so each operation
-produces the new table contents; ``sources.tables`` writes them to a fresh
-version folder and swaps the pointer, so a table being read is never
-overwritten in place.
+produces the new table contents, or those of the partitions that it touches;
+``sources.tables.replace_partitions`` writes the latter.
 """
 
 from __future__ import annotations
@@ -82,4 +81,4 @@ def keyed_update(target: DataFrame, changes: DataFrame, keys: Sequence[str],
 def purge(df: DataFrame, predicate: Column) -> DataFrame:
     """``DELETE FROM t WHERE predicate``: a row goes only when the predicate is
     TRUE; rows where it is NULL stay."""
-    return df.filter(F.coalesce(~predicate, F.lit(True)))
+    return df.filter(~predicate | predicate.isNull())

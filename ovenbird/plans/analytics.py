@@ -9,11 +9,8 @@ from __future__ import annotations
 
 import datetime as dt
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.functions import pandas_udf
 
 from ..functions import money, timefn
 from ..operators.joins import attach_constants, dim_join
@@ -76,17 +73,20 @@ def rfm_segments(customers: DataFrame, orders: DataFrame, as_of: dt.date) -> Dat
                      "r_score", "f_score", "m_score", rfm_segment(r, f, m).alias("rfm_segment"))
 
 
-def sales_anomalies(daily_sales: DataFrame, locations: DataFrame, as_of: dt.date, lookback_days: int = 90,
+def sales_anomalies(daily_sales: DataFrame, locations: DataFrame, as_of: dt.date, lookback_days: int | None = 90,
                     threshold: float = 2.0, min_points: int = 4) -> DataFrame:
     """Days whose revenue is more than ``threshold`` sample deviations from the
     mean of the same location and weekday (groups of at least ``min_points``
     days and non-zero deviation).
 
+    ``lookback_days=None`` takes the whole history.
+
     Group sums of x and x^2 are exact decimals, so a zero deviation is
     detected exactly; the group statistics are joined back to the days.
     """
-    since = as_of - dt.timedelta(days=lookback_days)
-    ds = daily_sales.filter(F.col("sales_date") >= timefn.date_lit(since))
+    ds = daily_sales
+    if lookback_days is not None:
+        ds = ds.filter(F.col("sales_date") >= timefn.date_lit(as_of - dt.timedelta(days=lookback_days)))
     ds = dim_join(ds, locations.select("location_id", "location_name"), "location_id")
     ds = ds.select("sales_date", "location_id", "location_name", "total_revenue",
                    timefn.day_of_week0("sales_date").alias("dow"))
@@ -107,11 +107,19 @@ def sales_anomalies(daily_sales: DataFrame, locations: DataFrame, as_of: dt.date
         F.when(F.col("z_score") > 0, "HIGH").otherwise("LOW").alias("anomaly_type"))
 
 
-@pandas_udf(T.StringType())
-def _one_decimal(v: pd.Series) -> pd.Series:
-    """``f"{v:.1f}"`` exactly as Python formats (round half even on the
-    double's binary value); applied to candidate rows only."""
-    return v.map(lambda x: None if pd.isna(x) else f"{x:.1f}")
+def one_decimal(v: Column) -> Column:
+    """A non-negative double with one decimal, rounded half even on its exact
+    binary value (as ``f"{v:.1f}"`` does in Python)."""
+    tenth = F.floor(v * 10).cast("double")
+    tenth = F.when(tenth / 10 > v, tenth - 1).otherwise(tenth)
+    tie = (tenth * 10 + 5) / 100  # the double nearest to the middle
+    # Where the exact middle lies: the error-free product of the tie and 20.
+    split = tie * 134217729.0
+    high = split - (split - tie)
+    product = tie * 20
+    error = (product - (tenth * 2 + 1)) + ((high * 20 - product) + (tie - high) * 20)
+    up = (v > tie) | ((v == tie) & ((error > 0) | ((error == 0) & (tenth % 2 == 1))))
+    return F.when(v.isNotNull(), F.format_string("%.1f", (tenth + F.when(up, 1).otherwise(0)) / 10))
 
 
 def recommend_items(orders: DataFrame, items: DataFrame, menu: DataFrame, categories: DataFrame,
@@ -129,11 +137,9 @@ def recommend_items(orders: DataFrame, items: DataFrame, menu: DataFrame, catego
     lines = items.select("order_id", "item_id")
     ol = o.join(lines, "order_id")
     mine = ol.filter(F.col("customer_id") == customer_id).select("item_id").distinct()
-    # The customer's item set is bounded by the menu (a dimension), so it is
-    # broadcast and the order lines are filtered map-side; the neighbour set
-    # grows with the data and stays a shuffle semi join.
+    # No broadcast hint: Spark broadcasts the item set if its measured size allows.
     neighbours = (ol.filter(F.col("customer_id") != customer_id)
-                  .join(F.broadcast(mine), "item_id", "left_semi").select("customer_id").distinct())
+                  .join(mine, "item_id", "left_semi").select("customer_id").distinct())
     r = reviews.groupBy("order_id").agg(F.count(F.lit(1)).alias("nr"),
                                         F.sum(F.coalesce(F.col("overall_rating"), F.lit(4))).alias("rs"))
     cand = (ol.join(neighbours, "customer_id", "left_semi")
@@ -154,24 +160,21 @@ def recommend_items(orders: DataFrame, items: DataFrame, menu: DataFrame, catego
         F.count(F.lit(1)).alias("customer_count"),
         money.mean(F.sum("rs"), F.sum("ws")).alias("avg_rating"))
     stats = stats.join(mine, "item_id", "left_anti")
-    # One row per candidate item (bounded by the menu): stored once in the
-    # checkpoint folder so the normalising maxima and the ranking read it
-    # instead of repeating the scans of orders and lines.
-    stats = stats.checkpoint(eager=True)
     maxes = stats.agg(F.max("order_count").alias("max_orders"), F.max("customer_count").alias("max_customers"),
                       F.count(F.lit(1)).alias("n_candidates"))
     s = attach_constants(stats, maxes)
     raw = ((F.col("order_count") / F.col("max_orders")) * 0.4 + (F.col("customer_count") / F.col("max_customers")) * 0.3
            + (F.col("avg_rating") / 5.0) * 0.3)
     s = s.withColumn("recommendation_score", F.rint(raw * 1000) / 1000)
+    top = s.orderBy(F.desc("recommendation_score"), F.desc("order_count"), "item_id").limit(n)
     reason = (F.when(F.col("customer_count") > 10,
                      F.concat(F.lit("Popular with "), F.col("customer_count").cast("string"),
                               F.lit(" similar customers")))
               .when(F.col("avg_rating") >= 4.5,
-                    F.concat(F.lit("Highly rated ("), _one_decimal(F.col("avg_rating")), F.lit(" stars)")))
+                    F.concat(F.lit("Highly rated ("), one_decimal(F.col("avg_rating")), F.lit(" stars)")))
               .otherwise(F.lit("Recommended based on your taste")))
-    top = (s.withColumn("reason", reason)
-           .orderBy(F.desc("recommendation_score"), F.desc("order_count"), "item_id").limit(n)
+    # The text is made for the ``n`` rows only.
+    top = (top.withColumn("reason", reason)
            .select("item_id", "item_name", "category_name", "recommendation_score", "reason"))
     # Fallback when no candidate exists: first five available items of the
     # fallback category, score 0.5.

@@ -24,7 +24,7 @@ from ..session import work_dir
 from ..sources import external, schemas
 from ..sources.star import AS_OF_ORDERS, Star
 from ..streaming import feeds
-from ..streaming.incremental import IncrementalMedallion
+from ..streaming.incremental import IncrementalMedallion, IncrementalViews
 from . import analytics, change_jobs, jobs, medallion, messages, quality, views
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -108,7 +108,8 @@ def q_customer_top10(spark, sf_dir):
 @register("franchise_performance")
 def q_franchise_performance(spark, sf_dir):
     s = Star(spark, sf_dir)
-    return normalise(views.franchise_performance(s.fact_order(), s.dim_location(), s.fact_review()))
+    return normalise(views.franchise_performance(s.fact_order(), s.dim_location(),
+                                                  s.fact_review(with_text=False)))
 
 
 @register("restricted_orders")
@@ -126,14 +127,9 @@ def q_hourly_sales(spark, sf_dir):
 
 # -------------------------------------------------------------- medallion
 
-BRONZE_DAYS = 3650
-
-
 def _layers(spark, sf_dir):
     s = Star(spark, sf_dir)
-    bronze = medallion.bronze_events(s.fact_order(since=AS_OF_ORDERS - dt.timedelta(days=BRONZE_DAYS)),
-                                     s.fact_order_item(), s.dim_menu_item(with_category=False), AS_OF_ORDERS,
-                                     days=BRONZE_DAYS)
+    bronze = medallion.bronze_events(s.fact_order(), s.fact_order_item(), s.dim_menu_item(with_category=False))
     silver = medallion.silver_orders(bronze)
     return s, bronze, silver
 
@@ -159,7 +155,7 @@ def q_silver_items(spark, sf_dir):
 @register("gold_daily")
 def q_gold_daily(spark, sf_dir):
     s, _, silver = _layers(spark, sf_dir)
-    return normalise(medallion.gold_daily_sales(silver, s.dim_location()))
+    return normalise(medallion.gold_daily_sales(silver, s.dim_location(), timefn.ts_lit(AS_OF_ORDERS)))
 
 
 @register("gold_hourly")
@@ -227,14 +223,14 @@ def _daily_sales_target(s: Star) -> DataFrame:
     orders only) of [t-60 d, t-15 d) with a weather value filled in."""
     o = jobs.orders_between(s.fact_order(since=TARGET_START, until=TARGET_END), TARGET_START, TARGET_END)
     o = o.filter(F.col("order_status") == "COMPLETED")
-    return jobs.daily_sales_source(o, s.fact_order_item(), s.dim_customer()).withColumn(
+    return jobs.daily_sales_source(o, s.fact_order_item(), s.dim_customer(), few_orders=True).withColumn(
         "weather_condition", F.lit("CLEAR"))
 
 
 def _merged_daily_sales(s: Star) -> DataFrame:
     src_orders = jobs.orders_between(s.fact_order(since=MERGE_WINDOW_START, until=AS_OF_ORDERS),
                                      MERGE_WINDOW_START, AS_OF_ORDERS)
-    source = jobs.daily_sales_source(src_orders, s.fact_order_item(), s.dim_customer())
+    source = jobs.daily_sales_source(src_orders, s.fact_order_item(), s.dim_customer(), few_orders=True)
     return jobs.daily_sales_merge(_daily_sales_target(s), source)
 
 
@@ -254,16 +250,15 @@ def q_daily_sales_all_locations(spark, sf_dir):
 @register("weekly_wow")
 def q_weekly_wow(spark, sf_dir):
     s = Star(spark, sf_dir)
-    daily = jobs.daily_sales_source(s.fact_order(), s.fact_order_item(), s.dim_customer())
+    recent = s.fact_order(since=AS_OF_ORDERS - dt.timedelta(weeks=8))
+    daily = jobs.daily_sales_source(recent, s.fact_order_item(), s.dim_customer(), few_orders=True)
     return normalise(jobs.weekly_report(daily, s.dim_location(), AS_OF_ORDERS, 8))
 
 
 @register("retention_logs")
 def q_retention_logs(spark, sf_dir):
     s = Star(spark, sf_dir)
-    o = s.fact_order()
-    log = jobs.order_log(changes.insert_feed(o)).join(
-        o.select("order_id", F.col("order_timestamp").alias("processed_at")), "order_id")
+    log = jobs.order_log(changes.insert_feed(s.fact_order()), F.col("order_timestamp"))
     return normalise(jobs.purge_order_log(log, AS_OF_ORDERS, 30))
 
 
@@ -352,7 +347,6 @@ def q_promotion_offers(spark, sf_dir):
 
 # -------------------------------------------------------------- analytics
 
-ANOMALY_LOOKBACK_DAYS = 3650
 RECOMMEND_FOR_CUSTOMER = 5
 
 
@@ -366,22 +360,22 @@ def q_rfm_segments(spark, sf_dir):
 def q_sales_anomalies(spark, sf_dir):
     s = Star(spark, sf_dir)
     daily = jobs.daily_sales_source(s.fact_order(), s.fact_order_item(), s.dim_customer())
-    return normalise(analytics.sales_anomalies(daily, s.dim_location(), AS_OF_ORDERS,
-                                               ANOMALY_LOOKBACK_DAYS, 2.0))
+    return normalise(analytics.sales_anomalies(daily, s.dim_location(), AS_OF_ORDERS, None, 2.0))
 
 
 @register("recommendations")
 def q_recommendations(spark, sf_dir):
     s = Star(spark, sf_dir)
     return normalise(analytics.recommend_items(s.fact_order(), s.fact_order_item(), s.dim_menu_item(),
-                                               s.dim_category(), s.fact_review(), RECOMMEND_FOR_CUSTOMER, 5))
+                                               s.dim_category(), s.fact_review(with_text=False),
+                                               RECOMMEND_FOR_CUSTOMER, 5))
 
 
 @register("dq_checks")
 def q_dq_checks(spark, sf_dir):
     s = Star(spark, sf_dir)
-    return normalise(quality.run_quality_checks(s.fact_order(), s.fact_order_item(), s.fact_review(),
-                                                s.dim_customer()))
+    return normalise(quality.run_quality_checks(s.fact_order(), s.fact_order_item(),
+                                                s.fact_review(with_text=False), s.dim_customer()))
 
 
 # --------------------------------------------------------------- messages
@@ -429,7 +423,7 @@ def q_customer_360(spark, sf_dir):
     s = Star(spark, sf_dir)
     seg = analytics.rfm_segments(s.dim_customer(), s.fact_order(), AS_OF_ORDERS)
     return normalise(analytics.customer_360(s.dim_customer(), s.fact_order(), s.fact_order_item(),
-                                            s.dim_menu_item(), s.fact_review(), seg, AS_OF_ORDERS))
+                                            s.dim_menu_item(), s.fact_review(with_text=False), seg, AS_OF_ORDERS))
 
 
 def append_audit(events: DataFrame) -> DataFrame:
@@ -508,7 +502,7 @@ def q_partner_b_scan(spark, sf_dir):
 FEED_SPLIT = dt.datetime(2001, 1, 1)
 
 
-def _order_feed(spark, sf_dir) -> feeds.AppendFeed:
+def _order_feed(spark, sf_dir, job=None) -> feeds.AppendFeed:
     """Orders land in two drops; the feed is created after the first drop
     (its rows are skipped) and consumes the second."""
     s = Star(spark, sf_dir)
@@ -516,7 +510,7 @@ def _order_feed(spark, sf_dir) -> feeds.AppendFeed:
     landing = os.path.join(base, "landing")
     orders = s.fact_order()
     feeds.land(orders.filter(F.col("order_timestamp") < timefn.ts_lit(FEED_SPLIT)), landing)
-    feed = feeds.AppendFeed(spark, landing, os.path.join(base, "state"), orders.schema)
+    feed = feeds.AppendFeed(spark, landing, os.path.join(base, "state"), orders.schema, job)
     feed.prime()
     feeds.land(orders.filter(F.col("order_timestamp") >= timefn.ts_lit(FEED_SPLIT)), landing)
     return feed
@@ -531,29 +525,108 @@ def q_append_feed(spark, sf_dir):
 
 @register("order_log")
 def q_order_log(spark, sf_dir):
-    feed = _order_feed(spark, sf_dir)
-    feed.consume(jobs.order_log)
+    feed = _order_feed(spark, sf_dir, lambda new, _before: jobs.order_log(new))
+    feed.consume()
     return normalise(surrogate_ids(feed.consumed(), ["order_id"], "log_id"))
 
 
+def _streamed(spark, name: str, drops: list[DataFrame], job, changes: bool = False) -> DataFrame:
+    """A change job as a stream: each drop lands and is consumed by one run."""
+    base = work_dir(spark, f"{name}-{uuid.uuid4().hex}")
+    landing = os.path.join(base, "landing")
+    for drop in drops:
+        feeds.land(drop, landing)
+        feed = feeds.AppendFeed(spark, landing, os.path.join(base, "state"), drop.schema, job, changes)
+        feed.consume()
+    return feed.consumed()
+
+
+def _halves(df: DataFrame, key: str) -> list[DataFrame]:
+    first = F.pmod(F.xxhash64(key), F.lit(2)) == 0
+    return [df.filter(first), df.filter(~first)]
+
+
+@register("streamed_sentiment")
+def q_streamed_sentiment(spark, sf_dir):
+    """Review sentiment as a stream, the reviews landing in two drops."""
+    return normalise(_streamed(spark, "sentiment", _halves(Star(spark, sf_dir).fact_review(), "review_id"),
+                               lambda new, _before: change_jobs.sentiment_labels(new)))
+
+
+@register("streamed_alerts")
+def q_streamed_alerts(spark, sf_dir):
+    """Inventory alerts as a stream: a year lands, then the rest; the second
+    batch skips what is open in the alert table as it was before."""
+    s = Star(spark, sf_dir)
+    prior = s.fact_inventory(since=INVENTORY_PRIOR_START).filter(
+        F.col("record_date") < timefn.date_lit(INVENTORY_BATCH_START))
+    drops = [prior, s.fact_inventory(since=INVENTORY_BATCH_START)]
+    return normalise(_streamed(spark, "alerts", drops, lambda new, before: change_jobs.inventory_alerts(
+        new, s.dim_ingredient(), before)).drop("record_date"))
+
+
+@register("streamed_history")
+def q_streamed_history(spark, sf_dir):
+    """Customer history as a stream over the change images."""
+    return normalise(_streamed(spark, "history", _halves(_customer_changes(Star(spark, sf_dir)), "customer_id"),
+                               lambda new, _before: change_jobs.customer_history(new), changes=True))
+
+
 PIPELINE_SPLIT = dt.datetime(1999, 1, 1)
 
 
-@register("streamed_gold_daily")
-def q_streamed_gold_daily(spark, sf_dir):
-    """The continuous pipeline end to end: bronze events land in two drops,
-    each drop is one AvailableNow run (silver appended, touched dates of gold
-    recomputed); the result must equal the batch gold table."""
-    s, bronze, _ = _layers(spark, sf_dir)
+def _run_pipeline(spark, sf_dir) -> IncrementalMedallion:
+    """The continuous pipeline end to end: bronze events land in two drops and
+    each drop is one AvailableNow run."""
+    s = Star(spark, sf_dir)
     base = work_dir(spark, f"medallion-{uuid.uuid4().hex}")
     landing = os.path.join(base, "bronze")
     # The test data spreads few orders over seven years: yearly partitions.
     pipe = IncrementalMedallion(spark, os.path.join(base, "tables"), s.dim_location(), s.dim_customer(),
-                         s.dim_menu_item(), s.dim_category(), period="year")
-    ckpt = os.path.join(base, "checkpoint")
-    cut = timefn.ts_lit(PIPELINE_SPLIT)
-    bronze.filter(F.col("event_timestamp") < cut).write.mode("append").parquet(landing)
-    pipe.start(landing, bronze.schema, ckpt).awaitTermination()
-    bronze.filter(F.col("event_timestamp") >= cut).write.mode("append").parquet(landing)
-    pipe.start(landing, bronze.schema, ckpt).awaitTermination()
-    return normalise(pipe.table("gold_daily_sales"))
+                                s.dim_menu_item(), s.dim_category(), period="year")
+    for since, until in ((None, PIPELINE_SPLIT), (PIPELINE_SPLIT, None)):
+        orders = s.fact_order(since=since, until=until)
+        items = s.fact_order_item().join(orders.select("order_id"), "order_id", "left_semi")
+        bronze = medallion.bronze_events(orders, items, s.dim_menu_item(with_category=False))
+        bronze.write.mode("append").parquet(landing)
+        pipe.start(landing, bronze.schema, os.path.join(base, "checkpoint")).awaitTermination()
+    return pipe
+
+
+@register("streamed_gold_daily")
+def q_streamed_gold_daily(spark, sf_dir):
+    return normalise(_run_pipeline(spark, sf_dir).table("gold_daily_sales").drop("last_refreshed"))
+
+
+@register("streamed_gold_items")
+def q_streamed_gold_items(spark, sf_dir):
+    return normalise(_run_pipeline(spark, sf_dir).table("gold_item_performance").drop("last_refreshed"))
+
+
+@register("streamed_gold_customers")
+def q_streamed_gold_customers(spark, sf_dir):
+    return normalise(_run_pipeline(spark, sf_dir).table("gold_customer_activity").drop("last_refreshed"))
+
+
+def _run_views(spark, sf_dir) -> IncrementalViews:
+    s = Star(spark, sf_dir)
+    base = work_dir(spark, f"views-{uuid.uuid4().hex}")
+    landing = os.path.join(base, "orders")
+    schema = s.fact_order().schema
+    views_ = IncrementalViews(spark, os.path.join(base, "tables"), s.dim_customer(), schema)
+    for since, until in ((None, PIPELINE_SPLIT), (PIPELINE_SPLIT, None)):
+        feeds.land(s.fact_order(since=since, until=until), landing)
+        feeds.run_available(spark, landing, schema, os.path.join(base, "checkpoint"), views_.process)
+    return views_
+
+
+@register("streamed_hourly_sales")
+def q_streamed_hourly_sales(spark, sf_dir):
+    """``hourly_sales`` kept in step with two order drops."""
+    return normalise(_run_views(spark, sf_dir).hourly_sales())
+
+
+@register("streamed_customer_metrics")
+def q_streamed_customer_metrics(spark, sf_dir):
+    """``customer_metrics`` kept in step with two order drops."""
+    return normalise(_run_views(spark, sf_dir).customer_metrics(AS_OF_ORDERS))

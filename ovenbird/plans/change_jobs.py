@@ -1,6 +1,6 @@
 """Bodies of the change-driven jobs (order log, review sentiment, inventory
 alerts, customer history).  Each takes one batch of changes and returns the
-rows to append; ``streaming.jobs`` runs them per micro-batch."""
+rows to append; ``streaming.feeds.AppendFeed`` runs them per micro-batch."""
 
 from __future__ import annotations
 

@@ -6,7 +6,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import money, timefn
@@ -20,14 +20,19 @@ DAILY_SALES_INSERT = ["sales_date", "location_id"] + DAILY_SALES_UPDATE + ["is_w
 
 
 def daily_sales_source(orders: DataFrame, items: DataFrame, customers: DataFrame,
-                       item_range=PIZZA_ITEM_RANGE) -> DataFrame:
+                       item_range=PIZZA_ITEM_RANGE, few_orders: bool = False) -> DataFrame:
     """Per date x location: orders, revenue, average (stored as DECIMAL(8,2)),
     order-type counts, pizzas (lines pre-aggregated per order), new customers
     and the weekend flag of the sales date.
 
+    ``few_orders``: the orders are a window of the table; only their lines are
+    grouped (a semi join in front of the aggregate).
+
     The two distinct counts are taken in two grouping levels: first per
     (date, location, customer), then per (date, location).
     """
+    if few_orders:
+        items = items.join(orders.select("order_id"), "order_id", "left_semi")
     lines = pizza_lines(items, item_range).select("order_id", "pizzas")
     o = orders.join(lines, "order_id", "left")
     t = F.col("order_type")
@@ -126,12 +131,14 @@ def weekly_report(daily_sales: DataFrame, locations: DataFrame, as_of: dt.date,
                     "prev_week_revenue", growth.alias("wow_growth_pct"))
 
 
-def order_log(new_orders: DataFrame) -> DataFrame:
-    """Processed-order log rows for a batch of new-order changes."""
+def order_log(new_orders: DataFrame, processed_at: Column | None = None) -> DataFrame:
+    """Processed-order log rows for a batch of new-order changes, with the time
+    of processing if it is given."""
     return new_orders.select(
         "order_id", F.col("_action").alias("action_type"),
         F.col("total_amount").alias("order_total"), "customer_id", "location_id",
-        F.lit(False).alias("notification_sent"))
+        F.lit(False).alias("notification_sent"),
+        *([] if processed_at is None else [processed_at.alias("processed_at")]))
 
 
 def purge_order_log(log: DataFrame, as_of: dt.date, days: int = 30) -> DataFrame:

@@ -47,19 +47,21 @@ def order_items_array(items: DataFrame, menu: DataFrame) -> DataFrame:
             "item_id", "item_name", "quantity", F.col("unit_price").alias("price")))).alias("items"))
 
 
-def bronze_events(orders: DataFrame, items: DataFrame, menu: DataFrame, as_of: dt.date,
-                  days: int = 7, limit: int | None = None) -> DataFrame:
-    """One ORDER_PLACED event per order of the last ``days`` days.
+def bronze_events(orders: DataFrame, items: DataFrame, menu: DataFrame, as_of: dt.date | None = None,
+                  days: int | None = None) -> DataFrame:
+    """One ORDER_PLACED event per order, of all orders or (``days``) of the last
+    days before ``as_of``.
 
     The payload is a VARIANT built from the order and its lines; keys whose
     value is NULL are left out (an order without lines has no ``items``).
     Event ids are a hash of the order key, so a recomputed task writes the
-    same ids.  ``limit`` keeps the first n orders by key when given.
+    same ids.
     """
-    since = as_of - dt.timedelta(days=days)
-    o = orders.filter(F.col("order_timestamp") >= timefn.ts_lit(since))
-    if limit is not None:
-        o = o.orderBy("order_id").limit(limit)
+    o = orders
+    if days is not None:
+        o = o.filter(F.col("order_timestamp") >= timefn.ts_lit(as_of - dt.timedelta(days=days)))
+        # Only the window's lines are shuffled and collected.
+        items = items.join(o.select("order_id"), "order_id", "left_semi")
     o = o.join(order_items_array(items, menu), "order_id", "left")
     payload = object_of(
         order_id=F.col("order_id"), customer_id=F.col("customer_id"),
@@ -193,6 +195,11 @@ def gold_item_performance(silver_items: DataFrame, locations: DataFrame, menu: D
         F.sum(F.col("quantity") * (F.col("base_price") - F.col("cost_to_make"))).alias("estimated_profit"))
 
 
+def average(total, n):
+    """``AVG`` of a DECIMAL(10,2) column from its exact sum and count."""
+    return F.round(money.exact_ratio(total, n), 6).cast("decimal(14,6)")
+
+
 def activity_level(n):
     return F.when(n >= 5, "HIGH").when(n >= 2, "MEDIUM").otherwise("LOW")
 
@@ -225,7 +232,7 @@ def dash_daily(gold_daily: DataFrame) -> DataFrame:
         F.round("total_revenue", 2).alias("revenue"),
         F.round("avg_order_value", 2).alias("aov"),
         "delivery_orders", "pickup_orders", "dine_in_orders")
-        .orderBy(F.desc("order_date"), F.desc("revenue")))
+        .orderBy(F.desc_nulls_first("order_date"), F.desc_nulls_first("revenue")))
 
 
 def latest(df: DataFrame, ts_col: str) -> DataFrame:
@@ -233,14 +240,6 @@ def latest(df: DataFrame, ts_col: str) -> DataFrame:
     return df.agg(F.max(ts_col).alias("now"))
 
 
-def dash_current_hour(gold_hourly: DataFrame, now) -> DataFrame:
-    """Current hour per location.  ``now`` is a timestamp column or literal
-    (see ``dash_current_hour_at_latest`` for the data's latest hour)."""
-    g = gold_hourly.filter((F.col("order_date") == F.to_date(now)) & (F.col("order_hour") == F.hour(now)))
-    return g.select("location_name", "orders", F.round("revenue", 2).alias("revenue"),
-                    "period_type").orderBy(F.desc("revenue"))
-
-
 def dash_current_hour_at_latest(silver: DataFrame, locations: DataFrame) -> DataFrame:
     """Current-hour board at the data's latest event time.  The (date, hour)
     key is fixed before aggregating, so only that hour's orders are read and
@@ -251,7 +250,7 @@ def dash_current_hour_at_latest(silver: DataFrame, locations: DataFrame) -> Data
     hour_rows = valid.join(F.broadcast(now), ["order_date", "order_hour"], "left_semi")
     g = gold_hourly_sales(hour_rows, locations)
     return g.select("location_name", "orders", F.round("revenue", 2).alias("revenue"),
-                    "period_type").orderBy(F.desc("revenue"))
+                    "period_type").orderBy(F.desc_nulls_first("revenue"))
 
 
 def dash_top_items(gold_items: DataFrame, day_col, n: int = 10) -> DataFrame:
@@ -260,7 +259,8 @@ def dash_top_items(gold_items: DataFrame, day_col, n: int = 10) -> DataFrame:
         F.sum("quantity_sold").alias("total_sold"),
         F.round(F.sum("item_revenue"), 2).alias("revenue"),
         F.round(F.sum("estimated_profit"), 2).alias("profit"))
-    return agg.orderBy(F.desc("total_sold"), F.desc("revenue"), "item_name", "category_name").limit(n)
+    return agg.orderBy(F.desc_nulls_first("total_sold"), F.desc_nulls_first("revenue"), F.asc_nulls_last("item_name"),
+                       F.asc_nulls_last("category_name")).limit(n)
 
 
 def dash_top_items_at_latest(silver_items: DataFrame, locations: DataFrame, menu: DataFrame,
@@ -277,4 +277,4 @@ def dash_top_items_at_latest(silver_items: DataFrame, locations: DataFrame, menu
 def dash_vip(gold_customers: DataFrame) -> DataFrame:
     return (gold_customers.filter(F.col("activity_level") == "HIGH").select(
         "customer_name", "email", "recent_orders", F.round("recent_spend", 2).alias("spend"),
-        "preferred_order_type", "activity_level").orderBy(F.desc("spend")))
+        "preferred_order_type", "activity_level").orderBy(F.desc_nulls_first("spend")))

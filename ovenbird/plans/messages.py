@@ -261,19 +261,15 @@ STAGED_ITEMS = [("Pepperoni", "Large", 1), ("Garlic Knots", "N/A", 2)]
 STAGED_TOTAL = "28.99"
 
 
-def staged_online_orders(customers: DataFrame, max_customer_id: int | None = None) -> DataFrame:
-    """Staged online orders with a semi-structured payload per customer
-    (all customers unless ``max_customer_id`` bounds them).  The id is
-    'ONLINE-' plus a hash of the customer key, so re-runs give the same ids."""
-    c = customers
-    if max_customer_id is not None:
-        c = c.filter(F.col("customer_id") <= max_customer_id)
+def staged_online_orders(customers: DataFrame) -> DataFrame:
+    """Staged online orders with a semi-structured payload per customer.  The
+    id is 'ONLINE-' plus a hash of the customer key, so re-runs give the same ids."""
     items = F.array(*[F.struct(F.lit(i).alias("item"), F.lit(s).alias("size"), F.lit(q).alias("qty"))
                       for i, s, q in STAGED_ITEMS])
     payload = object_of(customer_email=F.col("email"), items=items,
                         total=F.lit(STAGED_TOTAL).cast("decimal(4,2)"),
                         delivery_address=F.col("address"), order_source=F.lit("WEBSITE"))
-    return c.select(
+    return customers.select(
         F.concat(F.lit("ONLINE-"), F.sha2(F.col("customer_id").cast("string"), 256)).alias("raw_order_id"),
         "customer_id",
         json_text(payload).alias("raw_payload"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -79,10 +80,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster the setting names a shared filesystem and is used as is. Only
-    when it is unset (local tests) is a scratch folder made and registered.
+    a local master (one machine, as in tests) may leave it unset: then a scratch
+    folder is made and registered.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="ovenbird-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     sc = spark.sparkContext

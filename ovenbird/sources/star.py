@@ -132,13 +132,16 @@ class Star:
             "unit_price",
             F.expr("cast((cast(line_total * 100 as bigint) div quantity) * 0.01 as decimal(8,2))"))
 
-    def fact_review(self) -> DataFrame:
-        """FACT_REVIEW: purchase/click events that hit an order; text by doc id."""
+    def fact_review(self, with_text: bool = True) -> DataFrame:
+        """FACT_REVIEW: purchase/click events that hit an order; text by doc id
+        (``with_text=False`` for callers that don't read it: no join to the
+        documents)."""
         ev = self.raw("events").filter(F.col("event_type").isin("purchase", "click"))
         orders = self.raw("orders").select("o_orderkey", "o_custkey")
-        docs = self.raw("documents").select(F.col("doc_id"), F.col("text").alias("review_text"))
         joined = ev.join(orders, ev.event_id == orders.o_orderkey, "inner")
-        joined = joined.join(docs, joined.event_id == docs.doc_id, "left")
+        if with_text:
+            docs = self.raw("documents").select(F.col("doc_id"), F.col("text").alias("review_text"))
+            joined = joined.join(docs, joined.event_id == docs.doc_id, "left")
         return joined.select(
             F.col("event_id").alias("review_id"),
             F.col("event_id").alias("order_id"),
@@ -146,7 +149,7 @@ class Star:
             (F.col("o_orderkey") % N_LOCATIONS).alias("location_id"),
             F.col("ts").alias("review_date"),
             (F.floor(F.col("value")) % 7).cast("int").alias("overall_rating"),
-            F.col("review_text"),
+            *([F.col("review_text")] if with_text else []),
             _case(F.col("event_id") % 4, {0: "WEBSITE", 1: "GOOGLE", 2: "YELP"}, "DOORDASH").alias("review_source"),
         )
 

@@ -1,16 +1,11 @@
-"""Table plumbing: session tables, column defaults and versioned writes.
+"""Table plumbing: session tables, column defaults and writes of tables.
 
-Parquet tables have no transactions, so a rewrite (upsert, delete, update)
-goes to a fresh version folder and a one-line pointer names the current
-version; readers resolve the pointer, so a table is never overwritten while a
-job reads it.  Paths go through Spark's file APIs, so the same code works on a
-shared cluster filesystem.
+Paths go through Spark's writers, so the same code works on any file system
+that a cluster shares.
 """
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,32 +28,21 @@ def apply_defaults(df: DataFrame, defaults: dict[str, Column]) -> DataFrame:
     return out
 
 
-def _pointer(base: str, name: str) -> str:
-    return f"{base.rstrip('/')}/{name}/_current"
-
-
-def write_version(spark: SparkSession, base: str, name: str, df: DataFrame,
-                  partition_by: list[str] | None = None) -> str:
-    """Write ``df`` as a new version of table ``name`` and make it current."""
-    version = uuid.uuid4().hex
-    path = f"{base.rstrip('/')}/{name}/v={version}"
-    w = df.write.mode("error")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
-    spark.createDataFrame([(version,)], "value string").coalesce(1).write.mode("overwrite").text(
-        _pointer(base, name))
-    return path
-
-
-def current_path(spark: SparkSession, base: str, name: str) -> str:
-    version = spark.read.text(_pointer(base, name)).first()["value"]
-    return f"{base.rstrip('/')}/{name}/v={version}"
+def replace_partitions(df: DataFrame, path: str, by: list[str]) -> None:
+    """Write ``df`` over the partitions that it has rows for; others stay.  A
+    hot partition is split over tasks (``rebalance``), small ones share one."""
+    (df.hint("rebalance", *by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*by).parquet(path))
 
 
-def read_current(spark: SparkSession, base: str, name: str) -> DataFrame:
-    return spark.read.parquet(current_path(spark, base, name))
+def append_rows(df: DataFrame, path: str, by: list[str] | None = None) -> None:
+    """``INSERT INTO``: append to a (partitioned) table folder."""
+    out = df.hint("rebalance", *by) if by else df
+    w = out.write.mode("append")
+    (w.partitionBy(*by) if by else w).parquet(path)
 
 
-def now_ntz() -> Column:
-    return F.current_timestamp().cast("timestamp_ntz")
+def replace_table(df: DataFrame, path: str) -> None:
+    """``CREATE OR REPLACE TABLE AS SELECT`` of a result that doesn't read
+    ``path`` itself; the commit replaces the folder's files."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)

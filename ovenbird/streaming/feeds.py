@@ -4,8 +4,8 @@ A table that only grows is a folder of parquet files; new files are new rows.
 The file source with ``Trigger.AvailableNow`` processes whatever arrived since
 the last run and records the offset in its checkpoint only after the sink
 write of the micro-batch succeeded (the offset moves on consumption, and a
-run with nothing new starts no batch).  Sinks are idempotent per batch id, so
-a batch replayed after a failure overwrites its own output.
+run with nothing new starts no batch).  Sinks are ``BatchLog`` tables: a batch
+replayed after a failure overwrites its own run.
 """
 
 from __future__ import annotations
@@ -16,6 +16,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.changes import insert_feed
+from .state import BatchLog
+
+#: (changes of a batch, the job's output before the batch or None) -> new rows
+Job = Callable[[DataFrame, DataFrame | None], DataFrame]
 
 
 def run_available(spark: SparkSession, source_dir: str, schema, checkpoint: str,
@@ -27,19 +31,6 @@ def run_available(spark: SparkSession, source_dir: str, schema, checkpoint: str,
     q.awaitTermination()
 
 
-def batch_sink(sink_dir: str, transform: Callable[[DataFrame], DataFrame] | None = None,
-               partition_by: list[str] | None = None) -> Callable[[DataFrame, int], None]:
-    """foreachBatch body writing each micro-batch to ``sink_dir/batch=<id>``
-    (overwrite), so a replayed batch id rewrites the same folder."""
-    def body(df: DataFrame, batch_id: int) -> None:
-        out = transform(df) if transform else df
-        w = out.write.mode("overwrite")
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.parquet(os.path.join(sink_dir, f"batch={batch_id}"))
-    return body
-
-
 def discard(_df: DataFrame, _batch_id: int) -> None:
     """Body of the priming run (the feed starts after the rows present at
     creation, like a stream created without its initial rows)."""
@@ -49,25 +40,41 @@ def discard(_df: DataFrame, _batch_id: int) -> None:
 class AppendFeed:
     """An append-only feed over a landing folder with its own checkpoint."""
 
-    def __init__(self, spark: SparkSession, landing_dir: str, state_dir: str, schema):
+    def __init__(self, spark: SparkSession, landing_dir: str, state_dir: str, schema,
+                 job: Job | None = None, changes: bool = False):
+        """``job`` turns a batch of changes and the job's own output before the
+        batch into the rows to append (default: the changes themselves).
+        ``changes``: the landed rows are change images already."""
         self.spark = spark
         self.landing_dir = landing_dir
         self.schema = schema
+        self.job = job or (lambda df, _before: df)
+        self.changes = changes
+        none = self._feed(spark.createDataFrame([], schema))
+        # The first output schema can't depend on the output before it.
+        first = self.job(none, None).schema
+        self.sink = BatchLog(spark, os.path.join(state_dir, "sink"), first)
         self.checkpoint = os.path.join(state_dir, "checkpoint")
-        self.sink_dir = os.path.join(state_dir, "sink")
 
     def prime(self) -> None:
         """Skip the rows already present (``SHOW_INITIAL_ROWS = FALSE``)."""
         run_available(self.spark, self.landing_dir, self.schema, self.checkpoint, discard)
 
-    def consume(self, transform: Callable[[DataFrame], DataFrame] | None = None) -> None:
+    def _feed(self, df: DataFrame) -> DataFrame:
+        return df if self.changes else insert_feed(df)
+
+    def body(self, df: DataFrame, batch_id: int) -> None:
+        """foreachBatch body: the job sees its output as it was before."""
+        self.sink.merge_runs(batch_id)
+        self.sink.write(self.job(self._feed(df), self.sink.read(batch_id)), batch_id)
+
+    def consume(self) -> None:
         """Process the rows that arrived since the last consumption."""
-        run_available(self.spark, self.landing_dir, self.schema, self.checkpoint,
-                      batch_sink(self.sink_dir, lambda df: (transform or (lambda x: x))(insert_feed(df))))
+        run_available(self.spark, self.landing_dir, self.schema, self.checkpoint, self.body)
 
     def consumed(self) -> DataFrame:
-        """Everything the feed has delivered so far (all batches)."""
-        return self.spark.read.parquet(self.sink_dir).drop("batch")
+        """Everything the job has appended so far (empty if nothing)."""
+        return self.sink.read()
 
 
 def land(df: DataFrame, landing_dir: str) -> None:

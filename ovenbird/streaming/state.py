@@ -1,0 +1,173 @@
+"""Tables that micro-batches append to, and keyed state on top of them.
+
+``BatchLog`` keeps one folder (*run*) per micro-batch.  A batch that is replayed
+overwrites its own run, so every batch counts once.  Before a batch, committed
+runs are merged in tiers (``FAN_IN`` runs of about one size become one), so
+there are few folders to list however long the stream runs, and a row is
+rewritten a logarithmic number of times.
+
+``KeyedState`` keeps mergeable partials per key (counts, sums, least, greatest,
+value counts).  A batch reads and rewrites the partials of the keys that it
+touches, never the rows they came from.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+FAN_IN = 8
+BATCH = "_batch"
+
+
+class Folder:
+    """The few file-system calls that a log needs, on any file system that
+    Spark can write to."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self._jvm, self._conf = spark._jvm, spark._jsc.hadoopConfiguration()
+        self.path = path.rstrip("/")
+
+    def _at(self, name: str):
+        p = self._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}" if name else self.path)
+        return p.getFileSystem(self._conf), p
+
+    def names(self) -> list[str]:
+        fs, p = self._at("")
+        return [x.getPath().getName() for x in fs.listStatus(p)] if fs.exists(p) else []
+
+    def exists(self, name: str) -> bool:
+        fs, p = self._at(name)
+        return fs.exists(p)
+
+    def delete(self, name: str) -> None:
+        fs, p = self._at(name)
+        fs.delete(p, True)
+
+
+class BatchLog:
+    """Rows of micro-batches; ``part`` names a partition column of ``schema``."""
+
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, part: str | None = None):
+        self.spark, self.path, self.schema, self.part = spark, path.rstrip("/"), schema, part
+        self.folder = Folder(spark, path)
+
+    def runs(self, before: int | None = None) -> list[tuple[int, int]]:
+        """The committed runs (first, last batch) that cover all batches below
+        ``before``; a merged run stands for those that it was made of."""
+        found = []
+        for name in self.folder.names():
+            if name.startswith("run=") and self.folder.exists(f"{name}/_SUCCESS"):
+                first, last = map(int, name[4:].split("-"))
+                if before is None or last < before:
+                    found.append((first, last))
+        out: list[tuple[int, int]] = []
+        for first, last in sorted(found, key=lambda r: (r[0], -r[1])):
+            if not out or first > out[-1][1]:
+                out.append((first, last))
+        return out
+
+    def _path(self, run: tuple[int, int]) -> str:
+        return f"{self.path}/run={run[0]}-{run[1]}"
+
+    def _read(self, runs: list[tuple[int, int]]) -> DataFrame:
+        if not runs:
+            return self.spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in self.schema])
+        read = self.spark.read.schema(self.schema).option("basePath", self.path)
+        return read.parquet(*map(self._path, runs)).select(*self.schema.names)
+
+    def read(self, before: int | None = None) -> DataFrame:
+        return self._read(self.runs(before))
+
+    def _save(self, df: DataFrame, run: tuple[int, int]) -> None:
+        df = df.select(*self.schema.names)
+        if self.part:  # a hot partition is split over tasks, small ones share one
+            df.hint("rebalance", self.part).write.mode("overwrite").option("partitionOverwriteMode", "static") \
+                .partitionBy(self.part).parquet(self._path(run))
+        else:
+            df.hint("rebalance").write.mode("overwrite").parquet(self._path(run))
+
+    def write(self, df: DataFrame, batch_id: int) -> DataFrame:
+        """Write a batch's run and return it as it was stored."""
+        self._save(df, (batch_id, batch_id))
+        return self._read([(batch_id, batch_id)])
+
+    def merge_runs(self, batch_id: int, merge: Callable[[DataFrame], DataFrame] = lambda df: df) -> None:
+        """Merge full tiers among the runs that are older than ``batch_id``
+        (their batches are committed, so none of them can be replayed)."""
+        while True:
+            runs = self.runs(batch_id)
+            tail = runs[-FAN_IN:]
+            sizes = {last - first for first, last in tail}
+            if len(tail) < FAN_IN or len(sizes) > 1:
+                return
+            merged = (tail[0][0], tail[-1][1])
+            self._save(merge(self._read(tail)), merged)
+            for run in tail:
+                self.folder.delete(f"run={run[0]}-{run[1]}")
+
+
+#: kind of a partial -> how two of them become one (either may be NULL).
+MERGE: dict[str, Callable[[Column, Column], Column]] = {
+    "sum": lambda a, b: F.coalesce(a + b, a, b),
+    "min": lambda a, b: F.least(a, b),
+    "max": lambda a, b: F.greatest(a, b),
+    "counts": lambda a, b: F.when(a.isNull(), b).when(b.isNull(), a).otherwise(
+        F.map_zip_with(a, b, lambda _, x, y: F.coalesce(x, F.lit(0)) + F.coalesce(y, F.lit(0)))),
+}
+
+
+class KeyedState:
+    """Partials per key.  ``partial`` turns a batch into one row per key with
+    the columns ``kinds``, each merged by its kind."""
+
+    def __init__(self, spark: SparkSession, path: str, keys: list[str], kinds: dict[str, str],
+                 partial: Callable[[DataFrame], DataFrame], like: DataFrame):
+        self.keys, self.kinds, self.partial = keys, kinds, partial
+        schema = T.StructType([*partial(like).select(*keys, *kinds).schema.fields, T.StructField(BATCH, T.LongType())])
+        self.log = BatchLog(spark, path, schema)
+
+    def _latest(self, df: DataFrame) -> DataFrame:
+        rest = [*self.kinds, BATCH]
+        return df.groupBy(*self.keys).agg(F.max_by(F.struct(*rest), BATCH).alias("_s")).select(*self.keys, "_s.*")
+
+    def _merged(self, c: str, kind: str) -> Column:
+        both = MERGE[kind](F.col(f"_o_{c}"), F.col(c))
+        return both.cast(self.log.schema[c].dataType) if kind == "sum" else both  # a sum of decimals widens
+
+    def update(self, rows: DataFrame, batch_id: int) -> None:
+        self.log.merge_runs(batch_id, self._latest)
+        new = self.partial(rows)
+        old = self._latest(self.log.read(batch_id)).select(
+            *[F.col(k).alias(f"_o_{k}") for k in self.keys], *[F.col(c).alias(f"_o_{c}") for c in self.kinds])
+        same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_o_{k}")) for k in self.keys])
+        merged = new.join(old, same, "left").select(
+            *self.keys, *[self._merged(c, kind).alias(c) for c, kind in self.kinds.items()],
+            F.lit(batch_id).cast("bigint").alias(BATCH))
+        self.log.write(merged, batch_id)
+
+    def current(self) -> DataFrame:
+        return self._latest(self.log.read()).drop(BATCH)
+
+
+def value_counts(df: DataFrame, key: str, values: list[str]) -> DataFrame:
+    """Per key, a map value -> rows for each of ``values`` (bounded domains),
+    named ``<value>_counts``."""
+    long = df.select(key, F.explode(F.array(*[F.struct(F.lit(v).alias("c"), F.col(v).cast("string").alias("v"))
+                                              for v in values])).alias("x"))
+    counted = long.filter("x.v IS NOT NULL").groupBy(key, "x.c", "x.v").agg(F.count(F.lit(1)).alias("n"))
+    return counted.groupBy(key).agg(*[
+        F.map_from_entries(F.collect_list(F.when(F.col("c") == v, F.struct("v", "n")))).alias(f"{v}_counts")
+        for v in values])
+
+
+def mode_of(counts: Column, number: bool = False) -> Column:
+    """The most frequent value of such a map; of several the smallest."""
+    entry = F.map_entries(counts)
+    value = (lambda e: e["key"].cast("bigint")) if number else (lambda e: e["key"])
+    ordered = F.array_sort(F.transform(entry, lambda e: F.struct((-e["value"]).alias("n"), value(e).alias("v"))))
+    return F.get(ordered, 0)["v"]

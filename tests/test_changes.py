@@ -86,13 +86,18 @@ def test_surrogate_ids_continue_after_existing(spark):
     assert out == [(10, 8), (20, 9), (30, 10)]
 
 
-def test_versioned_table_swap(spark, scratch):
+def test_table_writes(spark, scratch):
     from ovenbird.sources import tables
     t1 = spark.createDataFrame([(1,)], "a int")
-    tables.write_version(spark, scratch, "t", t1)
-    cur = tables.read_current(spark, scratch, "t")
-    tables.write_version(spark, scratch, "t", cur.union(spark.createDataFrame([(2,)], "a int")))
-    assert sorted(r.a for r in tables.read_current(spark, scratch, "t").collect()) == [1, 2]
+    rows = spark.createDataFrame([(1, "x"), (2, "y"), (3, "y")], "a int, p string")
+    path = f"{scratch}/t"
+    tables.append_rows(rows, path, ["p"])
+    tables.append_rows(rows.filter("a = 1"), path, ["p"])
+    assert sorted(r.a for r in spark.read.parquet(path).collect()) == [1, 1, 2, 3]
+    tables.replace_partitions(spark.createDataFrame([(9, "y")], "a int, p string"), path, ["p"])
+    assert sorted(r.a for r in spark.read.parquet(path).collect()) == [1, 1, 9]
+    tables.replace_table(t1, path)
+    assert [r.a for r in spark.read.parquet(path).collect()] == [1]
     d = tables.apply_defaults(t1, {"flag": F.lit(False), "a": F.lit(99)})
     assert d.first().a == 1 and d.first().flag is False
 
@@ -116,3 +121,58 @@ def test_snapshot_diff_property(spark):
         assert got == sorted(a.values(), key=str)
 
     check()
+
+
+def test_row_ids_of_different_keys_differ(spark):
+    from ovenbird.operators.changes import row_id
+    keys = [("a|b", "c"), ("a", "b|c"), (None, "x"), ("x", None), ("", "x"), ("1:a;", ""), ("1:a", ";"), (None, None), ("-;", None)]
+    df = spark.createDataFrame(keys, "p string, q string").select(row_id(["p", "q"]).alias("r"))
+    assert df.distinct().count() == len(keys)
+
+
+def test_as_of_tie_rule(spark):
+    from ovenbird.operators.changes import as_of
+    rows = [(1, "old", "INSERT", 5, 1), (1, "new", "INSERT", 5, 2), (2, "gone", "INSERT", 5, 1), (2, "gone", "DELETE", 5, 2),
+            (3, "b", "INSERT", 5, None), (3, "a", "INSERT", 5, None)]
+    h = spark.createDataFrame(rows, "k int, v string, _action string, at int, seq int")
+    for parts in (1, 4):
+        got = as_of(h.repartition(parts), ["k"], "at", 5, "seq").orderBy("k").collect()
+        assert [tuple(r) for r in got] == [(1, "new"), (3, "b")]
+
+
+def test_one_decimal_equals_python(spark):
+    from ovenbird.plans.analytics import one_decimal
+    import random
+    rng = random.Random(1)
+    values = [x / 100 for x in range(0, 1001)] + [rng.random() * 5 for _ in range(2000)] + [x / 8 for x in range(60)]
+    df = spark.createDataFrame([(v,) for v in values] + [(None,)], "v double")
+    for r in df.select("v", one_decimal(F.col("v")).alias("t")).collect():
+        assert r.t == (None if r.v is None else f"{r.v:.1f}"), r
+
+
+def test_checkpoint_folder_is_required_on_a_cluster():
+    import pytest
+    from types import SimpleNamespace
+    from ovenbird.session import ensure_checkpoint_dir
+    cluster = SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None), sparkContext=SimpleNamespace(master="yarn"))
+    with pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(cluster)
+
+
+def test_dashboards_put_null_first_on_descending_order(spark):
+    from ovenbird.plans import medallion
+    gold = spark.createDataFrame([("a", "e", 6, 5.0, "x", "HIGH"), ("b", "e", 7, None, "x", "HIGH"), ("c", "e", 9, 9.0, "x", "HIGH")],
+                                 "customer_name string, email string, recent_orders int, recent_spend double, "
+                                 "preferred_order_type string, activity_level string")
+    assert [r.customer_name for r in medallion.dash_vip(gold).collect()] == ["b", "c", "a"]
+
+
+def test_quality_checks_find_each_fault(spark):
+    from ovenbird.plans.quality import run_quality_checks
+    orders = spark.createDataFrame([(1, None, 5.0), (2, 1, -5.0), (3, 1, 5.0)], "order_id int, customer_id int, total_amount double")
+    items = spark.createDataFrame([(1,), (9,), (8,)], "order_id int")
+    reviews = spark.createDataFrame([(0,), (5,), (6,), (None,)], "overall_rating int")
+    customers = spark.createDataFrame([("a",), ("a",), (None,), (None,), ("b",)], "email string")
+    got = {r.check_name: (r.status, r.issue_count) for r in run_quality_checks(orders, items, reviews, customers).collect()}
+    assert got == {"Null Customer ID": ("FAIL", 1), "Negative Totals": ("FAIL", 1), "Orphaned Order Items": ("FAIL", 2),
+                   "Invalid Ratings": ("FAIL", 2), "Duplicate Emails": ("WARN", 2)}

@@ -4,16 +4,17 @@ filters and column pruning reach the parquet scan, top-k stays top-k."""
 import pytest
 
 import __spark_entry__ as E
+from ovenbird.plans.catalog import REGISTRY
 
 SF = "/root/testdata/sf0.001"
-SKIP = {"streamed_gold_daily"}  # runs a stream while being built; covered elsewhere
+OWN = [k for k in REGISTRY if not k.startswith("streamed_")]  # streams run while being built
 
 
 def _plan(spark, key):
     return E.queries()[key](spark, SF)._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("key", sorted(k for k in E.queries() if k not in SKIP))
+@pytest.mark.parametrize("key", sorted(OWN))
 def test_no_pairing_or_expand(spark, key):
     plan = _plan(spark, key)
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "Expand"):

@@ -4,7 +4,7 @@ import os
 from pyspark.sql import functions as F
 
 from ovenbird.plans import medallion
-from ovenbird.sources.star import AS_OF_ORDERS, Star
+from ovenbird.sources.star import Star
 from ovenbird.streaming import feeds
 from ovenbird.streaming.incremental import IncrementalMedallion
 
@@ -19,6 +19,7 @@ def test_append_feed_restart_delivers_each_file_once(spark, scratch):
     feeds.land(orders.filter(F.col("order_timestamp") < split1), landing)
     feed = feeds.AppendFeed(spark, landing, os.path.join(scratch, "state"), orders.schema)
     feed.prime()  # existing rows are not part of the feed
+    assert feed.consumed().count() == 0
     feeds.land(orders.filter((F.col("order_timestamp") >= split1) & (F.col("order_timestamp") < split2)), landing)
     feed.consume()
     feed.consume()  # nothing new: no batch, nothing duplicated
@@ -34,7 +35,7 @@ def test_append_feed_restart_delivers_each_file_once(spark, scratch):
 
 def test_incremental_gold_equals_full_recompute(spark, scratch):
     s = Star(spark, SF)
-    bronze = medallion.bronze_events(s.fact_order(), s.fact_order_item(), s.dim_menu_item(), AS_OF_ORDERS, days=3650)
+    bronze = medallion.bronze_events(s.fact_order(), s.fact_order_item(), s.dim_menu_item())
     landing = os.path.join(scratch, "bronze")
     cut = dt.datetime(1999, 6, 1)
     bronze.filter(F.col("event_timestamp") < cut).write.mode("append").parquet(landing)
@@ -59,6 +60,94 @@ def test_incremental_gold_equals_full_recompute(spark, scratch):
     inc_items = pipe.table("gold_item_performance").select(*full_items.columns)
     assert inc_items.exceptAll(full_items).count() == 0 and full_items.exceptAll(inc_items).count() == 0
     pipe.refresh("gold_hourly_sales")
+    assert "last_refreshed" in pipe.table("gold_daily_sales").columns
     full_hourly = medallion.gold_hourly_sales(silver, s.dim_location())
     inc_hourly = pipe.table("gold_hourly_sales").select(*full_hourly.columns)
     assert inc_hourly.exceptAll(full_hourly).count() == 0
+
+
+def _pipe(spark, scratch):
+    s = Star(spark, SF)
+    return s, IncrementalMedallion(spark, os.path.join(scratch, "tables"), s.dim_location(), s.dim_customer(),
+                                   s.dim_menu_item(), s.dim_category())
+
+
+def _same(got, want):
+    got = got.select(*want.columns)
+    return got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_ordinary_batches_of_the_pipeline(spark, scratch):
+    """Empty, update-only, without items, repeated events, a replayed batch."""
+    s, pipe = _pipe(spark, scratch)
+    assert pipe.table("gold_daily_sales").count() == 0 and pipe.table("gold_customer_activity").count() == 0
+    orders = s.fact_order().filter("order_id % 20 = 1")
+    bronze = medallion.bronze_events(orders, s.fact_order_item(), s.dim_menu_item())
+    bare = medallion.bronze_events(orders, s.fact_order_item().filter("false"), s.dim_menu_item())
+    pipe.process(bronze.filter("false"), 0)
+    pipe.process(bronze.withColumn("event_type", F.lit("ORDER_UPDATED")), 1)
+    assert pipe.silver().count() == 0
+    first = F.pmod(F.xxhash64("event_id"), F.lit(2)) == 0
+    pipe.process(bare.filter(first), 2)
+    assert pipe.silver_items().count() == 0 and pipe.table("gold_item_performance").count() == 0
+    second = bronze.filter(~first)
+    pipe.process(second.unionByName(second), 3)
+    pipe.process(second.unionByName(bare.filter(first)), 4)  # all seen before
+    pipe.process(second, 3)  # replayed
+    pipe.process(second.unionByName(bare.filter(first)), 4)
+    want = medallion.silver_orders(bare.filter(first).unionByName(second))
+    assert pipe.silver().count() == want.count()
+    assert _same(pipe.table("gold_customer_activity"), medallion.gold_customer_activity(want, s.dim_customer()))
+    assert _same(pipe.table("gold_daily_sales"), medallion.gold_daily_sales(want, s.dim_location()))
+    assert _same(pipe.table("gold_item_performance"), medallion.gold_item_performance(
+        medallion.silver_order_items(want), s.dim_location(), s.dim_menu_item(), s.dim_category()))
+
+
+def test_batch_log_merges_runs(spark, scratch, monkeypatch):
+    from ovenbird.streaming import state
+    monkeypatch.setattr(state, "FAN_IN", 3)
+    schema = spark.createDataFrame([], "a int, p string").schema
+    log = state.BatchLog(spark, os.path.join(scratch, "log"), schema, "p")
+    assert log.read().count() == 0
+    for b in range(11):
+        log.merge_runs(b)
+        log.write(spark.createDataFrame([(b, f"p{b % 2}"), (100 + b, "hot")], schema), b)
+        log.write(spark.createDataFrame([(b, f"p{b % 2}"), (100 + b, "hot")], schema), b)  # replayed
+        assert sorted(r.a for r in log.read().collect()) == sorted([*range(b + 1), *range(100, 101 + b)])
+        assert sorted(r.a for r in log.read(b).collect()) == sorted([*range(b), *range(100, 100 + b)])
+    assert log.runs() == [(0, 8), (9, 9), (10, 10)]
+
+
+def test_keyed_state_equals_one_pass(spark, scratch, monkeypatch):
+    from ovenbird.streaming import state
+    monkeypatch.setattr(state, "FAN_IN", 2)
+
+    def partial(df):
+        return df.groupBy("k").agg(F.sum("x").alias("total"), F.min("x").alias("least"), F.max("x").alias("most")).join(
+            state.value_counts(df, "k", ["v"]), "k", "left")
+    schema = "k int, x int, v string"
+    rows = [(k % 7 or None, k * 37 % 101, "abc"[k * k % 3]) for k in range(90)]
+    like = spark.createDataFrame([], schema)
+    st = state.KeyedState(spark, os.path.join(scratch, "st"), ["k"], {"total": "sum", "least": "min", "most": "max", "v_counts": "counts"},
+                          partial, like)
+    for b in range(6):
+        part = spark.createDataFrame(rows[b * 15:b * 15 + 15], schema).filter("k IS NOT NULL")
+        st.update(part, b)
+        st.update(part, b)
+    whole = spark.createDataFrame(rows, schema).filter("k IS NOT NULL")
+    want = whole.groupBy("k").agg(F.sum("x").alias("total"), F.min("x").alias("least"), F.max("x").alias("most"),
+                                  F.mode("v", True).alias("mode"))
+    got = st.current().select("k", "total", "least", "most", state.mode_of(F.col("v_counts")).alias("mode"))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_refresh_processes_what_has_landed(spark, scratch):
+    s, pipe = _pipe(spark, scratch)
+    bronze = medallion.bronze_events(s.fact_order().filter("order_id % 40 = 1"), s.fact_order_item(), s.dim_menu_item())
+    landing = os.path.join(scratch, "bronze")
+    half = F.pmod(F.xxhash64("event_id"), F.lit(2)) == 0
+    bronze.filter(half).write.parquet(landing)
+    pipe.start(landing, bronze.schema, os.path.join(scratch, "ckpt")).awaitTermination()
+    bronze.filter(~half).write.mode("append").parquet(landing)
+    pipe.refresh("gold_hourly_sales")
+    assert _same(pipe.table("gold_hourly_sales"), medallion.gold_hourly_sales(medallion.silver_orders(bronze), s.dim_location()))
