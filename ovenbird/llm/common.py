@@ -12,7 +12,6 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 
@@ -50,8 +49,15 @@ def column(df: DataFrame, name: str):
     return df[f"`{name}`"]
 
 
-def text_or_empty(df: DataFrame, name: str = "text"):
-    return F.coalesce(column(df, name).cast("string"), F.lit(""))
+#: Bytes of an Arrow batch between the JVM and a Python worker (long documents).
+BATCH_BYTES = 8 << 20
+
+
+def id_text(docs: DataFrame) -> DataFrame:
+    """doc_id and text only (other columns are not read), in batches of bounded
+    bytes for the Python workers."""
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return docs.select(column(docs, "doc_id").alias("doc_id"), column(docs, "text").cast("string").alias("text"))
 
 
 def text_slices(batch_column, limit: int = 8 << 20) -> Iterator[tuple[int, int]]:

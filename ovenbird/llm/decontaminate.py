@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bloom, words
-from .common import batches, column, flat_bytes
+from .common import batches, column, flat_bytes, id_text
 
 K1, B = 1.2, 0.75
 SHARD_ITEMS = 1024
@@ -289,7 +289,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, min_score: float = 0.6, overla
     df = known.select(F.explode(F.array_distinct("h")).alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("df"))
     placed = known.withColumn("part", F.pmod(F.xxhash64("item_id", "question"), F.lit(groups)))
     kind, item_kind = (x.select(column(x, c).alias(c)).dtypes[0][1] for x, c in ((docs, "doc_id"), (items, "item_id")))
-    texts = docs.select(column(docs, "doc_id").alias("doc_id"), column(docs, "text").cast("string").alias("text"))
+    texts = id_text(docs)
     out = None
     for group in range(groups):
         rows = placed.filter(F.col("part") == group)

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bloom
-from .common import SPACES, Scratch, batches, column
+from .common import SPACES, Scratch, batches, column, id_text
 
 #: Distinct fingerprints of one message at most (bounds a sender's memory).
 CHUNK = 500_000
@@ -98,11 +98,7 @@ def _fingerprints(docs: DataFrame) -> DataFrame:
                 [b.column(0), pa.array([fingerprint(x) for x in norms], pa.int64()),
                  pa.array([hashlib.sha256(x).hexdigest() for x in norms]),
                  pa.array([len(x) for x in texts], pa.int64())], names=["doc_id", "h", "sha", "points"])
-    return _id_text(docs).mapInArrow(run, f"doc_id {kind}, h bigint, sha string, points bigint")
-
-
-def _id_text(docs: DataFrame) -> DataFrame:
-    return docs.select(column(docs, "doc_id").alias("doc_id"), column(docs, "text").cast("string").alias("text"))
+    return id_text(docs).mapInArrow(run, f"doc_id {kind}, h bigint, sha string, points bigint")
 
 
 def _messages(hashes: DataFrame, owners: int) -> DataFrame:
@@ -179,7 +175,7 @@ def duplicate_classes(docs: DataFrame, owners: int | None = None) -> DataFrame:
                  pa.array([norms[i] for i in rows], pa.binary()), pa.array([len(texts[i]) for i in rows], pa.int64())],
                 names=["doc_id", "sha", "norm", "points"])
 
-    texts = _id_text(docs).mapInArrow(suspect_texts, f"doc_id {kind}, sha string, norm binary, points bigint")
+    texts = id_text(docs).mapInArrow(suspect_texts, f"doc_id {kind}, sha string, norm binary, points bigint")
     # Grouping by the bytes themselves is the comparison.
     verified = texts.groupBy("sha", "norm").agg(
         F.count(F.lit(1)).alias("size"), F.min(F.struct((-F.col("points")).alias("p"), "doc_id")).alias("best"))

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from . import words
-from .common import batches, column, flat_bytes
+from .common import batches, column, flat_bytes, id_text
 
 GRAM, WINDOW = 3, 2
 MAX_BYTES = 32 << 20
@@ -202,7 +202,7 @@ def find_licenses(docs: DataFrame, templates=None, coverage: float = 0.85) -> Da
     span_end, span_text): spans in code points of the text, end excluded."""
     index = build_index(TEMPLATES if templates is None else list(templates))
     shared = docs.sparkSession.sparkContext.broadcast(index)
-    rows = docs.select(column(docs, "doc_id").alias("doc_id"), column(docs, "text").cast("string").alias("text"))
+    rows = id_text(docs)
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = shared.value

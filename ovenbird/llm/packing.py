@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .byte_ids import byte_ids
-from .common import Scratch, batches, column
+from .common import Scratch, batches, column, id_text
 
 CAPACITY = 1024
 #: Halvings of the capacity that are packed one after another.
@@ -50,7 +50,7 @@ END_ID = 2
 def pieces(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
     """doc_id, piece, start, length, ids (little-endian unsigned 16-bit) and
     ids_crc32 (of the ids as little-endian unsigned 32-bit numbers)."""
-    rows = docs.select(column(docs, "doc_id").alias("doc_id"), column(docs, "text").cast("string").alias("text"))
+    rows = id_text(docs)
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = byte_ids().packed

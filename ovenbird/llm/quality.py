@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import words
-from .common import batches, column, flat_bytes
+from .common import batches, column, flat_bytes, id_text
 
 SAMPLE = 3000
 RANK = 64
@@ -126,7 +126,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int
     known = (labels.select(column(labels, "doc_id").alias("doc_id"), column(labels, label).alias("label"))
              .dropna().filter(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.min("label").alias("label")))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    texts = docs.select(column(docs, "doc_id").alias("doc_id"), column(docs, "text").cast("string").alias("text"))
+    texts = id_text(docs)
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches(it, 2 << 20):
@@ -185,7 +185,7 @@ def score(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
 
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, **how) -> DataFrame:
     """doc_id, held_out, score and predicted (1 from ``threshold`` on)."""
-    texts = docs.select(column(docs, "doc_id").alias("doc_id"), column(docs, "text").cast("string").alias("text"))
+    texts = id_text(docs)
     scored = score(texts, fit(docs, labels, **how))
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
                          (F.col("score") >= threshold).cast("int").alias("predicted"))

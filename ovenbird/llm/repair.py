@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .byte_ids import byte_ids
-from .common import Scratch, batches, column
+from .common import Scratch, batches, column, id_text
 
 END_ID = 0
 BASE = 50257
@@ -164,7 +164,7 @@ def write_shards(docs: DataFrame, path: str, end_id: int = END_ID, base: int = B
     """Tokenise ``docs`` and write the shard table to ``path``."""
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = docs.select(column(docs, "doc_id").alias("doc_id"), column(docs, "text").cast("string").alias("text"))
+    rows = id_text(docs)
     kind = rows.dtypes[0][1]
     tie = F.xxhash64("text")
     ordered = rows.repartitionByRange(parts, "doc_id", tie).sortWithinPartitions("doc_id", tie)

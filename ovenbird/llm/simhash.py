@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bloom
-from .common import Scratch, batches, column
+from .common import Scratch, batches, column, id_text
 from .components import components
 
 BITS = 64
@@ -88,7 +88,7 @@ def fingerprint(text: str | None, size: int = 4) -> int:
 
 def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
     """doc_id and fp (the fingerprint as a signed number)."""
-    rows = docs.select(column(docs, "doc_id").alias("doc_id"), column(docs, "text").cast("string").alias("text"))
+    rows = id_text(docs)
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches(it):
@@ -211,20 +211,20 @@ def near_links(nodes: DataFrame, scratch: Scratch, distance: int) -> DataFrame:
     plan = [(i, g, t) for i, (g, t) in enumerate(allocate(n, both, distance)) if t >= 0]
     keyed = F.explode(F.array(*[F.struct(F.lit(i).alias("part"), _value(_mask(g)).alias("value")) for i, g, _ in plan]))
     index = scratch.put(nodes.select("fp", "size", keyed.alias("k")).select("fp", "size", "k.*"), "index")
-    # Contract the buckets that are too large for pairs.
+    # Buckets that are too large for pairs are contracted first.
     large = scratch.put(index.groupBy("part", "value").agg(
         F.count(F.lit(1)).alias("members"), F.max_by("fp", "size").alias("centre")).filter(F.col("members") > SMALL),
         "large")
-    star = index.join(large, ["part", "value"]).filter((F.col("fp") != F.col("centre")) & _near("fp", "centre", distance))
-    stars = scratch.put(star.select(F.col("fp").alias("a"), F.col("centre").alias("b")), "stars")
+    hot = scratch.put(index.join(large, ["part", "value"]).select("part", "value", "fp", "centre"), "hot")
+    stars = scratch.put(hot.filter((F.col("fp") != F.col("centre")) & _near("fp", "centre", distance)).select(
+        F.col("fp").alias("a"), F.col("centre").alias("b")), "stars")
     merged = scratch.put(components(stars, scratch, "star").withColumnRenamed("node", "fp"), "merged")
-    rooted = scratch.put(index.select("fp", "part", "value").join(merged, "fp", "left")
-                         .withColumn("root", F.coalesce("root", "fp")), "rooted")
-    of_root = rooted.join(large.select("part", "value"), ["part", "value"]).groupBy("part", "value", "root").count()
-    main = scratch.put(of_root.groupBy("part", "value").agg(F.max_by("root", "count").alias("main")), "main")
-    placed = scratch.put(rooted.join(main, ["part", "value"], "left").select(
-        "part", "value", F.col("fp").alias("b"), F.coalesce(F.col("root") == F.col("main"), F.lit(False)).alias("in_main")),
-        "placed")
+    rooted = scratch.put(hot.join(merged, "fp", "left").select(
+        "part", "value", "fp", F.coalesce("root", "fp").alias("root")), "rooted")
+    main = scratch.put(rooted.groupBy("part", "value", "root").count().groupBy("part", "value").agg(
+        F.max_by("root", "count").alias("main")), "main")
+    inside = scratch.put(rooted.join(main, ["part", "value"]).filter("root = main").select(
+        "part", "value", F.col("fp").alias("b")), "inside")
     probes = None
     for i, group, radius in plan:
         flip = F.explode(F.array(*[F.lit(x).cast("bigint") for x in ball(group, radius)]))
@@ -233,12 +233,13 @@ def near_links(nodes: DataFrame, scratch: Scratch, distance: int) -> DataFrame:
         probes = one if probes is None else probes.unionByName(one)
     # Whoever finds a pair from either side finds it from the smaller one too.
     found = F.col("a") < F.col("b")
-    plain = probes.withColumnRenamed("fp", "a").join(placed.filter(~F.col("in_main")), ["part", "value"]) \
-        .filter(found & _near("a", "b", distance)).select("a", "b")
+    outside = index.select("part", "value", F.col("fp").alias("b")).join(inside, ["part", "value", "b"], "left_anti")
+    plain = probes.withColumnRenamed("fp", "a").join(outside, ["part", "value"]).filter(
+        found & _near("a", "b", distance)).select("a", "b")
     # Into a bucket's main component only from outside of it.
-    outer = probes.join(main, ["part", "value"]).join(merged, "fp", "left") \
-        .filter(F.coalesce("root", "fp") != F.col("main")).select("part", "value", F.col("fp").alias("a"))
-    across = outer.join(placed.filter("in_main"), ["part", "value"]).filter(found & _near("a", "b", distance)).select("a", "b")
+    at_hot = probes.join(main, ["part", "value"]).join(merged, "fp", "left").filter(F.coalesce("root", "fp") != F.col("main"))
+    across = at_hot.select("part", "value", F.col("fp").alias("a")).join(inside, ["part", "value"]).filter(
+        found & _near("a", "b", distance)).select("a", "b")
     return plain.unionByName(across).unionByName(stars)
 
 

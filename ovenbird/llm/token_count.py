@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batches, column
+from .common import batches, column, id_text
 
 SPACE = "▁"
 MEMO_WORDS = 400_000
@@ -130,5 +130,5 @@ def count_tokens(docs: DataFrame, model_path: str | None = None, limit: int = 40
                  pa.array([n > limit for n in counts], pa.bool_())],
                 names=["doc_id", "n_bytes", "n_tokens", "over_limit"])
 
-    rows = docs.select(column(docs, "doc_id").alias("doc_id"), column(docs, "text").cast("string").alias("text"))
+    rows = id_text(docs)
     return rows.mapInArrow(run, f"doc_id {kind}, n_bytes bigint, n_tokens bigint, over_limit boolean")
