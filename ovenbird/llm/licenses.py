@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from . import words
-from .common import batches, column, flat_bytes, id_text
+from .common import batches, flat_bytes, id_text
 
 GRAM, WINDOW = 3, 2
 MAX_BYTES = 32 << 20

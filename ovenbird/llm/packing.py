@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .byte_ids import byte_ids
-from .common import Scratch, batches, column, id_text
+from .common import Scratch, batches, id_text
 
 CAPACITY = 1024
 #: Halvings of the capacity that are packed one after another.

@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .byte_ids import byte_ids
-from .common import Scratch, batches, column, id_text
+from .common import Scratch, batches, id_text
 
 END_ID = 0
 BASE = 50257

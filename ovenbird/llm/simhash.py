@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bloom
-from .common import Scratch, batches, column, id_text
+from .common import Scratch, batches, id_text
 from .components import components
 
 BITS = 64

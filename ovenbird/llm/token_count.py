@@ -25,9 +25,8 @@ from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from .common import batches, column, id_text
+from .common import batches, id_text
 
 SPACE = "▁"
 MEMO_WORDS = 400_000
