@@ -1,4 +1,3 @@
-import datetime as dt
 from decimal import Decimal
 
 from ovenbird.plans import messages
