@@ -90,6 +90,26 @@ def quantile_edges(ranked: DataFrame, value_col: str, rank_col: str, n_col: str,
     return hit.agg(*aggs)
 
 
+def with_quintile(df: DataFrame, ranked: DataFrame, value_col: str, id_col: str, score_col: str,
+                  parts: int = 5) -> DataFrame:
+    """``df`` with the quintile (see ``quintile_of_rank``) of its rank by
+    (value, id) among ``ranked``.  A rank r of n is above quintile k if
+    ``r > 1 + k (n-1) / parts``, so the row at rank ``1 + floor(k (n-1) / parts)``
+    is the last of the k lowest quintiles: those ``parts - 1`` rows are all that
+    is read of the ranking."""
+    from .joins import attach_constants
+    r = global_rank(ranked.select(value_col, id_col), [value_col, id_col], "__r", "__n")
+    last = [_idiv(F.lit(k) * (F.col("__n") - 1), F.lit(parts)) + 1 for k in range(1, parts)]
+    cuts = r.agg(*[F.max(F.when(F.col("__r") == at, F.struct(value_col, id_col))).alias(f"__cut_{k}")
+                   for k, at in enumerate(last, 1)])
+    own = F.struct(value_col, id_col)
+    score = F.lit(1)
+    for k in range(1, parts):
+        score = score + F.when(own > F.col(f"__cut_{k}"), 1).otherwise(0)
+    out = attach_constants(df, cuts).withColumn(score_col, score.cast("bigint"))
+    return out.drop(*[f"__cut_{k}" for k in range(1, parts)])
+
+
 def surrogate_ids(new_rows: DataFrame, order: Sequence[Column | str], id_col: str,
                   existing: DataFrame | None = None) -> DataFrame:
     """AUTOINCREMENT-style dense ids: ``max(existing id) + row_number()`` over

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import money, timefn
 from ..operators.joins import attach_constants, dim_join
-from ..operators.ranking import global_rank, quantile_edges, quintile_of_rank
+from ..operators.ranking import global_rank, quantile_edges, with_quintile
 
 NO_ORDER_RECENCY = 999
 
@@ -53,8 +53,10 @@ def rfm_segments(customers: DataFrame, orders: DataFrame, as_of: dt.date) -> Dat
     bins right-closed, labels reversed; tied edges skip scores instead of
     failing).  f, m: quintiles of the ordinal rank (ties broken by customer id).
     """
-    base = rfm_base(customers, orders, as_of)
-    ranked = global_rank(base, ["recency_days", "customer_id"], "r_rank", "n")
+    # Only (measure, id) pairs are ranked; of each measure a few boundary rows
+    # are kept, and every customer is compared with them.
+    base = rfm_base(customers, orders, as_of).checkpoint(eager=True)
+    ranked = global_rank(base.select("recency_days", "customer_id"), ["recency_days", "customer_id"], "r_rank", "n")
     edges = quantile_edges(ranked, "recency_days", "r_rank", "n")
     x = F.col("recency_days")
     above = None
@@ -62,14 +64,11 @@ def rfm_segments(customers: DataFrame, orders: DataFrame, as_of: dt.date) -> Dat
         lo, hi, m = F.col(f"v_lo_{k}"), F.col(f"v_hi_{k}"), F.col(f"m_{k}")
         gt = F.when(x * 5 > lo * 5 + m * (hi - lo), 1).otherwise(0)
         above = gt if above is None else above + gt
-    scored = attach_constants(ranked, edges).withColumn("r_score", (F.lit(5) - above).cast("bigint"))
-    scored = scored.select("customer_id", "customer_name", "recency_days", "frequency", "monetary", "r_score", "n")
-    fr = global_rank(scored, ["frequency", "customer_id"], "f_rank", None)
-    fr = fr.withColumn("f_score", quintile_of_rank(F.col("f_rank"), F.col("n")))
-    mr = global_rank(fr, ["monetary", "customer_id"], "m_rank", None)
-    mr = mr.withColumn("m_score", quintile_of_rank(F.col("m_rank"), F.col("n")))
+    scored = attach_constants(base, edges).withColumn("r_score", (F.lit(5) - above).cast("bigint"))
+    for measure, score in (("frequency", "f_score"), ("monetary", "m_score")):
+        scored = with_quintile(scored, base, measure, "customer_id", score)
     r, f, m = F.col("r_score"), F.col("f_score"), F.col("m_score")
-    return mr.select("customer_id", "customer_name", "recency_days", "frequency", "monetary",
+    return scored.select("customer_id", "customer_name", "recency_days", "frequency", "monetary",
                      "r_score", "f_score", "m_score", rfm_segment(r, f, m).alias("rfm_segment"))
 
 
@@ -189,7 +188,8 @@ def recommend_items(orders: DataFrame, items: DataFrame, menu: DataFrame, catego
 
 
 def customer_360(customers: DataFrame, orders: DataFrame, items: DataFrame, menu: DataFrame,
-                 reviews: DataFrame, segments: DataFrame, as_of: dt.date) -> DataFrame:
+                 reviews: DataFrame, segments: DataFrame, as_of: dt.date,
+                 updated_at: Column | None = None) -> DataFrame:
     """Customer 360 (the source declares the columns but no query; this is
     our definition): order history, favourite item by quantity (ties to the
     lowest item id), most frequent order type, mean rating given, RFM segment
@@ -213,7 +213,7 @@ def customer_360(customers: DataFrame, orders: DataFrame, items: DataFrame, menu
     n = F.coalesce(F.col("total_orders"), F.lit(0))
     return c.select(
         "customer_id", F.concat(F.col("first_name"), F.lit(" "), F.col("last_name")).alias("customer_name"),
-        "email", "city", "registration_date",
+        "email", "city", _column_or_null(customers, "state"), "registration_date",
         first_d.alias("first_order_date"), last_d.alias("last_order_date"),
         F.datediff(timefn.date_lit(as_of), last_d).alias("days_since_last_order"),
         n.alias("total_orders"),
@@ -224,4 +224,10 @@ def customer_360(customers: DataFrame, orders: DataFrame, items: DataFrame, menu
         "loyalty_points", F.col("rfm_segment").alias("customer_segment"),
         lifetime.alias("lifetime_days"),
         F.round(money.exact_ratio(n * 30, F.greatest(lifetime, F.lit(30))), 2).cast("decimal(6,2)")
-         .alias("orders_per_month"))
+         .alias("orders_per_month"),
+        (timefn.ts_lit(as_of) if updated_at is None else updated_at).alias("last_updated"))
+
+
+def _column_or_null(df: DataFrame, name: str) -> Column:
+    """A column that not every source of the table has."""
+    return F.col(name) if name in df.columns else F.lit(None).cast("string").alias(name)

@@ -21,7 +21,7 @@ from ..functions.variant import json_text, object_of
 from ..operators import changes
 from ..operators.ranking import surrogate_ids
 from ..session import work_dir
-from ..sources import external, schemas
+from ..sources import external, schemas, tables
 from ..sources.star import AS_OF_ORDERS, Star
 from ..streaming import feeds
 from ..streaming.incremental import IncrementalMedallion, IncrementalViews
@@ -86,6 +86,16 @@ def q_kitchen_queue(spark, sf_dir):
     return normalise(views.kitchen_queue(board, location_id=1))
 
 
+KEY_LOOKUP_ORDER = 1
+
+
+@register("key_lookup")
+def q_key_lookup(spark, sf_dir):
+    """Point lookup on the status board of all orders."""
+    board = views.order_status_board(Star(spark, sf_dir).fact_order(), AS_OF_ORDERS, days=None)
+    return normalise(views.lookup_order(board, KEY_LOOKUP_ORDER))
+
+
 @register("menu_profitability")
 def q_menu_profitability(spark, sf_dir):
     s = Star(spark, sf_dir)
@@ -187,15 +197,33 @@ def q_dash_daily(spark, sf_dir):
     return normalise(medallion.dash_daily(medallion.gold_daily_sales(silver, s.dim_location())))
 
 
+def _silver_of(s: Star, orders: DataFrame) -> DataFrame:
+    """Silver orders built from these orders and their lines only."""
+    items = s.fact_order_item().join(orders.select("order_id"), "order_id", "left_semi")
+    return medallion.silver_orders(medallion.bronze_events(orders, items, s.dim_menu_item(with_category=False)))
+
+
+def _on_latest_day(orders: DataFrame, of: DataFrame) -> DataFrame:
+    """The orders of the last day on which ``of`` has a valid order."""
+    valid = of.filter(F.col("total_amount").isNull() | (F.col("total_amount") > 0))
+    last = valid.agg(F.max(timefn.to_day("order_timestamp")).alias("last_day"))
+    return orders.join(F.broadcast(last), timefn.to_day("order_timestamp") == F.col("last_day"), "left_semi")
+
+
 @register("dash_hour")
 def q_dash_hour(spark, sf_dir):
-    s, _, silver = _layers(spark, sf_dir)
+    s = Star(spark, sf_dir)
+    orders = s.fact_order()
+    silver = _silver_of(s, _on_latest_day(orders, orders))
     return normalise(medallion.dash_current_hour_at_latest(silver, s.dim_location()))
 
 
 @register("dash_top_items")
 def q_dash_top_items(spark, sf_dir):
-    s, _, silver = _layers(spark, sf_dir)
+    s = Star(spark, sf_dir)
+    orders = s.fact_order()
+    with_lines = orders.join(s.fact_order_item().select("order_id"), "order_id", "left_semi")
+    silver = _silver_of(s, _on_latest_day(orders, with_lines))
     return normalise(medallion.dash_top_items_at_latest(medallion.silver_order_items(silver), s.dim_location(),
                                                         s.dim_menu_item(), s.dim_category(), 10))
 
@@ -450,6 +478,39 @@ def q_audit_batch(spark, sf_dir):
     return normalise(append_audit(ev).select("event_type", "table_name", "record_id", "details"))
 
 
+def _stored(spark, name: str, df: DataFrame, write) -> DataFrame:
+    """A result written with one of the table sinks and read back."""
+    path = work_dir(spark, f"{name}-{uuid.uuid4().hex}")
+    write(df, path)
+    return spark.read.schema(df.schema).parquet(path).select(*df.columns)
+
+
+@register("stored_order_analytics")
+def q_stored_order_analytics(spark, sf_dir):
+    """Order analytics appended to a table partitioned by ``partition_month``."""
+    return _stored(spark, "order-analytics", q_order_analytics(spark, sf_dir),
+                   lambda df, path: tables.append_rows(df, path, ["partition_month"]))
+
+
+@register("stored_weekly_report")
+def q_stored_weekly_report(spark, sf_dir):
+    """The weekly report, replaced as a whole on every run."""
+    def twice(df, path):
+        tables.replace_table(df.limit(0), path)
+        tables.replace_table(df, path)
+    return _stored(spark, "weekly-report", q_weekly_wow(spark, sf_dir), twice)
+
+
+@register("stored_staged_orders")
+def q_stored_staged_orders(spark, sf_dir):
+    return _stored(spark, "staged-orders", q_staged_orders(spark, sf_dir), tables.append_rows)
+
+
+@register("stored_audit")
+def q_stored_audit(spark, sf_dir):
+    return _stored(spark, "audit", q_audit_batch(spark, sf_dir), tables.append_rows)
+
+
 def _stage_base(spark) -> str:
     return work_dir(spark, f"stage-{uuid.uuid4().hex}")
 

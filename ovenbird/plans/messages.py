@@ -7,6 +7,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import money
 from ..functions.variant import json_text, object_of
 
 # Validation rules and messages of the order validator.
@@ -52,8 +53,9 @@ def as_number(x: Column) -> Column:
     return F.try_variant_get(x, "$", "double")
 
 
-def _js_round2(x: Column) -> Column:
-    return F.floor(x * 100 + 0.5) / 100
+def _number(x: Column) -> Column:
+    """A double as a VARIANT number; a whole one prints without a fraction."""
+    return F.when(x == F.floor(x), F.floor(x).cast("bigint").cast("variant")).otherwise(x.cast("variant"))
 
 
 def _non_null(arr: Column) -> Column:
@@ -90,7 +92,7 @@ def validate_orders(df: DataFrame, json_col: str) -> DataFrame:
     """Validate order JSON text per row.
 
     Adds ``is_valid``, ``errors`` (array, in rule order), ``parsed_order``
-    (canonical JSON when valid), and ``subtotal`` / ``tax`` / ``total``
+    (canonical JSON with the computed figures, when valid), and ``subtotal`` / ``tax`` / ``total``
     (doubles, rounded half up to cents) when valid.
 
     The rule steps are separate projections: each intermediate is computed
@@ -151,10 +153,15 @@ def validate_orders(df: DataFrame, json_col: str) -> DataFrame:
     valid = F.col("is_valid")
     s7 = s6.select("*", F.when(valid, F.aggregate(info, F.lit(0.0), _price_times_qty)).alias("subtotal"))
     sub = F.col("subtotal")
-    s8 = s7.select("*", _js_round2(sub * TAX_RATE).alias("tax"))
-    return s8.select(*keep, "is_valid", "errors",
-                     F.when(valid, json_text(v)).alias("parsed_order"), "subtotal", "tax",
-                     _js_round2(sub + F.col("tax")).alias("total"))
+    s8 = s7.select("*", money.js_round2(sub * TAX_RATE).alias("tax"))
+    s9 = s8.select("*", money.js_round2(sub + F.col("tax")).alias("total"))
+    figures = ["subtotal", "tax", "total"]
+    # The order comes back with the three figures in place of its own.
+    fields = F.try_variant_get(v, "$", "map<string,variant>")
+    rest = F.map_filter(fields, lambda k, _: ~k.isin(*figures))
+    own = F.create_map(*[x for f in figures for x in (F.lit(f), _number(F.col(f)))])
+    parsed = json_text(F.to_variant_object(F.map_concat(rest, own)))
+    return s9.select(*keep, "is_valid", "errors", F.when(valid, parsed).alias("parsed_order"), *figures)
 
 
 # E-mail templates of the four message types and their codes.

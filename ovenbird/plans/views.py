@@ -102,10 +102,12 @@ STATION_BY_STATUS = {"PENDING": "QUEUE", "PREPARING": "PREP", "READY": "READY",
                      "COMPLETED": "COMPLETED"}
 
 
-def order_status_board(orders: DataFrame, as_of: dt.date, days: int = 1) -> DataFrame:
-    """Key-lookup status board for orders dated on or after ``as_of - days``."""
-    since = as_of - dt.timedelta(days=days)
-    o = orders.filter(F.col("order_timestamp") >= timefn.ts_lit(since))
+def order_status_board(orders: DataFrame, as_of: dt.date, days: int | None = 1) -> DataFrame:
+    """Key-lookup status board for orders dated on or after ``as_of - days``
+    (``None``: all orders)."""
+    o = orders
+    if days is not None:
+        o = o.filter(F.col("order_timestamp") >= timefn.ts_lit(as_of - dt.timedelta(days=days)))
     station = None
     for status, st in STATION_BY_STATUS.items():
         cond = F.col("order_status") == status
