@@ -23,6 +23,16 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+#: Rows of a narrow table that are worth a task of their own.
+TASK_ROWS = 200_000
+
+
+def few(df: DataFrame, rows: int) -> DataFrame:
+    """A narrow table of at most ``rows`` rows in no more tasks than they fill
+    (a table with more partitions than that is merged, never a larger one split)."""
+    return df.coalesce(max(1, -(-rows // TASK_ROWS)))
+
+
 class Scratch:
     """Tables of one operator call, in a folder of its own under the shared
     checkpoint folder.  ``put`` cuts the lineage: later stages read the files,
@@ -32,9 +42,10 @@ class Scratch:
         self.spark = spark
         self.base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
-    def put(self, df: DataFrame, name: str) -> DataFrame:
+    def put(self, df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
+        """``rows``: an upper bound of the rows of ``df``, if one is known."""
         path = f"{self.base}/{name}"
-        df.write.mode("error").parquet(path)
+        (df if rows is None else few(df, rows)).write.mode("error").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, name: str) -> None:

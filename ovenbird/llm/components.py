@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch
+from .common import Scratch, few
 
 
 def _state(links: DataFrame) -> tuple:
@@ -28,13 +28,15 @@ def components(links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     state, turn = _state(now), 0
     while state[0]:
         turn += 1
+        rows = 2 * state[0]  # no step makes more
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = scratch.put(both.groupBy("a").agg(F.least("a", F.min("b")).alias("m")), f"{name}-l{turn}")
-        large = scratch.put(both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-                            .distinct(), f"{name}-h{turn}")
-        lower = scratch.put(large.groupBy("a").agg(F.min("b").alias("m")), f"{name}-s{turn}")
+        least = scratch.put(both.groupBy("a").agg(F.least("a", F.min("b")).alias("m")), f"{name}-l{turn}", rows)
+        hung = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        large = scratch.put(few(hung, rows).distinct(), f"{name}-h{turn}", rows)
+        lower = scratch.put(large.groupBy("a").agg(F.min("b").alias("m")), f"{name}-s{turn}", rows)
         hung = large.join(lower, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b")
-        new = scratch.put(hung.unionByName(lower.select("a", F.col("m").alias("b"))).distinct(), f"{name}-{turn}")
+        hung = few(hung, rows).unionByName(lower.select("a", F.col("m").alias("b")))
+        new = scratch.put(hung.distinct(), f"{name}-{turn}", rows)
         before, state = state, _state(new)
         for x in (f"{name}-{turn - 1}", f"{name}-l{turn}", f"{name}-h{turn}", f"{name}-s{turn}"):
             scratch.drop(x)

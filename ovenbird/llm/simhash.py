@@ -15,12 +15,12 @@ Search for all pairs that differ in at most ``distance`` bits:
 3. Every fingerprint probes the index of partition i with all values within
    t_i, and candidates are verified on all 64 bits.
 
-A large group of near copies shares its index buckets.  Buckets of more than
-``SMALL`` members are first contracted: members within ``distance`` of the
-bucket's most copied member join its component.  In the search, members of a
-bucket's largest component are not compared with each other again (they are
-linked already), only with members of others; so no link between components
-is lost and the pairs inside a group are not listed.
+A large group of near copies shares its index buckets.  In a bucket of more
+than ``SMALL`` members, those within ``distance`` of its most copied member (its
+centre) are linked to the centre.  A fingerprint that probes the bucket and is
+within ``distance`` of the centre is linked to it as well, and so to all of
+them; only one that is farther away is compared with them one by one.  So no
+link between components is lost and the pairs inside a group are not listed.
 
 Defined results: a null text is empty and has fingerprint 0; equal rows are
 members of one node; a null doc_id is a member but never the smallest id, and
@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bloom
-from .common import Scratch, batches, id_text
+from .common import Scratch, batches, few, id_text
 from .components import components
 
 BITS = 64
@@ -210,37 +210,34 @@ def near_links(nodes: DataFrame, scratch: Scratch, distance: int) -> DataFrame:
     n, both = bit_statistics(nodes)
     plan = [(i, g, t) for i, (g, t) in enumerate(allocate(n, both, distance)) if t >= 0]
     keyed = F.explode(F.array(*[F.struct(F.lit(i).alias("part"), _value(_mask(g)).alias("value")) for i, g, _ in plan]))
-    index = scratch.put(nodes.select("fp", "size", keyed.alias("k")).select("fp", "size", "k.*"), "index")
-    # Buckets that are too large for pairs are contracted first.
+    index = scratch.put(nodes.select("fp", "size", keyed.alias("k")).select("fp", "size", "k.*"), "index", n * len(plan))
     large = scratch.put(index.groupBy("part", "value").agg(
         F.count(F.lit(1)).alias("members"), F.max_by("fp", "size").alias("centre")).filter(F.col("members") > SMALL),
-        "large")
-    hot = scratch.put(index.join(large, ["part", "value"]).select("part", "value", "fp", "centre"), "hot")
-    stars = scratch.put(hot.filter((F.col("fp") != F.col("centre")) & _near("fp", "centre", distance)).select(
-        F.col("fp").alias("a"), F.col("centre").alias("b")), "stars")
-    merged = scratch.put(components(stars, scratch, "star").withColumnRenamed("node", "fp"), "merged")
-    rooted = scratch.put(hot.join(merged, "fp", "left").select(
-        "part", "value", "fp", F.coalesce("root", "fp").alias("root")), "rooted")
-    main = scratch.put(rooted.groupBy("part", "value", "root").count().groupBy("part", "value").agg(
-        F.max_by("root", "count").alias("main")), "main")
-    inside = scratch.put(rooted.join(main, ["part", "value"]).filter("root = main").select(
-        "part", "value", F.col("fp").alias("b")), "inside")
+        "large", n * len(plan))
     probes = None
     for i, group, radius in plan:
         flip = F.explode(F.array(*[F.lit(x).cast("bigint") for x in ball(group, radius)]))
         one = nodes.select("fp", flip.alias("flip")).select(
-            F.lit(i).alias("part"), _value(_mask(group)).bitwiseXOR(F.col("flip")).alias("value"), "fp")
+            F.lit(i).alias("part"), _value(_mask(group)).bitwiseXOR(F.col("flip")).alias("value"), F.col("fp").alias("a"))
         probes = one if probes is None else probes.unionByName(one)
     # Whoever finds a pair from either side finds it from the smaller one too.
-    found = F.col("a") < F.col("b")
-    outside = index.select("part", "value", F.col("fp").alias("b")).join(inside, ["part", "value", "b"], "left_anti")
-    plain = probes.withColumnRenamed("fp", "a").join(outside, ["part", "value"]).filter(
-        found & _near("a", "b", distance)).select("a", "b")
-    # Into a bucket's main component only from outside of it.
-    at_hot = probes.join(main, ["part", "value"]).join(merged, "fp", "left").filter(F.coalesce("root", "fp") != F.col("main"))
-    across = at_hot.select("part", "value", F.col("fp").alias("a")).join(inside, ["part", "value"]).filter(
-        found & _near("a", "b", distance)).select("a", "b")
-    return plain.unionByName(across).unionByName(stars)
+    found = (F.col("a") < F.col("b")) & _near("a", "b", distance)
+    members = index.select("part", "value", F.col("fp").alias("b"))
+    if large.isEmpty():
+        return probes.join(members, ["part", "value"]).filter(found).select("a", "b")
+    # Large buckets: whoever is near the centre is linked to it, and through it
+    # to the others near it.  Only the rest is compared with members.
+    inside = scratch.put(index.join(large, ["part", "value"]).filter(_near("fp", "centre", distance)).select(
+        "part", "value", F.col("fp").alias("b"), "centre"), "inside")
+    stars = inside.filter("b <> centre").select(F.col("b").alias("a"), F.col("centre").alias("b"))
+    outside = members.join(inside.drop("centre"), ["part", "value", "b"], "left_anti")
+    plain = probes.join(outside, ["part", "value"]).filter(found).select("a", "b")
+    at_large = scratch.put(probes.join(large.select("part", "value", "centre"), ["part", "value"]), "at-large")
+    to_centre = at_large.filter((F.col("a") != F.col("centre")) & _near("a", "centre", distance)).select(
+        "a", F.col("centre").alias("b"))
+    across = at_large.filter(~_near("a", "centre", distance)).drop("centre").join(
+        inside.drop("centre"), ["part", "value"]).filter(found).select("a", "b")
+    return plain.unionByName(across).unionByName(stars).unionByName(to_centre)
 
 
 def near_components(docs: DataFrame, shingle: int = 4, distance: int = 4) -> DataFrame:
@@ -252,9 +249,10 @@ def near_components(docs: DataFrame, shingle: int = 4, distance: int = 4) -> Dat
                         "nodes")
     links = near_links(nodes.select("fp", "size"), scratch, distance)
     roots = scratch.put(components(links, scratch, "link"), "roots")
-    firsts = scratch.put(roots.join(nodes, roots["node"] == nodes["fp"]).groupBy("root").agg(F.min("first_id").alias("component_id")),
-                         "firsts")
-    linked = roots.join(firsts, "root").select(F.col("node").alias("fp"), "component_id")
+    in_links = roots.count()
+    firsts = scratch.put(roots.join(nodes, roots["node"] == nodes["fp"]).groupBy("root").agg(
+        F.min("first_id").alias("component_id")), "firsts", in_links)
+    linked = few(roots.join(firsts, "root").select(F.col("node").alias("fp"), "component_id"), in_links)
     named = scratch.put(nodes.join(linked, "fp", "left").select(
         "fp", F.when(F.col("component_id").isNull(), F.col("first_id")).otherwise(F.col("component_id")).alias("component_id")),
         "named")
