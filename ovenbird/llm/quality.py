@@ -8,8 +8,8 @@ on the driver gives the latent space (size: sample x terms, both bounded).
 Score: the labelled vectors and the projection are broadcast (their size is
 ``sample`` and ``RANK`` numbers a term).  Every document is projected, its
 cosines with all labelled vectors are computed exactly, block by block as
-matrix products, and its ``neighbours`` nearest vote with their label, weighted
-by similarity.
+matrix products, and its ``neighbours`` nearest (at most the square root of the
+sample) vote with their label, weighted by similarity.
 
 Defined results: a null or empty text, or one without a positive cosine, gets
 the share of label 1 among the sample; a doc_id labelled twice counts once with
@@ -151,7 +151,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int
     idf = (np.log((1 + n) / (1 + (counts > 0).sum(axis=0))) + 1).astype(np.float32)
     x = _weighted(counts, idf)
     projection = _top_directions(x, RANK)
-    return Model(idf, projection, _unit(x @ projection), (y > 0).astype(np.float64), neighbours)
+    # A small sample has few rows of each kind to vote.
+    votes = min(neighbours, max(1, round(n ** 0.5)))
+    return Model(idf, projection, _unit(x @ projection), (y > 0).astype(np.float64), votes)
 
 
 def _top_directions(x: np.ndarray, rank: int) -> np.ndarray:
