@@ -11,11 +11,6 @@ from .timefn import as_col
 MONEY_SUM = "decimal(20,2)"
 
 
-def dsum(c) -> Column:
-    """Exact decimal sum."""
-    return F.sum(as_col(c))
-
-
 def mean(sum_col, count_col) -> Column:
     """Average as ``double(sum) / count``; NULL when the count is 0."""
     cnt = as_col(count_col)
@@ -39,10 +34,6 @@ def round_avg(sum_col, count_col, digits: int) -> Column:
     return F.round(exact_ratio(sum_col, count_col), digits)
 
 
-def to_double(c) -> Column:
-    return as_col(c).cast("double")
-
-
 def js_round2(x) -> Column:
     """``Math.round(x * 100) / 100`` on doubles (half rounds up)."""
     return F.floor(as_col(x) * 100 + 0.5) / 100

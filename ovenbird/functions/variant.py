@@ -16,8 +16,3 @@ def json_text(v) -> Column:
     """Canonical JSON text of a VARIANT (keys sorted, numbers normalised)."""
     c = F.col(v) if isinstance(v, str) else v
     return F.to_json(c)
-
-
-def array_of(*values: Column) -> Column:
-    """``ARRAY_CONSTRUCT``."""
-    return F.array(*values)

@@ -57,6 +57,12 @@ def q_daily_metrics(spark, sf_dir):
     return normalise(views.daily_metrics(s.fact_order(since=since), AS_OF_ORDERS, 30))
 
 
+@register("session_daily_metrics")
+def q_session_daily_metrics(spark, sf_dir):
+    """The daily metrics under a session-scoped name."""
+    return tables.session_table(q_daily_metrics(spark, sf_dir), "session_daily_metrics")
+
+
 @register("order_analytics")
 def q_order_analytics(spark, sf_dir):
     s = Star(spark, sf_dir)

@@ -43,6 +43,7 @@ CLUSTER_CONF = {
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.autoBroadcastJoinThreshold": "64m",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.sources.fileCompressionFactor": "4.0",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.optimizer.dynamicPartitionPruning.enabled": "true",
     "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "128",

@@ -17,7 +17,6 @@ from .schemas import dec
 
 # Fixed values of the mapping (reference times of the test data).
 AS_OF_ORDERS = dt.date(2001, 8, 2)
-AS_OF_EVENTS = dt.date(2024, 1, 31)
 REGISTRATION_EPOCH = dt.date(1995, 1, 1)
 BIRTHDAY_EPOCH = dt.date(1970, 1, 1)
 TAX_RATE = Decimal("0.08")
