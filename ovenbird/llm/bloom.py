@@ -12,6 +12,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import Scratch
+
 MAX_BITS = 1 << 27  # 16 MB: the bound of what is collected and broadcast
 BITS_PER_KEY = 16
 PROBES = 4
@@ -70,7 +72,8 @@ def drop_rows(rows: DataFrame, dropped: DataFrame, key: str = "doc_id") -> DataF
     """The rows whose key is not in ``dropped`` (one column ``key``; a null key
     equals null).  Only rows that may be in it are shuffled for the exact
     anti-join; the others pass where they are."""
-    out = dropped.select(F.col(key).alias("__key")).distinct()
+    scratch = Scratch(rows.sparkSession, "dropped")
+    out = scratch.put(dropped.select(F.col(key).alias("__key")).distinct(), "keys")
     shared = rows.sparkSession.sparkContext.broadcast(build(out.select(key_hash(F.col("__key")).alias("h"))))
     hit = test(shared)(key_hash(F.col(f"`{key}`")))
     suspects = rows.filter(hit)

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import numpy as np
 
-_BASE = 0x9E3779B97F4A7C15 | 1
+_BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
@@ -41,20 +41,39 @@ def spans(raw: np.ndarray, off: np.ndarray, letters: bool = False) -> tuple[np.n
     return starts, ends, np.searchsorted(off, starts, side="right") - 1
 
 
+#: Bytes that are hashed at once (more only for a longer word).
+STEP = 1 << 19
+_tables: dict[int, np.ndarray] = {}
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    """base ** 0 .. base ** n (modulo 2 ** 64), kept for the worker up to STEP."""
+    table = _tables.get(base)
+    if table is None or len(table) <= n:
+        table = np.empty(max(n, STEP) + 1, np.uint64)
+        table[0] = 1
+        table[1:] = base
+        np.cumprod(table, out=table)
+        if n <= STEP:
+            _tables[base] = table
+    return table
+
+
 def hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each word (uint64)."""
-    n = len(raw)
-    power = np.empty(n + 1, np.uint64)
-    power[0] = 1
-    power[1:] = _BASE & 0xFFFFFFFFFFFFFFFF
-    np.cumprod(power, out=power)
-    total = np.zeros(n + 1, np.uint64)
-    np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * power[:n], out=total[1:])
-    back = np.empty(n + 1, np.uint64)
-    back[0] = 1
-    back[1:] = _INVERSE
-    np.cumprod(back, out=back)
-    return mix((total[ends] - total[starts]) * back[starts])
+    out = np.empty(len(starts), np.uint64)
+    i = 0
+    while i < len(starts):
+        low = starts[i]
+        j = max(i + 1, int(np.searchsorted(ends, low + STEP, side="right")))
+        part = raw[low:ends[j - 1]]
+        n = len(part)
+        total = np.zeros(n + 1, np.uint64)
+        np.cumsum((part.astype(np.uint64) + np.uint64(1)) * _powers(_BASE, n)[:n], out=total[1:])
+        first = starts[i:j] - low
+        out[i:j] = (total[ends[i:j] - low] - total[first]) * _powers(_INVERSE, n)[first]
+        i = j
+    return mix(out)
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -69,5 +88,5 @@ def shingle_hashes(h: np.ndarray, size: int) -> np.ndarray:
         return np.zeros(0, np.uint64)
     out = np.zeros(len(h) - size + 1, np.uint64)
     for i in range(size):
-        out = out * np.uint64(_BASE & 0xFFFFFFFFFFFFFFFF) + h[i:len(h) - size + 1 + i]
+        out = out * np.uint64(_BASE) + h[i:len(h) - size + 1 + i]
     return mix(out)
