@@ -115,7 +115,7 @@ def count_tokens(docs: DataFrame, model_path: str | None = None, limit: int = 40
     than ``limit`` tokens.  ``model_path``: a byte-pair sentencepiece model
     with identity normalisation, to be found under that path on every node
     (unset: the public 32k model of the node)."""
-    kind = dict(docs.select(column(docs, "doc_id").alias("doc_id")).dtypes)["doc_id"]
+    rows = id_text(docs)
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import public_tokenizers
@@ -129,5 +129,4 @@ def count_tokens(docs: DataFrame, model_path: str | None = None, limit: int = 40
                  pa.array([n > limit for n in counts], pa.bool_())],
                 names=["doc_id", "n_bytes", "n_tokens", "over_limit"])
 
-    rows = id_text(docs)
-    return rows.mapInArrow(run, f"doc_id {kind}, n_bytes bigint, n_tokens bigint, over_limit boolean")
+    return rows.mapInArrow(run, f"doc_id {rows.dtypes[0][1]}, n_bytes bigint, n_tokens bigint, over_limit boolean")
