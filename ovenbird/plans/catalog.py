@@ -261,11 +261,25 @@ def _daily_sales_target(s: Star) -> DataFrame:
         "weather_condition", F.lit("CLEAR"))
 
 
-def _merged_daily_sales(s: Star) -> DataFrame:
+def _daily_sales_update(s: Star) -> DataFrame:
     src_orders = jobs.orders_between(s.fact_order(since=MERGE_WINDOW_START, until=AS_OF_ORDERS),
                                      MERGE_WINDOW_START, AS_OF_ORDERS)
-    source = jobs.daily_sales_source(src_orders, s.fact_order_item(), s.dim_customer(), few_orders=True)
-    return jobs.daily_sales_merge(_daily_sales_target(s), source)
+    return jobs.daily_sales_source(src_orders, s.fact_order_item(), s.dim_customer(), few_orders=True)
+
+
+def _merged_daily_sales(s: Star) -> DataFrame:
+    return jobs.daily_sales_merge(_daily_sales_target(s), _daily_sales_update(s))
+
+
+@register("stored_daily_sales")
+def q_stored_daily_sales(spark, sf_dir):
+    """The upsert on a stored table: only the touched dates are rewritten."""
+    s = Star(spark, sf_dir)
+    base = work_dir(spark, f"daily-sales-{uuid.uuid4().hex}")
+    target = _daily_sales_target(s)
+    tables.append_rows(target, f"{base}/table", ["sales_date"])
+    jobs.upsert_daily_sales(_daily_sales_update(s), f"{base}/table", f"{base}/staging")
+    return normalise(spark.read.schema(target.schema).parquet(f"{base}/table").select(*target.columns))
 
 
 @register("daily_sales_merge")
@@ -361,6 +375,15 @@ def _loyalty(s: Star) -> DataFrame:
     return jobs.loyalty_update(s.dim_customer(), batch)
 
 
+@register("sentiment_mixed")
+def q_sentiment_mixed(spark, sf_dir):
+    """Labels of reviews with words of praise or blame added to their texts."""
+    k = F.col("review_id") % 3
+    words = F.when(k == 0, " terrible and cold, awful").when(k == 1, " great, delicious").otherwise("")
+    reviews = Star(spark, sf_dir).fact_review().withColumn("review_text", F.concat("review_text", words))
+    return normalise(change_jobs.sentiment_labels(reviews))
+
+
 @register("loyalty_batch")
 def q_loyalty_batch(spark, sf_dir):
     return normalise(_loyalty(Star(spark, sf_dir)))
@@ -405,6 +428,35 @@ def q_recommendations(spark, sf_dir):
                                                RECOMMEND_FOR_CUSTOMER, 5))
 
 
+def _recommend(s: Star, customer_id: int, n: int) -> DataFrame:
+    return normalise(analytics.recommend_items(s.fact_order(), s.fact_order_item(), s.dim_menu_item(), s.dim_category(),
+                                               s.fact_review(with_text=False), customer_id, n))
+
+
+@register("recommendations_all")
+def q_recommendations_all(spark, sf_dir):
+    """Every candidate of the customer, so every kind of reason."""
+    return _recommend(Star(spark, sf_dir), RECOMMEND_FOR_CUSTOMER, 1_000_000)
+
+
+@register("recommendations_fallback")
+def q_recommendations_fallback(spark, sf_dir):
+    """A customer without orders gets the fallback items."""
+    return _recommend(Star(spark, sf_dir), 0, 5)
+
+
+@register("dq_faults")
+def q_dq_faults(spark, sf_dir):
+    """The checks on orders with missing rows, customers and negative totals."""
+    s = Star(spark, sf_dir)
+    key = F.col("order_id")
+    orders = s.fact_order().filter(key % 10 != 3).withColumns({
+        "customer_id": F.when(key % 11 != 5, F.col("customer_id")),
+        "total_amount": F.when(key % 7 == 2, -F.col("total_amount")).otherwise(F.col("total_amount"))})
+    return normalise(quality.run_quality_checks(orders, s.fact_order_item(), s.fact_review(with_text=False),
+                                                s.dim_customer()))
+
+
 @register("dq_checks")
 def q_dq_checks(spark, sf_dir):
     s = Star(spark, sf_dir)
@@ -436,6 +488,34 @@ def q_order_json_validation(spark, sf_dir):
                               "parsed_order", "subtotal", "tax", "total"))
 
 
+@register("order_json_faults")
+def q_order_json_faults(spark, sf_dir):
+    """Validation of order texts with one fault each, by order key."""
+    inputs = _json_inputs(spark, sf_dir).filter(F.col("source") == "bronze")
+    text, kind = F.col("order_json"), F.col("record_id") % 8
+    change = lambda a, b: F.replace(text, F.lit(a), F.lit(b))
+    faults = [change('"quantity":', '"quantity":-'), change('"items":[', '"items":[],"old":['),
+              change('"order_type":"', '"order_type":"X'), F.expr("left(order_json, length(order_json) - 1)"),
+              change('"customer_id":', '"customer":'), change('"items":[', '"items":[null,'),
+              change('"item_id":', '"item":')]
+    faulty = F.lit("null")
+    for k, fault in enumerate(faults):
+        faulty = F.when(kind == k, fault).otherwise(faulty)
+    v = messages.validate_orders(inputs.withColumn("order_json", faulty), "order_json")
+    return normalise(v.select("source", "record_id", "is_valid", F.array_join("errors", " | ").alias("errors"),
+                              F.size("errors").cast("bigint").alias("error_count")))
+
+
+@register("email_unknown")
+def q_email_unknown(spark, sf_dir):
+    """E-mail requests of which half name a customer that doesn't exist."""
+    s = Star(spark, sf_dir)
+    cust = s.dim_customer()
+    requests = messages.all_customer_requests(cust, ["WELCOME"]).withColumn(
+        "customer_id", F.col("customer_id") + F.when(F.col("customer_id") % 2 == 0, 1_000_000_000).otherwise(0))
+    return normalise(messages.email_content(cust, s.fact_order(), requests))
+
+
 @register("email_content")
 def q_email_content(spark, sf_dir):
     s = Star(spark, sf_dir)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import money, timefn
 from ..operators.joins import dim_join, fixed_rows
 from ..operators.upsert import keyed_update, merge_upsert, purge
+from ..sources.tables import replace_partitions
 from .views import PIZZA_ITEM_RANGE, pizza_lines
 
 DAILY_SALES_UPDATE = ["total_orders", "total_revenue", "avg_order_value", "dine_in_orders",
@@ -82,6 +83,17 @@ def daily_sales_merge(target: DataFrame, source: DataFrame) -> DataFrame:
     return merge_upsert(target, source, ["sales_date", "location_id"], DAILY_SALES_UPDATE, DAILY_SALES_INSERT)
 
 
+def upsert_daily_sales(source: DataFrame, path: str, staging: str) -> None:
+    """The upsert on a stored table partitioned by ``sales_date``: only the
+    partitions of the source's dates (as many as its window has days) are read,
+    merged in ``staging`` and replaced; all others stay as they are."""
+    spark = source.sparkSession
+    dates = [r[0] for r in source.select("sales_date").distinct().collect()]
+    target = spark.read.parquet(path).filter(F.col("sales_date").isin(dates))
+    daily_sales_merge(target.select(*source.columns), source).write.mode("overwrite").parquet(staging)
+    replace_partitions(spark.read.parquet(staging), path, ["sales_date"])
+
+
 def daily_sales_all_locations(orders: DataFrame, locations: DataFrame, target: DataFrame,
                               sales_date: dt.date) -> DataFrame:
     """Per-location daily totals for one date, every location included
