@@ -21,6 +21,10 @@ import numpy as np
 #: printable ASCII and the Latin letters with their signs.
 COMMON = re.compile("[\t\n\r\x20-\x7e¡-ſ]*")
 
+BETWEEN = re.compile(r"(?<=\S) (?=\S)")
+#: Characters that are encoded at once.
+LONG = 1 << 20
+
 
 class ByteIds:
     def __init__(self, json_path: str | None = None, rank_path: str | None = None):
@@ -42,7 +46,17 @@ class ByteIds:
         """The ids as little-endian unsigned 16-bit numbers."""
         if not COMMON.fullmatch(text) or (self.special and self.special.search(text)):
             return array("H", self.exact.encode(text, add_special_tokens=False).ids).tobytes()
-        return array("H", self.fast.encode_ordinary(text)).tobytes()
+        if len(text) < LONG:
+            return array("H", self.fast.encode_ordinary(text)).tobytes()
+        # The vocabulary's pattern starts a piece at a single space between two
+        # words, so a long text may be cut there.
+        out, at = [], 0
+        while at < len(text):
+            cut = BETWEEN.search(text, at + LONG)
+            end = cut.start() if cut else len(text)
+            out.append(array("H", self.fast.encode_ordinary(text[at:end])).tobytes())
+            at = end
+        return b"".join(out)
 
     def ids(self, text: str) -> np.ndarray:
         return np.frombuffer(self.packed(text), np.uint16)

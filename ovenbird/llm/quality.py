@@ -35,6 +35,8 @@ RANK = 64
 NEIGHBOURS = 15
 BLOCK = 256
 FOLDS = 5
+#: Bytes of a text that are counted at once.
+LONG = 1 << 20
 
 SHAPES, WORDS, REPEATS = 4096, 2048, 6
 TERMS = SHAPES + WORDS + REPEATS
@@ -56,7 +58,20 @@ _CLASS = _classes()
 
 
 def term_counts(raw: np.ndarray, off: np.ndarray) -> np.ndarray:
-    """Counts of all terms, a row for each text."""
+    """Counts of all terms, a row for each text.  Texts are counted in pieces of
+    ``LONG`` bytes at most, each with its row."""
+    size = np.diff(off)
+    if not len(size) or size.max() <= LONG:
+        return _piece_counts(raw, off)
+    out = np.zeros((len(size), TERMS), np.float32)
+    for i in range(len(size)):
+        for at in range(int(off[i]), int(off[i + 1]), LONG):
+            part = raw[at:min(at + LONG, int(off[i + 1]))]
+            out[i] += _piece_counts(part, np.array([0, len(part)]))[0]
+    return out
+
+
+def _piece_counts(raw: np.ndarray, off: np.ndarray) -> np.ndarray:
     n = len(off) - 1
     out = np.zeros((n, TERMS), np.float32)
     if not len(raw):

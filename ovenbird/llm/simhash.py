@@ -30,6 +30,7 @@ a component of null ids only has a null id; an empty table gives no rows.
 from __future__ import annotations
 
 import itertools
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -47,13 +48,14 @@ BITS = 64
 SMALL = 256
 #: Cost of verifying a candidate against that of a probed value.
 VERIFY_COST = 0.05
+#: Bytes of a text that are cut into words at once.
+LONG = 1 << 20
+SPACE = re.compile(rb"[\x20\x09-\x0D]")
 _LANES = np.uint64(0x0101010101010101)
 
 
-def shingles(text: str, size: int) -> list[bytes]:
-    words = text.encode("utf-8").lower().split()  # bytes: A-Z and ASCII white space only
-    if len(words) <= size:
-        return [b" ".join(words)] if words else []
+def shingles(words: list[bytes], size: int) -> list[bytes]:
+    """All runs of ``size`` words, space-joined."""
     joined = b" ".join(words)
     at, starts = 0, []
     for w in words:
@@ -64,26 +66,44 @@ def shingles(text: str, size: int) -> list[bytes]:
     return [joined[s:e] for s, e in zip(starts, ends)]  # noqa: B905 (the last size-1 starts have no end)
 
 
-def majority_bits(hashes: np.ndarray) -> int:
-    """The bits set in more than half of the hashes (uint64)."""
-    n = len(hashes)
-    if not n:
-        return 0
-    padded = np.zeros(-(-n // 255) * 255, np.uint64)
-    padded[:n] = hashes
+def _word_blocks(data: bytes) -> Iterator[list[bytes]]:
+    """The words of a text in blocks, cut at white space."""
+    at = 0
+    while at < len(data):
+        cut = SPACE.search(data, at + LONG)
+        end = cut.start() if cut else len(data)
+        yield data[at:end].split()  # bytes: ASCII white space only
+        at = end
+
+
+def bit_counts(hashes: np.ndarray) -> np.ndarray:
+    """How many of the hashes (uint64) have each bit set."""
+    padded = np.zeros(-(-len(hashes) // 255) * 255, np.uint64)
+    padded[:len(hashes)] = hashes
     rows = padded.reshape(-1, 255)  # eight byte counters fit into a sum of 255 lanes
     counts = np.empty((8, 8), np.int64)
     for bit in range(8):
         sums = ((rows >> np.uint64(bit)) & _LANES).sum(axis=1, dtype=np.uint64)
         counts[:, bit] = sums.view(np.uint8).reshape(-1, 8).sum(axis=0, dtype=np.int64)
-    ones = (counts.ravel() * 2 > n).astype(np.uint8)
-    return int(np.packbits(ones, bitorder="little").view(np.uint64)[0])
+    return counts.ravel()
 
 
 def fingerprint(text: str | None, size: int = 4) -> int:
+    """The bits set in more than half of the shingles' hashes; a long text is
+    hashed block by block."""
     digest = xxhash.xxh64_intdigest
-    parts = shingles(text or "", size)
-    return majority_bits(np.fromiter((digest(x, 42) for x in parts), np.uint64, len(parts)))
+    total, counts, tail = 0, np.zeros(BITS, np.int64), []
+    for block in _word_blocks((text or "").encode("utf-8").lower()):  # bytes: A-Z only
+        words = tail + block
+        if len(words) >= size:
+            parts = shingles(words, size)
+            counts += bit_counts(np.fromiter((digest(x, 42) for x in parts), np.uint64, len(parts)))
+            total += len(parts)
+        tail = words[max(0, len(words) - size + 1):]
+    if not total and tail:  # fewer words than a shingle: the whole sequence
+        total, counts = 1, bit_counts(np.array([digest(b" ".join(tail), 42)], np.uint64))
+    ones = (counts * 2 > total).astype(np.uint8)
+    return int(np.packbits(ones, bitorder="little").view(np.uint64)[0])
 
 
 def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:

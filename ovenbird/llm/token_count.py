@@ -31,6 +31,8 @@ from .common import batches, id_text
 SPACE = "▁"
 MEMO_WORDS = 400_000
 MEMO_CHARS = 48
+#: Characters from which on the words of a text are not listed at once.
+LONG = 1 << 20
 #: A run of spaces and what follows up to the next space.
 WORD = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
@@ -86,7 +88,8 @@ class MergeCounter:
         if not text:
             return 0
         memo, total = self.memo, 0
-        words = WORD.findall(SPACE + text.replace(" ", SPACE))
+        marked = SPACE + text.replace(" ", SPACE)
+        words = WORD.findall(marked) if len(marked) < LONG else (m[0] for m in WORD.finditer(marked))
         for word in words:
             n = memo.get(word)
             if n is None:

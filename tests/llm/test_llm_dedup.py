@@ -104,12 +104,17 @@ def _fingerprint(text, size):
     return sum(1 << b for b in range(64) if sum(x >> b & 1 for x in h) * 2 > len(h)) if h else 0
 
 
-def test_fingerprint_of_texts(spark):
+def test_fingerprint_of_texts(spark, monkeypatch):
     rng = random.Random(6)
     texts = ["", " ", "One", "a b c d", "ÄÖ Ünd A b", "a b c d e f g"] + [
         " ".join(rng.choice(["The", "of", "x\ny", "word", "é", "zz"]) for _ in range(rng.randrange(700))) for _ in range(60)]
     for size in (1, 4):
-        assert [simhash.fingerprint(t, size) for t in texts] == [_fingerprint(t, size) for t in texts]
+        want = [_fingerprint(t, size) for t in texts]
+        assert [simhash.fingerprint(t, size) for t in texts] == want
+        for long in (1, 7, 300):
+            monkeypatch.setattr(simhash, "LONG", long)
+            assert [simhash.fingerprint(t, size) for t in texts] == want
+        monkeypatch.undo()
     df = _docs(spark, [(1, texts[-1])])
     spark_hash = df.select(F.xxhash64(F.lit("a b c d")).alias("x")).first()["x"] % (1 << 64)
     assert spark_hash == xxhash.xxh64_intdigest(b"a b c d", 42)

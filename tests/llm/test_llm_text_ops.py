@@ -120,6 +120,9 @@ def test_token_count_equals_library(pieces):
     for _ in range(3000):
         t = "".join(rng.choice(parts) for _ in range(rng.randint(0, 40)))
         assert counter.count(t) == len(model.encode(t)), repr(t)
+    before, token_count.LONG = token_count.LONG, 1
+    assert counter.count("the  word, counted ") == len(model.encode("the  word, counted "))
+    token_count.LONG = before
     long = "ab" * 30_000
     assert counter.count(long) == len(model.encode(long))
 
