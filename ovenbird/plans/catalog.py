@@ -102,6 +102,17 @@ def q_key_lookup(spark, sf_dir):
     return normalise(views.lookup_order(board, KEY_LOOKUP_ORDER))
 
 
+@register("typed_orders")
+def q_typed_orders(spark, sf_dir):
+    """All orders in the declared columns and types."""
+    return normalise(schemas.conform(Star(spark, sf_dir).fact_order(), schemas.FACT_ORDER))
+
+
+@register("typed_customers")
+def q_typed_customers(spark, sf_dir):
+    return normalise(schemas.conform(Star(spark, sf_dir).dim_customer(), schemas.DIM_CUSTOMER))
+
+
 @register("menu_profitability")
 def q_menu_profitability(spark, sf_dir):
     s = Star(spark, sf_dir)
@@ -276,10 +287,10 @@ def q_stored_daily_sales(spark, sf_dir):
     """The upsert on a stored table: only the touched dates are rewritten."""
     s = Star(spark, sf_dir)
     base = work_dir(spark, f"daily-sales-{uuid.uuid4().hex}")
-    target = _daily_sales_target(s)
-    tables.append_rows(target, f"{base}/table", ["sales_date"])
-    jobs.upsert_daily_sales(_daily_sales_update(s), f"{base}/table", f"{base}/staging")
-    return normalise(spark.read.schema(target.schema).parquet(f"{base}/table").select(*target.columns))
+    declared = schemas.FACT_DAILY_SALES
+    tables.append_rows(schemas.conform(_daily_sales_target(s), declared), f"{base}/table", ["sales_date"])
+    jobs.upsert_daily_sales(schemas.conform(_daily_sales_update(s), declared), f"{base}/table", f"{base}/staging")
+    return normalise(spark.read.schema(declared).parquet(f"{base}/table").select(*declared.names))
 
 
 @register("daily_sales_merge")

@@ -6,6 +6,8 @@ strings because Spark rejects TIME columns in files by default.
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 ID = T.LongType()
@@ -30,37 +32,12 @@ def _schema(*fields: tuple) -> T.StructType:
     return T.StructType(out)
 
 
-DIM_CATEGORY = _schema(("category_id", ID, False), ("category_name", STR, False),
-                       ("description", STR), ("display_order", INT))
-
-DIM_MENU_ITEM = _schema(
-    ("item_id", ID, False), ("category_id", ID), ("item_name", STR, False), ("description", STR),
-    ("base_price", dec(8, 2), False), ("cost_to_make", dec(8, 2)), ("prep_time_minutes", INT),
-    ("calories", INT), ("is_vegetarian", BOOL), ("is_vegan", BOOL), ("is_gluten_free", BOOL),
-    ("is_available", BOOL), ("created_date", DATE))
-
-DIM_SIZE = _schema(("size_id", ID, False), ("size_name", STR, False), ("size_inches", INT),
-                   ("price_multiplier", dec(4, 2)))
-
 DIM_CUSTOMER = _schema(
     ("customer_id", ID, False), ("first_name", STR), ("last_name", STR), ("email", STR),
     ("phone", STR), ("address", STR), ("city", STR), ("state", STR), ("zip_code", STR),
     ("registration_date", DATE), ("loyalty_points", INT), ("preferred_order_type", STR),
     ("birthday", DATE))
 
-DIM_EMPLOYEE = _schema(("employee_id", ID, False), ("first_name", STR), ("last_name", STR),
-                       ("role", STR), ("hourly_rate", dec(6, 2)), ("hire_date", DATE),
-                       ("is_active", BOOL))
-
-DIM_LOCATION = _schema(
-    ("location_id", ID, False), ("location_name", STR), ("address", STR), ("city", STR),
-    ("state", STR), ("zip_code", STR), ("phone", STR), ("opening_time", STR),
-    ("closing_time", STR), ("seating_capacity", INT), ("has_delivery", BOOL))
-
-DIM_INGREDIENT = _schema(
-    ("ingredient_id", ID, False), ("ingredient_name", STR, False), ("unit_of_measure", STR),
-    ("cost_per_unit", dec(8, 4)), ("supplier", STR), ("is_perishable", BOOL),
-    ("shelf_life_days", INT))
 
 FACT_ORDER = _schema(
     ("order_id", ID, False), ("customer_id", ID), ("employee_id", ID), ("location_id", ID),
@@ -70,21 +47,6 @@ FACT_ORDER = _schema(
     ("delivery_address", STR), ("estimated_ready_time", TS), ("actual_ready_time", TS),
     ("delivery_time", TS), ("special_instructions", STR))
 
-FACT_ORDER_ITEM = _schema(
-    ("order_item_id", ID), ("order_id", ID), ("item_id", ID), ("size_id", ID),
-    ("quantity", INT, False), ("unit_price", dec(8, 2), False), ("line_total", dec(10, 2), False),
-    ("special_requests", STR))
-
-FACT_REVIEW = _schema(
-    ("review_id", ID, False), ("order_id", ID), ("customer_id", ID), ("location_id", ID),
-    ("review_date", TS), ("overall_rating", INT), ("food_rating", INT), ("service_rating", INT),
-    ("delivery_rating", INT), ("review_text", STR), ("review_source", STR))
-
-FACT_INVENTORY = _schema(
-    ("inventory_id", ID), ("location_id", ID), ("ingredient_id", ID), ("record_date", DATE),
-    ("quantity_on_hand", dec(10, 2)), ("quantity_used", dec(10, 2)),
-    ("quantity_received", dec(10, 2)), ("quantity_wasted", dec(10, 2)),
-    ("reorder_point", dec(10, 2)), ("reorder_quantity", dec(10, 2)))
 
 FACT_DAILY_SALES = _schema(
     ("sales_date", DATE, False), ("location_id", ID, False), ("total_orders", INT),
@@ -93,16 +55,6 @@ FACT_DAILY_SALES = _schema(
     ("new_customers", INT), ("weather_condition", STR), ("is_weekend", BOOL),
     ("is_holiday", BOOL))
 
-# Targets written by change jobs and procedures.
-PROCESSED_ORDER_LOG = _schema(
-    ("log_id", ID), ("order_id", ID), ("action_type", STR), ("processed_at", TS),
-    ("order_total", dec(10, 2)), ("customer_id", ID), ("location_id", ID),
-    ("notification_sent", BOOL))
-
-INVENTORY_ALERTS = _schema(
-    ("alert_id", ID), ("location_id", ID), ("ingredient_id", ID), ("ingredient_name", STR),
-    ("current_quantity", dec(10, 2)), ("reorder_point", dec(10, 2)), ("alert_type", STR),
-    ("alert_status", STR), ("created_at", TS), ("resolved_at", TS))
 
 PARTNER_A = _schema(
     ("order_id", STR), ("restaurant_id", STR), ("customer_name", STR),
@@ -112,17 +64,15 @@ PARTNER_A = _schema(
 PARTNER_B_ITEM = T.StructType([
     T.StructField("item_id", ID), T.StructField("name", STR), T.StructField("quantity", INT)])
 
+
 PARTNER_B = _schema(
     ("uber_order_id", STR), ("merchant_id", STR), ("items", T.ArrayType(PARTNER_B_ITEM)),
     ("subtotal", dec(10, 2)), ("service_fee", dec(8, 2)), ("delivery_fee", dec(8, 2)),
     ("created_at", TS))
 
-# Allowed domains declared next to the source columns.
-ORDER_TYPES = ["DELIVERY", "PICKUP", "DINE_IN"]
-PAYMENT_METHODS = ["CASH", "CREDIT", "DEBIT", "MOBILE"]
-ORDER_STATUSES = ["PENDING", "PREPARING", "READY", "DELIVERED", "COMPLETED", "CANCELLED"]
-REVIEW_SOURCES = ["WEBSITE", "GOOGLE", "YELP", "DOORDASH"]
-STATIONS = ["QUEUE", "PREP", "OVEN", "BOXING", "READY", "OUT_FOR_DELIVERY"]
-ALERT_TYPES = ["LOW_STOCK", "OUT_OF_STOCK", "CRITICAL", "EXPIRING"]
-ALERT_STATUSES = ["OPEN", "ACKNOWLEDGED", "RESOLVED"]
-EVENT_TYPES = ["ORDER_PLACED", "ORDER_UPDATED", "ORDER_COMPLETED"]
+
+def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """``df`` with exactly the columns and types of a declared table; a column
+    that the source lacks is NULL."""
+    return df.select(*[(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+                       for f in schema.fields])
