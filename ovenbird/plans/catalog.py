@@ -631,7 +631,7 @@ def q_partner_a_scan(spark, sf_dir):
         (F.col("order_id") % 5 + 1).cast("int").alias("driver_rating"))
     path = external.stage_path(_stage_base(spark), "doordash")
     external.land_objects(rows, path)
-    return normalise(external.external_scan(spark, path, schemas.PARTNER_A))
+    return normalise(external.external_scan(spark, path, schemas.PARTNER_A, objects=True))
 
 
 @register("partner_b_scan")
@@ -649,7 +649,7 @@ def q_partner_b_scan(spark, sf_dir):
         F.col("order_timestamp").alias("created_at"))
     path = external.stage_path(_stage_base(spark), "ubereats")
     external.land_objects(rows, path)
-    scan = external.external_scan(spark, path, schemas.PARTNER_B)
+    scan = external.external_scan(spark, path, schemas.PARTNER_B, objects=True)
     arr = F.try_variant_get("items", "$", "array<variant>")
     return normalise(scan.withColumn("item_count", F.when(arr.isNotNull(), F.size(arr)))
                      .withColumn("items", json_text("items")))

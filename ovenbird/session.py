@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import re
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -89,6 +91,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="ovenbird-ckpt-")
+        atexit.register(shutil.rmtree, configured, ignore_errors=True)  # made here, removed here
         spark.conf.set("spark.checkpoint.dir", configured)
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:

@@ -25,12 +25,13 @@ def land_objects(df: DataFrame, path: str, mode: str = "append") -> None:
 
 
 def external_scan(spark: SparkSession, path: str, schema: T.StructType,
-                  paths: dict[str, str] | None = None) -> DataFrame:
+                  paths: dict[str, str] | None = None, objects: bool = False) -> DataFrame:
     """Typed scan over ``value`` objects: column ``c`` = ``value:path::type``
     (strict cast; a value that does not convert fails the query).  Files
     with plain columns instead of ``value`` are read as objects of their
-    columns."""
-    raw = spark.read.parquet(path)
+    columns.  ``objects``: the files are known to hold ``value``, so no file
+    footer is read to infer a schema."""
+    raw = spark.read.schema("value variant").parquet(path) if objects else spark.read.parquet(path)
     if "value" not in raw.columns:
         raw = raw.select(object_of(**{c: F.col(c) for c in raw.columns}).alias("value"))
     paths = paths or {}
