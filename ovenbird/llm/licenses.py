@@ -24,6 +24,7 @@ read.
 
 from __future__ import annotations
 
+from bisect import bisect_left, insort
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -171,11 +172,13 @@ def _text_matches(index: Index, h: np.ndarray, hits: list[tuple[int, int]], leas
             if matched >= least * len(template):
                 found.append((t, matched, low + first, low + end))
     found.sort(key=lambda m: (-m[1], -m[1] / len(index.words[m[0]]), m[0], m[2]))
-    kept: list[tuple[int, int, int, int]] = []
-    for m in found:
-        if all(2 * (min(m[3], k[3]) - max(m[2], k[2])) <= min(m[3] - m[2], k[3] - k[2]) for k in kept):
-            kept.append(m)
-    return sorted(kept, key=lambda m: (m[2], m[0]))
+    kept: list[tuple[int, int, int, int]] = []  # (first, end, template, matched), sorted
+    longest = max((m[3] - m[2] for m in found), default=0)
+    for t, matched, first, end in found:
+        near = kept[bisect_left(kept, (first - longest,)):bisect_left(kept, (end,))]
+        if all(2 * (min(end, e) - max(first, f)) <= min(end - first, e - f) for f, e, _, _ in near):
+            insort(kept, (first, end, t, matched))
+    return [(t, matched, first, end) for first, end, t, matched in kept]
 
 
 def scan(raw: np.ndarray, off: np.ndarray, index: Index, least: float) -> list[tuple[int, int, int, int, int]]:
