@@ -2,8 +2,9 @@
 
 The test items are the indexed side.  Their terms form an inverted index of
 BM25 impacts, each divided by the score its item must reach (``min_score`` of
-the item's score with itself), so that every item is retrieved from 1 on.  The
-index comes in shards of ``SHARD_ITEMS`` items, broadcast ``SHARDS`` at a time
+the item's score with itself, or the least score of a passage that passes the
+checks below, if that is lower), so that every item is retrieved from 1 on and
+the retrieval loses none that the checks would report.  The index comes in shards of ``SHARD_ITEMS`` items, broadcast ``SHARDS`` at a time
 (a bounded number of items a scan; more items take more scans of the corpus).
 
 Every document is cut into overlapping passages, long enough that each item
@@ -17,7 +18,7 @@ for the others.  A retrieved item is reported if
 
 occur in the passage.  Items with columns ``question`` and ``answer`` are
 checked on those.  Of an item with a ``text`` only, the question is the whole
-text and the answer its last sentence (none, if it is one sentence).
+text and there is no answer to check (answer overlap 1).
 
 Defined results: null or empty texts hold no words and match nothing, as
 document or as item; items of fewer than five words match as one shingle; an
@@ -28,7 +29,6 @@ read.  Repeated document rows are each reported.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -49,7 +49,6 @@ PAIRS = 200_000
 SHINGLE = 5
 #: For rounding: bounds are compared a little below the threshold.
 SLACK = 1e-4
-SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
 
 
 def word_hashes(text: str) -> np.ndarray:
@@ -63,9 +62,27 @@ def grams(h: np.ndarray) -> np.ndarray:
     return np.unique(words.shingle_hashes(h, min(SHINGLE, len(h)))) if len(h) else np.zeros(0, np.uint64)
 
 
-def question_answer(text: str) -> tuple[str, str]:
-    parts = [x for x in SENTENCE.split(text.strip()) if x]
-    return text, parts[-1] if len(parts) > 1 else ""
+def spare(n: int, overlap: float) -> int:
+    """How many of n may be missing."""
+    return n - int(np.ceil(overlap * n - 1e-9))
+
+
+def lacking(q: np.ndarray, answer: np.ndarray, terms: np.ndarray, weight: np.ndarray, overlap: float) -> float:
+    """An upper bound of the weight of the terms that are not in a passage that
+    passes the checks.  q: the question's words; answer: distinct words.  A term
+    of the question is missing only with all shingles that hold it, so its
+    weight is shared out among them and the heaviest shingles count."""
+    lost = 0.0
+    if len(q):
+        size = min(SHINGLE, len(q))
+        distinct, of = np.unique(words.shingle_hashes(q, size), return_inverse=True)
+        at = np.lib.stride_tricks.sliding_window_view(np.searchsorted(terms, q), size)
+        shingle, term = np.divmod(np.unique(of.reshape(-1, 1) * len(terms) + at), len(terms))
+        share = weight / np.maximum(np.bincount(term, minlength=len(terms)), 1)
+        value = np.sort(np.bincount(shingle, weights=share[term]))
+        lost += value[len(value) - spare(len(distinct), overlap):].sum()
+    told = np.sort(weight[np.searchsorted(terms, answer[~np.isin(answer, q)])])
+    return lost + told[max(0, len(told) - spare(len(answer), overlap)):].sum()
 
 
 @dataclass
@@ -90,7 +107,7 @@ class Shard:
 
 
 def build_shards(rows: list[tuple], df: dict[int, int], n_items: int, mean_words: float,
-                 min_score: float) -> tuple[list[Shard], int]:
+                 min_score: float, overlap: float = 0.8) -> tuple[list[Shard], int]:
     """rows: (item_id, question, answer, all words' hashes).  Also the words of
     the longest item."""
     shards, longest = [], 1
@@ -105,7 +122,8 @@ def build_shards(rows: list[tuple], df: dict[int, int], n_items: int, mean_words
             seen = np.array([df[int(t)] for t in terms], np.float64)
             idf = np.log(1 + (n_items - seen + 0.5) / (seen + 0.5))
             weight = idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(h) / mean_words))
-            weight /= max(min_score * weight.sum(), 1e-9) if len(weight) else 1
+            least = weight.sum() - lacking(q, info[-1].answer, terms, weight, overlap)
+            weight /= max(min(min_score * weight.sum(), least), 1e-9) if len(weight) else 1
             post += zip(terms.tolist(), [len(info) - 1] * len(terms), weight.tolist(), strict=True)
         post.sort()
         term = np.array([p[0] for p in post], np.uint64)
@@ -263,13 +281,12 @@ def _items(items: DataFrame) -> DataFrame:
 
 
 def _item_words(rows: DataFrame) -> DataFrame:
-    """The items with their answers split off and all their words' hashes."""
+    """The items with all their words' hashes."""
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in it:
             out = []
             for question, answer, whole in zip(*(b.column(i).to_pylist() for i in (1, 2, 3)), strict=True):
                 full = question if whole else question + "\n" + answer
-                question, answer = question_answer(question) if whole else (question, answer)
                 out.append((question, answer, word_hashes(full).view(np.int64)))
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array([x[0] for x in out], pa.string()), pa.array([x[1] for x in out], pa.string()),
@@ -297,7 +314,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, min_score: float = 0.6, overla
         shards, longest = build_shards(
             [(r["item_id"], r["question"], r["answer"], np.array(r["h"], np.int64).view(np.uint64))
              for r in rows.orderBy("item_id", "question", "answer").collect()],
-            {r["t"] % (1 << 64): r["df"] for r in seen.collect()}, size["n"], size["mean"] or 1.0, min_score)
+            {r["t"] % (1 << 64): r["df"] for r in seen.collect()}, size["n"], size["mean"] or 1.0, min_score, overlap)
         shared = spark.sparkContext.broadcast((shards, -(-longest * 5 // 4)))
         one = texts.mapInArrow(_searcher(shared, overlap),
                                f"doc_id {kind}, item_id {item_kind}, passage_word bigint, score double, "
