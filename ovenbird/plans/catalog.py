@@ -260,7 +260,6 @@ SALES_DATE = AS_OF_ORDERS - dt.timedelta(days=1)
 CHANGE_T0 = dt.datetime(2001, 1, 1)
 CHANGE_T1 = dt.datetime(2001, 8, 1, 12, 0)
 INVENTORY_BATCH_START = dt.date(2001, 1, 1)
-INVENTORY_PRIOR_START = dt.date(2000, 1, 1)
 
 
 def _daily_sales_target(s: Star) -> DataFrame:
@@ -368,8 +367,7 @@ def q_as_of_snapshot(spark, sf_dir):
 @register("inventory_alerts")
 def q_inventory_alerts(spark, sf_dir):
     s = Star(spark, sf_dir)
-    prior = s.fact_inventory(since=INVENTORY_PRIOR_START).filter(
-        F.col("record_date") < timefn.date_lit(INVENTORY_BATCH_START))
+    prior = s.fact_inventory().filter(F.col("record_date") < timefn.date_lit(INVENTORY_BATCH_START))
     open_alerts = change_jobs.inventory_alerts(changes.insert_feed(prior), s.dim_ingredient(), None)
     batch = changes.insert_feed(s.fact_inventory(since=INVENTORY_BATCH_START))
     return normalise(change_jobs.inventory_alerts(batch, s.dim_ingredient(), open_alerts).drop("record_date"))
@@ -713,11 +711,10 @@ def q_streamed_sentiment(spark, sf_dir):
 
 @register("streamed_alerts")
 def q_streamed_alerts(spark, sf_dir):
-    """Inventory alerts as a stream: a year lands, then the rest; the second
-    batch skips what is open in the alert table as it was before."""
+    """Inventory alerts as a stream: all earlier years land, then the rest; the
+    second batch skips what is open in the alert table as it was before."""
     s = Star(spark, sf_dir)
-    prior = s.fact_inventory(since=INVENTORY_PRIOR_START).filter(
-        F.col("record_date") < timefn.date_lit(INVENTORY_BATCH_START))
+    prior = s.fact_inventory().filter(F.col("record_date") < timefn.date_lit(INVENTORY_BATCH_START))
     drops = [prior, s.fact_inventory(since=INVENTORY_BATCH_START)]
     return normalise(_streamed(spark, "alerts", drops, lambda new, before: change_jobs.inventory_alerts(
         new, s.dim_ingredient(), before)).drop("record_date"))
