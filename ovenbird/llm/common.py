@@ -6,12 +6,14 @@ Intermediate results go to the shared folder that the session names in
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 
@@ -60,6 +62,16 @@ def column(df: DataFrame, name: str):
     return df[f"`{name}`"]
 
 
+def text_hash(text):
+    """SHA-256 of a text; a null text is empty."""
+    return F.unhex(F.sha2(F.coalesce(text.cast("string"), F.lit("")).cast("binary"), 256))
+
+
+def sha(text: str | bytes | None) -> bytes:
+    """``text_hash`` in a Python worker."""
+    return hashlib.sha256(text.encode("utf-8") if isinstance(text, str) else text or b"").digest()
+
+
 #: Bytes of an Arrow batch between the JVM and a Python worker (long documents).
 BATCH_BYTES = 8 << 20
 

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bloom, words
-from .common import batches, column, flat_bytes, id_text
+from .common import batches, column, flat_bytes, id_text, sha
 
 K1, B = 1.2, 0.75
 SHARD_ITEMS = 1024
@@ -299,6 +299,11 @@ def find_leaks(docs: DataFrame, items: DataFrame, min_score: float = 0.6, overla
     """Rows (doc_id, item_id, passage_word, score, question_overlap,
     answer_overlap): every item that a document holds, with the best passage's
     first word and its BM25 score as a share of what the item must reach."""
+    return _leaks(docs, items, min_score, overlap).drop("raw")
+
+
+def _leaks(docs: DataFrame, items: DataFrame, min_score: float = 0.6, overlap: float = 0.8) -> DataFrame:
+    """``find_leaks`` with raw, the ``text_hash`` of the document."""
     spark = docs.sparkSession
     known = _item_words(_items(items))
     size = known.agg(F.count(F.lit(1)).alias("n"), F.avg(F.size("h")).alias("mean")).first()
@@ -318,7 +323,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, min_score: float = 0.6, overla
         shared = spark.sparkContext.broadcast((shards, -(-longest * 5 // 4)))
         one = texts.mapInArrow(_searcher(shared, overlap),
                                f"doc_id {kind}, item_id {item_kind}, passage_word bigint, score double, "
-                               "question_overlap double, answer_overlap double")
+                               "question_overlap double, answer_overlap double, raw binary")
         out = one if out is None else out.unionByName(one)
     return out
 
@@ -327,14 +332,17 @@ def _searcher(shared, overlap: float):
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shards, step = shared.value
         for b in batches(it, 2 << 20):
-            hits = search(*flat_bytes(b.column(1)), shards, step, overlap)
+            raw, off = flat_bytes(b.column(1))
+            hits = search(raw, off, shards, step, overlap)
             if hits:
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).take(pa.array([x[0] for x in hits])), *(pa.array([x[i] for x in hits]) for i in range(1, 6))],
-                    names=["doc_id", "item_id", "passage_word", "score", "question_overlap", "answer_overlap"])
+                    [b.column(0).take(pa.array([x[0] for x in hits])), *(pa.array([x[i] for x in hits]) for i in range(1, 6)),
+                     pa.array([sha(raw[off[x[0]]:off[x[0] + 1]].tobytes()) for x in hits], pa.binary())],
+                    names=["doc_id", "item_id", "passage_word", "score", "question_overlap", "answer_overlap", "raw"])
     return run
 
 
 def drop_leaks(docs: DataFrame, items: DataFrame, **how) -> DataFrame:
     """The documents that hold no test item, with all their columns."""
-    return bloom.drop_rows(docs, find_leaks(docs, items, **how).select("doc_id"))
+    leaks = _leaks(docs, items, **how).select("doc_id", "raw", F.lit(False).alias("stays"))
+    return bloom.drop_documents(docs, leaks)

@@ -16,8 +16,10 @@ compared.  Equal texts have equal fingerprints, so none is missed.
 
 Defined results: a null text is empty, and empty texts equal each other; of
 equal texts the row with the most code points in its original text stays, then
-the smallest doc_id (null before all others); rows that repeat a doc_id and its
-text share one decision; an empty table gives no rows; other columns are
+the smallest doc_id (null before all others); ``drop_duplicates`` tells rows of
+the same doc_id, or without one, apart by their texts and leaves one of equal
+rows without a doc_id; rows that repeat a doc_id and its text share one
+decision; an empty table gives no rows; other columns are
 neither read nor changed.
 """
 
@@ -34,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bloom
-from .common import SPACES, Scratch, batches, column, id_text
+from .common import SPACES, Scratch, batches, column, id_text, sha
 
 #: Distinct fingerprints of one message at most (bounds a sender's memory).
 CHUNK = 500_000
@@ -87,7 +89,7 @@ def golomb_decode(data: bytes) -> np.ndarray:
 
 
 def _fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id, h, sha (hex of the normalised text) and code points."""
+    """doc_id, h, sha (hex of the normalised text) and raw (``text_hash``)."""
     kind = docs.select(column(docs, "doc_id").alias("doc_id")).dtypes[0][1]
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -97,8 +99,8 @@ def _fingerprints(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array([fingerprint(x) for x in norms], pa.int64()),
                  pa.array([hashlib.sha256(x).hexdigest() for x in norms]),
-                 pa.array([len(x) for x in texts], pa.int64())], names=["doc_id", "h", "sha", "points"])
-    return id_text(docs).mapInArrow(run, f"doc_id {kind}, h bigint, sha string, points bigint")
+                 pa.array([sha(x) for x in texts], pa.binary())], names=["doc_id", "h", "sha", "raw"])
+    return id_text(docs).mapInArrow(run, f"doc_id {kind}, h bigint, sha string, raw binary")
 
 
 def _messages(hashes: DataFrame, owners: int) -> DataFrame:
@@ -151,6 +153,12 @@ def _marked(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def duplicate_classes(docs: DataFrame, owners: int | None = None) -> DataFrame:
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256."""
+    return _classes(docs, owners).drop("raw", "stays")
+
+
+def _classes(docs: DataFrame, owners: int | None = None) -> DataFrame:
+    """``duplicate_classes`` with raw (``text_hash``) and whether the row stays:
+    kept goes by doc_id, stays by doc_id and text."""
     spark = docs.sparkSession
     owners = owners or int(spark.conf.get("spark.sql.shuffle.partitions"))
     scratch = Scratch(spark, "exact-dedup")
@@ -172,13 +180,14 @@ def duplicate_classes(docs: DataFrame, owners: int | None = None) -> DataFrame:
             rows = np.flatnonzero(shared.value.contains(np.array([fingerprint(x) for x in norms], np.int64)))
             yield pa.RecordBatch.from_arrays(
                 [b.column(0).take(pa.array(rows)), pa.array([hashlib.sha256(norms[i]).hexdigest() for i in rows], pa.string()),
-                 pa.array([norms[i] for i in rows], pa.binary()), pa.array([len(texts[i]) for i in rows], pa.int64())],
-                names=["doc_id", "sha", "norm", "points"])
+                 pa.array([norms[i] for i in rows], pa.binary()), pa.array([len(texts[i]) for i in rows], pa.int64()),
+                 pa.array([sha(texts[i]) for i in rows], pa.binary())],
+                names=["doc_id", "sha", "norm", "points", "raw"])
 
-    texts = id_text(docs).mapInArrow(suspect_texts, f"doc_id {kind}, sha string, norm binary, points bigint")
+    texts = id_text(docs).mapInArrow(suspect_texts, f"doc_id {kind}, sha string, norm binary, points bigint, raw binary")
     # Grouping by the bytes themselves is the comparison.
     verified = texts.groupBy("sha", "norm").agg(
-        F.count(F.lit(1)).alias("size"), F.min(F.struct((-F.col("points")).alias("p"), "doc_id")).alias("best"))
+        F.count(F.lit(1)).alias("size"), F.min(F.struct((-F.col("points")).alias("p"), "doc_id", "raw")).alias("best"))
     one = scratch.put(verified.groupBy("sha").agg(
         F.count(F.lit(1)).alias("texts"), F.max("size").alias("size"), F.min("best").alias("best")), "classes")
     if one.filter("texts > 1").limit(1).count():
@@ -186,14 +195,14 @@ def duplicate_classes(docs: DataFrame, owners: int | None = None) -> DataFrame:
     hit = bloom.test(shared)(F.col("h"))
     alone = prints.filter(~hit).select(
         "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("bigint").alias("group_size"),
-        F.lit(True).alias("kept"), F.col("sha").alias("text_sha256"))
+        F.lit(True).alias("kept"), F.col("sha").alias("text_sha256"), "raw", F.lit(True).alias("stays"))
+    same = F.col("doc_id").eqNullSafe(F.col("best.doc_id"))
     grouped = prints.filter(hit).join(one, "sha").select(
         "doc_id", F.col("best.doc_id").alias("keep_id"), F.col("size").alias("group_size"),
-        F.col("doc_id").eqNullSafe(F.col("best.doc_id")).alias("kept"), F.col("sha").alias("text_sha256"))
+        same.alias("kept"), F.col("sha").alias("text_sha256"), "raw", (same & (F.col("raw") == F.col("best.raw"))).alias("stays"))
     return alone.unionByName(grouped)
 
 
 def drop_duplicates(docs: DataFrame) -> DataFrame:
     """The documents that stay, with all their columns."""
-    gone = duplicate_classes(docs).filter(~F.col("kept")).select("doc_id")
-    return bloom.drop_rows(docs, gone)
+    return bloom.drop_documents(docs, _classes(docs).select("doc_id", "raw", "stays"))

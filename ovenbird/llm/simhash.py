@@ -24,7 +24,10 @@ link between components is lost and the pairs inside a group are not listed.
 
 Defined results: a null text is empty and has fingerprint 0; equal rows are
 members of one node; a null doc_id is a member but never the smallest id, and
-a component of null ids only has a null id; an empty table gives no rows.
+a component of null ids only has a null id; ``keep_one`` tells rows of the same
+doc_id, or without one, apart by their texts, leaves one of equal rows without a
+doc_id, and rows that repeat a doc_id and its text share one decision; an empty
+table gives no rows.
 """
 
 from __future__ import annotations
@@ -40,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bloom
-from .common import Scratch, batches, few, id_text
+from .common import Scratch, batches, few, id_text, sha
 from .components import components
 
 BITS = 64
@@ -107,14 +110,16 @@ def fingerprint(text: str | None, size: int = 4) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
-    """doc_id and fp (the fingerprint as a signed number)."""
+    """doc_id, fp (the fingerprint as a signed number) and raw (``text_hash``)."""
     rows = id_text(docs)
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches(it):
-            got = np.array([fingerprint(x, shingle) for x in b.column(1).to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(got.view(np.int64))], names=["doc_id", "fp"])
-    return rows.mapInArrow(run, f"doc_id {rows.dtypes[0][1]}, fp bigint")
+            texts = b.column(1).to_pylist()
+            got = np.array([fingerprint(x, shingle) for x in texts], np.uint64)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(got.view(np.int64)), pa.array([sha(x) for x in texts], pa.binary())],
+                                             names=["doc_id", "fp", "raw"])
+    return rows.mapInArrow(run, f"doc_id {rows.dtypes[0][1]}, fp bigint, raw binary")
 
 
 # ------------------------------------------------------------- partitioning
@@ -263,24 +268,29 @@ def near_links(nodes: DataFrame, scratch: Scratch, distance: int) -> DataFrame:
 def near_components(docs: DataFrame, shingle: int = 4, distance: int = 4) -> DataFrame:
     """One row per document: doc_id, fingerprint (16 hex digits) and
     component_id, the smallest doc_id reachable over links."""
+    return _members(docs, shingle, distance).drop("raw", "stays")
+
+
+def _members(docs: DataFrame, shingle: int, distance: int) -> DataFrame:
+    """``near_components`` with raw (``text_hash``) and whether the row stays: it
+    has the smallest doc_id (null after all others), then hash, of its component."""
     scratch = Scratch(docs.sparkSession, "simhash")
     prints = scratch.put(fingerprints(docs, shingle), "prints")
-    nodes = scratch.put(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("size")),
-                        "nodes")
+    first = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "raw")
+    nodes = scratch.put(prints.groupBy("fp").agg(F.min(first).alias("first"), F.count(F.lit(1)).alias("size")), "nodes")
     links = near_links(nodes.select("fp", "size"), scratch, distance)
     roots = scratch.put(components(links, scratch, "link"), "roots")
     in_links = roots.count()
     firsts = scratch.put(roots.join(nodes, roots["node"] == nodes["fp"]).groupBy("root").agg(
-        F.min("first_id").alias("component_id")), "firsts", in_links)
-    linked = few(roots.join(firsts, "root").select(F.col("node").alias("fp"), "component_id"), in_links)
-    named = scratch.put(nodes.join(linked, "fp", "left").select(
-        "fp", F.when(F.col("component_id").isNull(), F.col("first_id")).otherwise(F.col("component_id")).alias("component_id")),
-        "named")
+        F.min("first").alias("least")), "firsts", in_links)
+    linked = few(roots.join(firsts, "root").select(F.col("node").alias("fp"), "least"), in_links)
+    named = scratch.put(nodes.join(linked, "fp", "left").select("fp", F.coalesce("least", "first").alias("least")), "named")
+    stays = F.col("doc_id").eqNullSafe(F.col("least.doc_id")) & (F.col("raw") == F.col("least.raw"))
     return prints.join(named, "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("least.doc_id").alias("component_id"),
+        "raw", stays.alias("stays"))
 
 
 def keep_one(docs: DataFrame, shingle: int = 4, distance: int = 4) -> DataFrame:
     """The document with the smallest id of every component, all columns."""
-    members = near_components(docs, shingle, distance)
-    return bloom.drop_rows(docs, members.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id"))
+    return bloom.drop_documents(docs, _members(docs, shingle, distance).select("doc_id", "raw", "stays"))
