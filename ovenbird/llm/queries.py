@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (chat, decontaminate, exact_dedup, licenses, packing, quality, repair, simhash, token_count,
-               url_filter)
+               url_filter, vector_queries)
 from .common import read
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -162,3 +162,7 @@ def op6_repair(spark, sf_dir):
 @register("op1_license_scan")
 def op1_license_scan(spark, sf_dir):
     return licenses.find_licenses(read(spark, sf_dir, "documents"))
+
+
+REGISTRY.update(vector_queries.REGISTRY)
+ORACLE.update(vector_queries.ORACLE)
