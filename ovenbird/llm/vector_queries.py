@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from . import centroids
+from pyspark.sql import functions as F
+
+from . import centroids, negatives
 from .common import read
 
 _WHOLE = """embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"""
@@ -38,5 +40,32 @@ def op11_centroids(spark, sf_dir):
     return centroids.cluster(read(spark, sf_dir, "embeddings"))
 
 
-REGISTRY = {"op11_centroids": op11_centroids}
-ORACLE = {"op11_centroids": _op11_sql()}
+OP13_SQL = f"""
+WITH r AS MATERIALIZED (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, {_integers(256)} AS v
+  FROM embeddings WHERE label IS NOT NULL AND {_WHOLE}
+), s AS MATERIALIZED (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+    CAST(list_sum(list_transform(list_zip(a.v, b.v), lambda z: z[1] * z[2])) AS BIGINT) AS score
+  FROM r a JOIN r b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id
+), p AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
+)
+SELECT p.anchor_id, p.positive_id,
+  CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.other_id) AS INT) AS rank,
+  s.other_id AS negative_id, p.positive_score, s.score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same
+  AND 50 * p.positive_score <= 100 * s.score AND 100 * s.score <= 95 * p.positive_score
+QUALIFY rank <= 3
+"""
+
+
+def op13_hard_negatives(spark, sf_dir):
+    rows = read(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(rows.withColumn("label", moved))
+
+
+REGISTRY = {"op11_centroids": op11_centroids, "op13_hard_negatives": op13_hard_negatives}
+ORACLE = {"op11_centroids": _op11_sql(), "op13_hard_negatives": OP13_SQL}
