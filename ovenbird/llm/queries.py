@@ -11,8 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (chat, decontaminate, exact_dedup, licenses, packing, quality, repair, simhash, token_count,
-               url_filter, vector_queries)
+from . import (chat, decontaminate, exact_dedup, fingerprints, licenses, packing, quality, repair, simhash,
+               token_count, url_filter, vector_queries)
 from .common import read
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -159,6 +159,11 @@ def op6_repair(spark, sf_dir):
     return repair.round_trip(read(spark, sf_dir, "documents")).drop("ids")
 
 
+@register("op12_fingerprints")
+def op12_fingerprints(spark, sf_dir):
+    return fingerprints.fingerprint_documents(read(spark, sf_dir, "documents"))
+
+
 @register("op1_license_scan")
 def op1_license_scan(spark, sf_dir):
     return licenses.find_licenses(read(spark, sf_dir, "documents"))
