@@ -325,17 +325,18 @@ def near_links(nodes: DataFrame, scratch: Scratch, radius: int) -> DataFrame:
     part = lambda n: F.pmod(F.xxhash64("x.fp", F.lit(n)), cells(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), cells(n) - 1))
     large = large.join(rest, "key")
-    left = large.filter(~F.col("inside")).select("key", part("n_out").alias("i"), every("n").alias("j"), "x.fp")
-    right = large.select("key", every("n_out").alias("i"), part("n").alias("j"), "x.fp")
+    left = large.filter(~F.col("inside")).select(
+        F.col("key").alias("bucket"), part("n_out").alias("i"), every("n").alias("j"), F.col("x.fp").alias("fp"))
+    right = large.select(F.col("key").alias("at"), every("n_out").alias("k"), part("n").alias("l"), F.col("x.fp").alias("other"))
 
     def cell(o: pd.DataFrame, m: pd.DataFrame) -> pd.DataFrame:
         if not len(o) or not len(m):
             return pd.DataFrame({"a": [], "b": []}, dtype=object)
         number = lambda x: np.frombuffer(b"".join(map(bytes, x)), ">u8").astype(np.uint64).reshape(-1, WORDS)
-        i, j = _connect(number(o["fp"]), number(m["fp"]), radius)
-        got = pd.DataFrame({"a": o["fp"].to_numpy()[i], "b": m["fp"].to_numpy()[j]})
+        i, j = _connect(number(o["fp"]), number(m["other"]), radius)
+        got = pd.DataFrame({"a": o["fp"].to_numpy()[i], "b": m["other"].to_numpy()[j]})
         return got[got["a"].map(bytes) != got["b"].map(bytes)]
-    more = left.groupBy("key", "i", "j").cogroup(right.groupBy("key", "i", "j")).applyInPandas(cell, "a binary, b binary")
+    more = left.groupBy("bucket", "i", "j").cogroup(right.groupBy("at", "k", "l")).applyInPandas(cell, "a binary, b binary")
     return links.unionByName(more)
 
 

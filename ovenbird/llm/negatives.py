@@ -11,8 +11,9 @@ segments, at some levels of ever shorter segments.  With L components in a segme
 
 and the sums over the segments bound a score.  A pair that can't be among an
 anchor's best, or whose bounds miss the windows of all its positives, is left
-out at the first level that shows it; the rest is refined with the next level's
-summaries, and what is left after the last gets its exact score.
+out at the first level that shows it; rows and anchors with pairs left are refined
+with the next level's summaries, and what is left after the last gets its exact
+score (one matrix product where many pairs of a tile are left).
 
 Anchors are taken in chunks of ``CHUNK`` rows, which are broadcast (a bound that
 doesn't grow with the table); each chunk is matched with all rows in blocks
@@ -42,7 +43,7 @@ from pyspark.sql import functions as F
 from .common import Scratch, column
 from .vectors import pack, quantise, unpack, whole_vectors
 
-#: Anchors of a chunk, anchors and rows that are scored at once, pairs refined at once.
+#: Anchors of a chunk, anchors and rows of a tile, pairs scored at once.
 CHUNK, ANCHORS, ROWS, PAIRS = 16384, 512, 1024, 1 << 15
 #: Bytes of a chunk's vectors and summaries, if it takes fewer rows than ``CHUNK``.
 CHUNK_BYTES = 32 << 20
@@ -121,31 +122,33 @@ def bounds(a: np.ndarray, r: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return middle - spread, middle + spread
 
 
-def pair_bounds(a: np.ndarray, r: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The same for pairs (row i of both)."""
-    s = a.shape[1] // 2
-    middle, spread = (a[:, :s] * r[:, :s]).sum(1), (a[:, s:] * r[:, s:]).sum(1)
-    spread += _slack((a ** 2).sum(1), (r ** 2).sum(1))
-    return middle - spread, middle + spread
-
-
-def scores(a: np.ndarray, r: np.ndarray) -> np.ndarray:
-    """Exact inner products of pairs."""
-    return (a * r).sum(axis=1)
-
-
-def surviving(anchors: Block, rows: Block, possible, least, most) -> Iterator[tuple]:
-    """(anchor, row, exact score) of the pairs of a tile that no level rules out.
-    ``possible``: pairs to look at; ``least`` and ``most``: per anchor, the scores
-    that can matter."""
-    at, to = np.nonzero(possible)
-    for lo in range(0, len(at), PAIRS):
-        a, r = at[lo:lo + PAIRS], to[lo:lo + PAIRS]
-        for x, y in zip(anchors.sums[1:], rows.sums[1:], strict=True):
-            low, high = pair_bounds(x[a], y[r])
-            left = (high >= least[a]) & (low <= most[a])
-            a, r = a[left], r[left]
-        yield a, r, scores(anchors.v[a], rows.v[r])
+def pair_scores(a: Block, r: Block, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Exact inner products of the pairs (anchor i, row j) of a tile."""
+    size = int(max(np.abs(a.v).max(initial=0), np.abs(r.v).max(initial=0)))
+    if size * size * a.v.shape[1] < 1 << 53 and 32 * len(i) > len(a) * len(r):
+        # Every partial sum is a whole number that a double holds.
+        return (a.v.astype(np.float64) @ r.v.astype(np.float64).T)[i, j].astype(np.int64)
+    return np.concatenate([np.zeros(0, np.int64), *[(a.v[i[k:k + PAIRS]] * r.v[j[k:k + PAIRS]]).sum(axis=1)
+                                                    for k in range(0, len(i), PAIRS)]])
+
+
+def surviving(anchors: Block, rows: Block, possible, least, most) -> tuple:
+    """(anchor, row, exact score) of the pairs of a tile that no level rules out
+    and that can matter.  ``possible``: pairs to look at; ``least`` and ``most``: per
+    anchor, the scores that can matter."""
+    for a, r in zip(anchors.sums, rows.sums, strict=True):
+        at = np.flatnonzero(possible.any(axis=1))
+        to = np.flatnonzero(possible.any(axis=0))  # whoever is ruled out everywhere is not refined
+        low, high = bounds(a[at], r[to])
+        left = (high >= least[at, None]) & (low <= most[at, None])
+        if left.shape == possible.shape:
+            possible &= left
+        else:
+            possible[np.ix_(at, to)] &= left
+    i, j = np.nonzero(possible)
+    score = pair_scores(anchors, rows, i, j)
+    good = (score >= least[i]) & (score <= most[i])
+    return i[good], j[good], score[good]
 
 
 # ---------------------------------------------------------- best few per group
@@ -202,14 +205,12 @@ def best_of_label(blocks, anchors: Block, n: int) -> Best:
             a, r = anchors.take(own), block.take(at)
             possible = a.rows[:, None] != r.rows[None, :]
             least = best.worst(own).astype(np.float64)
-            if a.sums:
-                low, high = bounds(a.sums[0], r.sums[0])
+            if a.sums and len(r) > n:  # n other rows of the tile score at least this much
+                low, _ = bounds(a.sums[0], r.sums[0])
                 low[~possible] = -np.inf
-                if len(r) >= n:  # n rows score at least this much
-                    least = np.maximum(least, np.partition(low, len(r) - n, axis=1)[:, len(r) - n])
-                possible &= high >= least[:, None]
-            for i, j, score in surviving(a, r, possible, least, np.full(len(a), np.inf)):
-                best.add(own[i], score, r.ids[j], r.rows[j])
+                least = np.maximum(least, np.partition(low, len(r) - n, axis=1)[:, len(r) - n])
+            i, j, score = surviving(a, r, possible, least, np.full(len(a), np.inf))
+            best.add(own[i], score, r.ids[j], r.rows[j])
     return best
 
 
@@ -224,14 +225,10 @@ def best_in_windows(blocks, anchors: Block, low: np.ndarray, high: np.ndarray, n
             need = np.maximum(low[own], best.worst(own[:, None] * windows + np.arange(windows)))
             least = np.where(low[own] <= high[own], need.astype(np.float64), np.inf).min(axis=1)
             a, r = anchors.take(own), block.take(at)
-            possible = np.ones((len(a), len(r)), bool)
-            if a.sums:
-                lower, upper = bounds(a.sums[0], r.sums[0])
-                possible = (upper >= least[:, None]) & (lower <= most[own][:, None])
-            for i, j, score in surviving(a, r, possible, least, most[own]):
-                for w in range(windows):
-                    fits = (score >= low[own[i], w]) & (score <= high[own[i], w])
-                    best.add(own[i[fits]] * windows + w, score[fits], r.ids[j[fits]], r.rows[j[fits]])
+            i, j, score = surviving(a, r, np.ones((len(a), len(r)), bool), least, most[own])
+            for w in range(windows):
+                fits = (score >= need[i, w]) & (score <= high[own[i], w])
+                best.add(own[i[fits]] * windows + w, score[fits], r.ids[j[fits]], r.rows[j[fits]])
     return best
 
 
