@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ACTION = "_action"
@@ -84,3 +84,50 @@ def as_of(history: DataFrame, keys: Sequence[str], ts_col: str, at, seq_col: str
     return (last.filter(F.col("__l." + ACTION) == "INSERT")
             .select(*keys, *[F.col(f"__l.{c}").alias(c) for c in image_cols if c not in keys])
             .select(*image_cols))
+
+
+def versions(history: DataFrame, keys: Sequence[str], ts_col: str) -> DataFrame:
+    """Interval history: the images of ``history`` (change images with ``_action``
+    and a change time) with ``valid_from`` and ``valid_to`` (exclusive; NULL: still
+    valid).  A key's image ends with its next change, an update's new image or a
+    deletion.  Of several changes of a key at one time the last image counts (a
+    DELETE of an update pair sorts before its INSERT)."""
+    keys = list(keys)
+    image_cols = [c for c in history.columns if c not in (ACTION, IS_UPDATE, ROW_ID, ts_col, *keys)]
+    image = F.struct(*image_cols, ACTION)
+    order = F.struct(F.when(F.col(ACTION) == "INSERT", 1).otherwise(0), *image_cols)
+    last = history.groupBy(*keys, ts_col).agg(F.max_by(image, order).alias("__l"))
+    ends = F.lead(ts_col).over(Window.partitionBy(*keys).orderBy(ts_col))
+    return (last.withColumn("valid_to", ends).filter(F.col(f"__l.{ACTION}") == "INSERT")
+            .select(*keys, *[F.col(f"__l.{c}").alias(c) for c in image_cols], F.col(ts_col).alias("valid_from"), "valid_to"))
+
+
+def join_valid(facts: DataFrame, valid: DataFrame, keys: Sequence[str], ts_col: str, days: int = 365) -> DataFrame:
+    """``facts`` with the columns of the version (see ``versions``) that was valid
+    at ``ts_col``; NULLs where there was none.
+
+    Range as-of join: time is cut into buckets of ``days``; a version is copied to
+    the buckets that it spans, up to the last one that a fact lies in, and the join
+    is on (key, bucket) plus the range.  So a key with very many facts is spread
+    over its buckets, and a fact meets the versions of its bucket only."""
+    keys = list(keys)
+    span = days * 86400
+
+    def bucket(c: Column) -> Column:
+        # Seconds since 1970 of a time without a zone, whatever the session's zone is.
+        return F.floor(F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), c.cast("timestamp_ntz")) / span)
+    reach = facts.agg(F.min(bucket(F.col(ts_col))).alias("lo"), F.max(bucket(F.col(ts_col))).alias("hi"))
+    lo, hi = (reach.select(c).scalar() for c in ("lo", "hi"))
+    first = F.greatest(bucket(F.col("valid_from")), lo)
+    final = F.least(F.coalesce(bucket(F.col("valid_to")), hi), hi)
+    spread = valid.filter((F.col("valid_to").isNull()) | (F.col("valid_from") < F.col("valid_to")))
+    spread = spread.withColumns({"__lo": first, "__hi": final}).filter(F.col("__lo") <= F.col("__hi"))
+    spread = spread.withColumn("__bucket", F.explode(F.sequence("__lo", "__hi"))).drop("__lo", "__hi")
+    f, v = facts.withColumn("__bucket", bucket(F.col(ts_col))).alias("f"), spread.alias("v")
+    same = F.col("f.__bucket") == F.col("v.__bucket")
+    for k in keys:
+        same = same & (F.col(f"f.{k}") == F.col(f"v.{k}"))
+    at = F.col(f"f.{ts_col}")
+    same = same & (F.col("v.valid_from") <= at) & (F.col("v.valid_to").isNull() | (at < F.col("v.valid_to")))
+    rest = [c for c in valid.columns if c not in keys]
+    return f.join(v, same, "left").select(*[F.col(f"f.{c}") for c in facts.columns], *[F.col(f"v.{c}") for c in rest])

@@ -23,7 +23,7 @@ from ..operators.ranking import surrogate_ids
 from ..session import work_dir
 from ..sources import external, schemas, tables
 from ..sources.star import AS_OF_ORDERS, Star
-from ..streaming import feeds
+from ..streaming import feeds, keyed
 from ..streaming.incremental import IncrementalMedallion, IncrementalViews
 from . import analytics, change_jobs, jobs, medallion, messages, quality, views
 
@@ -681,18 +681,18 @@ def q_append_feed(spark, sf_dir):
 
 @register("order_log")
 def q_order_log(spark, sf_dir):
-    feed = _order_feed(spark, sf_dir, lambda new, _before: jobs.order_log(new))
+    feed = _order_feed(spark, sf_dir, jobs.order_log)
     feed.consume()
     return normalise(surrogate_ids(feed.consumed(), ["order_id"], "log_id"))
 
 
-def _streamed(spark, name: str, drops: list[DataFrame], job, changes: bool = False) -> DataFrame:
+def _streamed(spark, name: str, drops: list[DataFrame], job) -> DataFrame:
     """A change job as a stream: each drop lands and is consumed by one run."""
     base = work_dir(spark, f"{name}-{uuid.uuid4().hex}")
     landing = os.path.join(base, "landing")
     for drop in drops:
         feeds.land(drop, landing)
-        feed = feeds.AppendFeed(spark, landing, os.path.join(base, "state"), drop.schema, job, changes)
+        feed = feeds.AppendFeed(spark, landing, os.path.join(base, "state"), drop.schema, job)
         feed.consume()
     return feed.consumed()
 
@@ -706,25 +706,79 @@ def _halves(df: DataFrame, key: str) -> list[DataFrame]:
 def q_streamed_sentiment(spark, sf_dir):
     """Review sentiment as a stream, the reviews landing in two drops."""
     return normalise(_streamed(spark, "sentiment", _halves(Star(spark, sf_dir).fact_review(), "review_id"),
-                               lambda new, _before: change_jobs.sentiment_labels(new)))
+                               change_jobs.sentiment_labels))
+
+
+def _stock_changes(changes_: DataFrame) -> DataFrame:
+    return changes_.withColumn("kind", F.lit(keyed.CHANGE))
+
+
+def _run_alerts(spark, s: Star, drops: list[DataFrame]) -> keyed.AlertStream:
+    base = work_dir(spark, f"alerts-{uuid.uuid4().hex}")
+    stream = keyed.AlertStream(spark, os.path.join(base, "landing"), os.path.join(base, "state"), s.dim_ingredient())
+    for drop in drops:
+        feeds.land(drop.select(*stream.schema.names), stream.landing_dir)
+        stream.consume()
+    return stream
+
+
+ALERT_COLUMNS = ["location_id", "ingredient_id", "ingredient_name", "current_quantity", "reorder_point", "alert_type",
+                 "alert_status"]
 
 
 @register("streamed_alerts")
 def q_streamed_alerts(spark, sf_dir):
-    """Inventory alerts as a stream: all earlier years land, then the rest; the
-    second batch skips what is open in the alert table as it was before."""
+    """Inventory alerts as a stream: all earlier years land, then the rest; what is
+    open is keyed state."""
     s = Star(spark, sf_dir)
     prior = s.fact_inventory().filter(F.col("record_date") < timefn.date_lit(INVENTORY_BATCH_START))
-    drops = [prior, s.fact_inventory(since=INVENTORY_BATCH_START)]
-    return normalise(_streamed(spark, "alerts", drops, lambda new, before: change_jobs.inventory_alerts(
-        new, s.dim_ingredient(), before)).drop("record_date"))
+    drops = [_stock_changes(prior), _stock_changes(s.fact_inventory(since=INVENTORY_BATCH_START))]
+    return normalise(_run_alerts(spark, s, drops).alerts().select(*ALERT_COLUMNS))
+
+
+@register("streamed_alerts_resolved")
+def q_streamed_alerts_resolved(spark, sf_dir):
+    """Alerts that open, are resolved (those of even locations, the day before the
+    last batch) and open again with the changes of the last batch."""
+    s = Star(spark, sf_dir)
+    prior = s.fact_inventory().filter(F.col("record_date") < timefn.date_lit(INVENTORY_BATCH_START))
+    done = prior.filter(F.col("location_id") % 2 == 0).withColumns({
+        "record_date": F.date_sub(timefn.date_lit(INVENTORY_BATCH_START), 1), "kind": F.lit(keyed.RESOLVED)})
+    drops = [_stock_changes(prior), done, _stock_changes(s.fact_inventory(since=INVENTORY_BATCH_START))]
+    return normalise(_run_alerts(spark, s, drops).alerts().select(*ALERT_COLUMNS, "alert_number", "resolved_date"))
 
 
 @register("streamed_history")
 def q_streamed_history(spark, sf_dir):
-    """Customer history as a stream over the change images."""
-    return normalise(_streamed(spark, "history", _halves(_customer_changes(Star(spark, sf_dir)), "customer_id"),
-                               lambda new, _before: change_jobs.customer_history(new), changes=True))
+    """Customer history from the change stream of two customer snapshots; the
+    stream begins after the first one."""
+    s = Star(spark, sf_dir)
+    base = work_dir(spark, f"history-{uuid.uuid4().hex}")
+    snapshot = lambda when, at: s.dim_customer(when).withColumn(keyed.SNAPSHOT_AT, F.lit(at).cast("timestamp"))
+    first, second = snapshot("before", "2001-08-01 00:00:00"), snapshot("after", "2001-08-02 00:00:00")
+    reader = keyed.SnapshotChanges(spark, os.path.join(base, "landing"), os.path.join(base, "state"),
+                                   s.dim_customer("before").schema, ["customer_id"], change_jobs.customer_history)
+    feeds.land(first, reader.landing_dir)
+    reader.prime()
+    feeds.land(second, reader.landing_dir)
+    reader.consume()
+    return normalise(reader.consumed())
+
+
+VERSION_T0, VERSION_T1 = dt.datetime(1996, 1, 1), dt.datetime(1999, 1, 1)
+
+
+@register("order_customer_versions")
+def q_order_customer_versions(spark, sf_dir):
+    """Orders with the customer as it was at order time: the first snapshot is
+    valid from 1996 on, its changes from 1999 on."""
+    s = Star(spark, sf_dir)
+    initial = changes.insert_feed(s.dim_customer("before")).withColumn("_changed_at", timefn.ts_lit(VERSION_T0))
+    later = _customer_changes(s).drop(changes.ROW_ID).withColumn("_changed_at", timefn.ts_lit(VERSION_T1))
+    valid = changes.versions(initial.unionByName(later), ["customer_id"], "_changed_at").select(
+        "customer_id", "phone", "loyalty_points", "valid_from", "valid_to")
+    orders = s.fact_order().select("order_id", "customer_id", "order_timestamp", "total_amount")
+    return normalise(changes.join_valid(orders, valid, ["customer_id"], "order_timestamp"))
 
 
 PIPELINE_SPLIT = dt.datetime(1999, 1, 1)
@@ -768,11 +822,11 @@ def _run_views(spark, sf_dir) -> IncrementalViews:
     base = work_dir(spark, f"views-{uuid.uuid4().hex}")
     landing = os.path.join(base, "orders")
     schema = s.fact_order().schema
-    views_ = IncrementalViews(spark, os.path.join(base, "tables"), s.dim_customer(), schema)
+    kept = IncrementalViews(spark, os.path.join(base, "tables"), s.dim_customer(), schema)
     for since, until in ((None, PIPELINE_SPLIT), (PIPELINE_SPLIT, None)):
         feeds.land(s.fact_order(since=since, until=until), landing)
-        feeds.run_available(spark, landing, schema, os.path.join(base, "checkpoint"), views_.process)
-    return views_
+        kept.start(landing, os.path.join(base, "checkpoint")).awaitTermination()
+    return kept
 
 
 @register("streamed_hourly_sales")

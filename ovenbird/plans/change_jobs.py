@@ -1,6 +1,7 @@
 """Bodies of the change-driven jobs (order log, review sentiment, inventory
 alerts, customer history).  Each takes one batch of changes and returns the
-rows to append; ``streaming.feeds.AppendFeed`` runs them per micro-batch."""
+rows to append; ``streaming.feeds.AppendFeed`` and ``streaming.keyed`` run them
+per micro-batch."""
 
 from __future__ import annotations
 
@@ -30,6 +31,10 @@ def sentiment_labels(reviews: DataFrame, scorer: Callable[[Column], Column] = le
         F.when(s <= NEGATIVE_AT, True).otherwise(False).alias("requires_response"))
 
 
+def alert_type(quantity: Column, reorder_point: Column) -> Column:
+    return F.when(quantity == 0, "OUT_OF_STOCK").when(quantity <= reorder_point * 0.5, "CRITICAL").otherwise("LOW_STOCK")
+
+
 def inventory_alerts(changes: DataFrame, ingredients: DataFrame, open_alerts: DataFrame | None,
                      dedupe: bool = False) -> DataFrame:
     """Alerts for inserted inventory images at or below the reorder point.
@@ -43,7 +48,7 @@ def inventory_alerts(changes: DataFrame, ingredients: DataFrame, open_alerts: Da
     c = changes.filter((F.col("quantity_on_hand") <= F.col("reorder_point")) & (F.col(ACTION) == "INSERT"))
     c = c.join(ingredients.select("ingredient_id", "ingredient_name"), "ingredient_id", "inner")
     if open_alerts is not None:
-        existing = open_alerts.filter(F.col("alert_status") == "OPEN").select("location_id", "ingredient_id")
+        existing = open_alerts.filter(F.col("alert_status") == "OPEN").select("location_id", "ingredient_id").distinct()
         c = c.join(existing, ["location_id", "ingredient_id"], "left_anti")
     q, rp = F.col("quantity_on_hand"), F.col("reorder_point")
     if dedupe:
@@ -53,7 +58,7 @@ def inventory_alerts(changes: DataFrame, ingredients: DataFrame, open_alerts: Da
     return c.select(
         "location_id", "ingredient_id", "ingredient_name",
         q.alias("current_quantity"), rp.alias("reorder_point"),
-        F.when(q == 0, "OUT_OF_STOCK").when(q <= rp * 0.5, "CRITICAL").otherwise("LOW_STOCK").alias("alert_type"),
+        alert_type(q, rp).alias("alert_type"),
         F.lit("OPEN").alias("alert_status"), *[c for c in ("record_date",) if c in changes.columns])
 
 

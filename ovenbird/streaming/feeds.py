@@ -4,8 +4,8 @@ A table that only grows is a folder of parquet files; new files are new rows.
 The file source with ``Trigger.AvailableNow`` processes whatever arrived since
 the last run and records the offset in its checkpoint only after the sink
 write of the micro-batch succeeded (the offset moves on consumption, and a
-run with nothing new starts no batch).  Sinks are ``BatchLog`` tables: a batch
-replayed after a failure overwrites its own run.
+run with nothing new starts no batch).  Sinks are ``BatchTable`` tables: a batch
+replayed after a failure overwrites its own partition.
 """
 
 from __future__ import annotations
@@ -16,19 +16,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.changes import insert_feed
-from .state import BatchLog
+from .batches import BatchTable, start_query
 
-#: (changes of a batch, the job's output before the batch or None) -> new rows
-Job = Callable[[DataFrame, DataFrame | None], DataFrame]
+#: changes of a batch -> rows to append
+Job = Callable[[DataFrame], DataFrame]
 
 
 def run_available(spark: SparkSession, source_dir: str, schema, checkpoint: str,
                   body: Callable[[DataFrame, int], None], file_format: str = "parquet") -> None:
     """Process every file not yet consumed under ``source_dir`` and stop."""
     stream = spark.readStream.schema(schema).format(file_format).load(source_dir)
-    q = (stream.writeStream.foreachBatch(body).option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
+    start_query(stream, body, checkpoint).awaitTermination()
 
 
 def discard(_df: DataFrame, _batch_id: int) -> None:
@@ -41,32 +39,23 @@ class AppendFeed:
     """An append-only feed over a landing folder with its own checkpoint."""
 
     def __init__(self, spark: SparkSession, landing_dir: str, state_dir: str, schema,
-                 job: Job | None = None, changes: bool = False):
-        """``job`` turns a batch of changes and the job's own output before the
-        batch into the rows to append (default: the changes themselves).
-        ``changes``: the landed rows are change images already."""
+                 job: Job | None = None):
+        """``job`` turns a batch of changes into the rows to append (default: the
+        changes themselves)."""
         self.spark = spark
         self.landing_dir = landing_dir
         self.schema = schema
-        self.job = job or (lambda df, _before: df)
-        self.changes = changes
-        none = self._feed(spark.createDataFrame([], schema))
-        # The first output schema can't depend on the output before it.
-        first = self.job(none, None).schema
-        self.sink = BatchLog(spark, os.path.join(state_dir, "sink"), first)
+        self.job = job or (lambda df: df)
+        none = insert_feed(spark.createDataFrame([], schema))
+        self.sink = BatchTable(spark, os.path.join(state_dir, "sink"), self.job(none).schema)
         self.checkpoint = os.path.join(state_dir, "checkpoint")
 
     def prime(self) -> None:
         """Skip the rows already present (``SHOW_INITIAL_ROWS = FALSE``)."""
         run_available(self.spark, self.landing_dir, self.schema, self.checkpoint, discard)
 
-    def _feed(self, df: DataFrame) -> DataFrame:
-        return df if self.changes else insert_feed(df)
-
     def body(self, df: DataFrame, batch_id: int) -> None:
-        """foreachBatch body: the job sees its output as it was before."""
-        self.sink.merge_runs(batch_id)
-        self.sink.write(self.job(self._feed(df), self.sink.read(batch_id)), batch_id)
+        self.sink.write(self.job(insert_feed(df)), batch_id)
 
     def consume(self) -> None:
         """Process the rows that arrived since the last consumption."""

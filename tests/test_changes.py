@@ -176,3 +176,24 @@ def test_quality_checks_find_each_fault(spark):
     got = {r.check_name: (r.status, r.issue_count) for r in run_quality_checks(orders, items, reviews, customers).collect()}
     assert got == {"Null Customer ID": ("FAIL", 1), "Negative Totals": ("FAIL", 1), "Orphaned Order Items": ("FAIL", 2),
                    "Invalid Ratings": ("FAIL", 2), "Duplicate Emails": ("WARN", 2)}
+
+
+def test_versions_and_join_valid(spark):
+    day = lambda k: dt.datetime(2000, 1, 1) + dt.timedelta(days=k)
+    rows = [(1, "a", "INSERT", day(0)), (1, "a", "DELETE", day(10)), (1, "b", "INSERT", day(10)), (1, "b", "DELETE", day(20)),
+            (2, "x", "INSERT", day(5)), (1, "c", "INSERT", day(30)), (3, None, "INSERT", day(0))]
+    h = spark.createDataFrame(rows, "id long, name string, _action string, at timestamp_ntz")
+    got = changes.versions(h, ["id"], "at")
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, [
+        (1, "a", day(0), day(10)), (1, "b", day(10), day(20)), (1, "c", day(30), None), (2, "x", day(5), None), (3, None, day(0), None)]))
+    facts = [(k, 1 + k % 4 if k % 9 else None, day(k) + dt.timedelta(hours=k % 3)) for k in range(-40, 400)] + [(900, 1, None)]
+    f = spark.createDataFrame(facts, "n long, id long, ts timestamp_ntz")
+    valid = got.collect()
+
+    def name(i, t):
+        fit = [v.name for v in valid if v.id == i and t is not None and v.valid_from <= t and (v.valid_to is None or t < v.valid_to)]
+        return fit[0] if fit else None
+    for days in (1, 7, 365):
+        out = {r.n: r.name for r in changes.join_valid(f, got, ["id"], "ts", days).collect()}
+        assert out == {n: name(i, t) for n, i, t in facts}
+    assert changes.join_valid(f.limit(0), got, ["id"], "ts").count() == 0

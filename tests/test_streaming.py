@@ -1,12 +1,18 @@
 import datetime as dt
 import os
+from decimal import Decimal
 
+import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
+from ovenbird.operators import changes
 from ovenbird.plans import medallion
 from ovenbird.sources.star import Star
-from ovenbird.streaming import feeds
-from ovenbird.streaming.incremental import IncrementalMedallion
+from ovenbird.streaming import feeds, keyed
+from ovenbird.streaming.batches import BatchTable, ChangedKeys
+from ovenbird.streaming.incremental import (IncrementalMedallion, IncrementalViews, _customer_order_aggregates,
+                                            _hour_aggregates)
 
 SF = "/root/testdata/sf0.001"
 
@@ -77,24 +83,30 @@ def _same(got, want):
     return got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
 
 
+def _run(pipe, scratch, bronze, drop):
+    landing = os.path.join(scratch, "bronze")
+    drop.select(*bronze.columns).write.mode("append").parquet(landing)
+    pipe.start(landing, bronze.schema, os.path.join(scratch, "ckpt")).awaitTermination()
+
+
 def test_ordinary_batches_of_the_pipeline(spark, scratch):
-    """Empty, update-only, without items, repeated events, a replayed batch."""
+    """Empty, update-only, without items, repeated events."""
     s, pipe = _pipe(spark, scratch)
     assert pipe.table("gold_daily_sales").count() == 0 and pipe.table("gold_customer_activity").count() == 0
     orders = s.fact_order().filter("order_id % 20 = 1")
     bronze = medallion.bronze_events(orders, s.fact_order_item(), s.dim_menu_item())
     bare = medallion.bronze_events(orders, s.fact_order_item().filter("false"), s.dim_menu_item())
-    pipe.process(bronze.filter("false"), 0)
-    pipe.process(bronze.withColumn("event_type", F.lit("ORDER_UPDATED")), 1)
+    _run(pipe, scratch, bronze, bronze.filter("false"))
+    _run(pipe, scratch, bronze, bronze.withColumn("event_type", F.lit("ORDER_UPDATED")))
     assert pipe.silver().count() == 0
     first = F.pmod(F.xxhash64("event_id"), F.lit(2)) == 0
-    pipe.process(bare.filter(first), 2)
+    _run(pipe, scratch, bronze, bare.filter(first))
     assert pipe.silver_items().count() == 0 and pipe.table("gold_item_performance").count() == 0
     second = bronze.filter(~first)
-    pipe.process(second.unionByName(second), 3)
-    pipe.process(second.unionByName(bare.filter(first)), 4)  # all seen before
-    pipe.process(second, 3)  # replayed
-    pipe.process(second.unionByName(bare.filter(first)), 4)
+    _run(pipe, scratch, bronze, second.unionByName(second))
+    # Seen before: as it was, and with another time.
+    later = second.withColumn("event_timestamp", F.col("event_timestamp") + F.expr("INTERVAL 90 DAYS"))
+    _run(pipe, scratch, bronze, second.unionByName(bare.filter(first)).unionByName(later))
     want = medallion.silver_orders(bare.filter(first).unionByName(second))
     assert pipe.silver().count() == want.count()
     assert _same(pipe.table("gold_customer_activity"), medallion.gold_customer_activity(want, s.dim_customer()))
@@ -103,42 +115,105 @@ def test_ordinary_batches_of_the_pipeline(spark, scratch):
         medallion.silver_order_items(want), s.dim_location(), s.dim_menu_item(), s.dim_category()))
 
 
-def test_batch_log_merges_runs(spark, scratch, monkeypatch):
-    from ovenbird.streaming import state
-    monkeypatch.setattr(state, "FAN_IN", 3)
+def test_failed_batch_is_replayed_once(spark, scratch, monkeypatch):
+    """The sink fails after it has written; the restarted stream replays the batch."""
+    s, pipe = _pipe(spark, scratch)
+    bronze = medallion.bronze_events(s.fact_order().filter("order_id % 20 = 1"), s.fact_order_item(), s.dim_menu_item())
+    half = F.pmod(F.xxhash64("event_id"), F.lit(2)) == 0
+    _run(pipe, scratch, bronze, bronze.filter(half))
+    plain = (IncrementalMedallion._refresh_periods, ChangedKeys.write)
+
+    def broken(self, *args):
+        (plain[0] if isinstance(self, IncrementalMedallion) else plain[1])(self, *args)
+        raise RuntimeError("lost")
+    monkeypatch.setattr(IncrementalMedallion, "_refresh_periods", broken)
+    monkeypatch.setattr(ChangedKeys, "write", broken)
+    with pytest.raises(StreamingQueryException):
+        _run(pipe, scratch, bronze, bronze.filter(~half))
+    monkeypatch.undo()
+    again = IncrementalMedallion(spark, os.path.join(scratch, "tables"), s.dim_location(), s.dim_customer(),
+                                 s.dim_menu_item(), s.dim_category())  # a restarted job
+    again.start(os.path.join(scratch, "bronze"), bronze.schema, os.path.join(scratch, "ckpt")).awaitTermination()
+    want = medallion.silver_orders(bronze)
+    assert again.silver().count() == want.count()
+    assert _same(again.table("gold_customer_activity"), medallion.gold_customer_activity(want, s.dim_customer()))
+    assert _same(again.table("gold_daily_sales"), medallion.gold_daily_sales(want, s.dim_location()))
+
+
+def test_views_write_changed_keys_only(spark, scratch):
+    s = Star(spark, SF)
+    orders = s.fact_order().filter("customer_id % 3 = 1")
+    landing, kept = os.path.join(scratch, "orders"), IncrementalViews(spark, os.path.join(scratch, "t"), s.dim_customer(), orders.schema)
+    few = orders.filter("customer_id < 20")
+    for drop in (orders, few.withColumn("order_id", -F.col("order_id"))):
+        feeds.land(drop, landing)
+        kept.start(landing, os.path.join(scratch, "ckpt")).awaitTermination()
+    last = kept.metrics.table.rows().filter("batch_id = 1")
+    assert {r[0] for r in last.select("customer_id").collect()} == {r[0] for r in few.select("customer_id").distinct().collect()}
+    both = orders.unionByName(few)
+    assert _same(kept.metrics.current(), _customer_order_aggregates(both)) and _same(kept.hours.current(), _hour_aggregates(both))
+
+
+def test_batch_table_replays(spark, scratch):
     schema = spark.createDataFrame([], "a int, p string").schema
-    log = state.BatchLog(spark, os.path.join(scratch, "log"), schema, "p")
-    assert log.read().count() == 0
-    for b in range(11):
-        log.merge_runs(b)
-        log.write(spark.createDataFrame([(b, f"p{b % 2}"), (100 + b, "hot")], schema), b)
-        log.write(spark.createDataFrame([(b, f"p{b % 2}"), (100 + b, "hot")], schema), b)  # replayed
-        assert sorted(r.a for r in log.read().collect()) == sorted([*range(b + 1), *range(100, 101 + b)])
-        assert sorted(r.a for r in log.read(b).collect()) == sorted([*range(b), *range(100, 100 + b)])
-    assert log.runs() == [(0, 8), (9, 9), (10, 10)]
-
-
-def test_keyed_state_equals_one_pass(spark, scratch, monkeypatch):
-    from ovenbird.streaming import state
-    monkeypatch.setattr(state, "FAN_IN", 2)
-
-    def partial(df):
-        return df.groupBy("k").agg(F.sum("x").alias("total"), F.min("x").alias("least"), F.max("x").alias("most")).join(
-            state.value_counts(df, "k", ["v"]), "k", "left")
-    schema = "k int, x int, v string"
-    rows = [(k % 7 or None, k * 37 % 101, "abc"[k * k % 3]) for k in range(90)]
-    like = spark.createDataFrame([], schema)
-    st = state.KeyedState(spark, os.path.join(scratch, "st"), ["k"], {"total": "sum", "least": "min", "most": "max", "v_counts": "counts"},
-                          partial, like)
-    for b in range(6):
-        part = spark.createDataFrame(rows[b * 15:b * 15 + 15], schema).filter("k IS NOT NULL")
-        st.update(part, b)
-        st.update(part, b)
-    whole = spark.createDataFrame(rows, schema).filter("k IS NOT NULL")
-    want = whole.groupBy("k").agg(F.sum("x").alias("total"), F.min("x").alias("least"), F.max("x").alias("most"),
-                                  F.mode("v", True).alias("mode"))
-    got = st.current().select("k", "total", "least", "most", state.mode_of(F.col("v_counts")).alias("mode"))
-    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    table = BatchTable(spark, os.path.join(scratch, "t"), schema, "p")
+    assert table.read().count() == 0
+    for b in (0, 1, 1, 2):
+        table.write(spark.createDataFrame([(b, f"p{b % 2}"), (100 + b, "hot")], schema), b)
+    again = BatchTable(spark, os.path.join(scratch, "t"), schema, "p")
+    assert sorted(r.a for r in again.read().collect()) == [0, 1, 2, 100, 101, 102]
+
+
+# ------------------------------------------------------------- keyed streams
+
+def _alert_run(spark, scratch, rows, stream=None):
+    stream = stream or keyed.AlertStream(spark, os.path.join(scratch, "l"), os.path.join(scratch, "s"),
+                                         spark.createDataFrame([(1, "flour"), (2, "salt")], "ingredient_id long, ingredient_name string"))
+    feeds.land(spark.createDataFrame([(a, b, Decimal(q), Decimal(10), dt.date(2001, 1, d), k) for a, b, q, d, k in rows],
+                                     stream.schema), stream.landing_dir)
+    stream.consume()
+    return stream
+
+
+def test_alerts_close_and_open_again(spark, scratch):
+    c, done = keyed.CHANGE, keyed.RESOLVED
+    low = [(1, 1, 3, 1, c), (1, 1, 0, 2, c), (1, 2, 11, 1, c), (2, 1, 9, 1, c), (2, 9, 1, 1, c), (3, 1, 8, 1, done)]
+    st = _alert_run(spark, scratch, low)  # two changes of one key alert both; ingredient 9 is unknown
+    _alert_run(spark, scratch, [(1, 1, 2, 3, c), (3, 1, 4, 3, c)], st)  # the first is open already
+    got = lambda: sorted((r.location_id, r.ingredient_id, int(r.current_quantity), r.alert_type, r.alert_status, r.alert_number,
+                          r.resolved_date.day if r.resolved_date else 0) for r in st.alerts().collect())
+    assert got() == [(1, 1, 0, "OUT_OF_STOCK", "OPEN", 1, 0), (1, 1, 3, "CRITICAL", "OPEN", 1, 0),
+                     (2, 1, 9, "LOW_STOCK", "OPEN", 1, 0), (3, 1, 4, "CRITICAL", "OPEN", 1, 0)]
+    # Resolved twice, the earlier day counts; a change of the same batch still finds it open.
+    _alert_run(spark, scratch, [(1, 1, 0, 6, done), (1, 1, 0, 5, done), (1, 1, 7, 5, c), (2, 2, 0, 5, done)], st)
+    st = keyed.AlertStream(spark, st.landing_dir, os.path.join(scratch, "s"), st.ingredients)  # a restarted job
+    _alert_run(spark, scratch, [(1, 1, 6, 7, c), (2, 1, 1, 7, c)], st)
+    assert got() == [(1, 1, 0, "OUT_OF_STOCK", "RESOLVED", 1, 5), (1, 1, 3, "CRITICAL", "RESOLVED", 1, 5),
+                     (1, 1, 6, "LOW_STOCK", "OPEN", 2, 0), (2, 1, 9, "LOW_STOCK", "OPEN", 1, 0), (3, 1, 4, "CRITICAL", "OPEN", 1, 0)]
+    _alert_run(spark, scratch, [(1, 1, 0, 9, done)], st)
+    assert [r for r in got() if r[5] == 2] == [(1, 1, 6, "LOW_STOCK", "RESOLVED", 2, 9)]
+
+
+def test_snapshots_become_a_change_stream(spark, scratch):
+    schema = "id long, name string, points int, rate decimal(6,2), since timestamp_ntz"
+    t = dt.datetime(2001, 5, 6, 7, 8, 9, 123456)
+    snaps = [[(1, "a", 1, Decimal("1.50"), t), (2, "b", 2, None, t), (3, None, 3, None, None), (None, "n", 0, None, t)],
+             [(1, "a", 1, Decimal("1.50"), t), (2, "b", 5, None, t), (4, "d", 4, None, t), (None, "m", 0, None, t)],
+             [(1, "a", 1, Decimal("1.50"), t + dt.timedelta(microseconds=1)), (3, "c", 3, None, None)]]
+    like = spark.createDataFrame([], schema).schema
+    make = lambda: keyed.SnapshotChanges(spark, os.path.join(scratch, "l"), os.path.join(scratch, "s"), like, ["id"])
+    reader, frames = make(), [spark.createDataFrame(x, schema) for x in snaps]
+    for day, (frame, step) in enumerate(zip(frames, ("prime", "consume", "consume"))):
+        feeds.land(frame.withColumn(keyed.SNAPSHOT_AT, F.lit(f"2001-01-0{day + 1} 00:00:00").cast("timestamp")), reader.landing_dir)
+        getattr(reader, step)()
+        reader.consume()  # nothing new
+        reader = make()  # a restarted job
+    diff = [changes.snapshot_diff(a, b, ["id"]) for a, b in zip([x.filter("id IS NOT NULL") for x in frames],
+                                                              [x.filter("id IS NOT NULL") for x in frames[1:]])]
+    got = reader.consumed()
+    assert _same(got.filter("id IS NOT NULL"), diff[0].unionByName(diff[1]))
+    null = [(r.name, r._action, r._is_update) for r in got.filter("id IS NULL").collect()]
+    assert sorted(null) == [("m", "DELETE", False), ("m", "INSERT", True), ("n", "DELETE", True)]
 
 
 def test_refresh_processes_what_has_landed(spark, scratch):
