@@ -17,9 +17,9 @@ more matched words stays, then the higher coverage, then the earlier template.
 The templates are broadcast; their total size is checked (``MAX_BYTES``).
 
 Defined results: a null or empty text has no match; a license that occurs
-several times in a text is reported for each place; repeated rows are scanned
-each; an empty table, or no template, gives no rows; other columns are not
-read.
+several times in a text is reported for each place, also where copies adjoin;
+repeated rows are scanned each; an empty table, or no template, gives no rows; a
+very long text is scanned whole; other columns are not read.
 """
 
 from __future__ import annotations
@@ -122,10 +122,11 @@ def build_index(templates) -> Index:
 def align(a: list[int], b: list[int], diagonal: int, band: int) -> tuple[int, int, int]:
     """Best local alignment of words ``a`` with ``b`` where places in b minus
     places in a stay within ``band`` of ``diagonal``: (matched words, first,
-    end in b)."""
+    end in b).  Of equally good ones the one nearest the diagonal, since a
+    neighbouring copy may lie within the band."""
     width = 2 * band + 1
     empty = (0, 0, -1, -1)  # score, matched, first and end in b
-    above, best = [empty] * (width + 2), empty
+    above, best, nearest = [empty] * (width + 2), empty, 0
     for i, x in enumerate(a):
         row = [empty] * (width + 2)
         for d in range(1, width + 1):
@@ -142,8 +143,9 @@ def align(a: list[int], b: list[int], diagonal: int, band: int) -> tuple[int, in
                     cell = (other[0] + GAP, *other[1:])
             if cell[0] > 0:
                 row[d] = cell
-                if cell[0] > best[0]:
-                    best = cell
+                apart = abs(d - 1 - band)
+                if cell[0] > best[0] or (cell[0] == best[0] and apart < nearest):
+                    best, nearest = cell, apart
         above = row
     return best[1:]
 

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 
 import numpy as np
 import pytest
@@ -183,3 +184,26 @@ def test_license_scan(spark):
             template = licenses.text_words(licenses.TEMPLATES[r["template"]][1]).tolist()
             assert r["matched_words"] <= _lcs(template, licenses.text_words(r["span_text"]).tolist())
             assert r["matched_words"] >= 0.85 * len(template)
+
+
+def test_adjacent_copies_are_all_reported(spark):
+    """N copies in a row give N spans, for every template; edge tables."""
+    rows = []
+    for k, (_, template) in enumerate(licenses.TEMPLATES):
+        for n in (1, 2, 3, 6):
+            rows.append((10 * k + n, "Some words before. " + (template + "\n") * n + "and after it."))
+    rows.append((-1, "x " * 300_000 + licenses.TEMPLATES[0][1] + " " + licenses.TEMPLATES[0][1]))
+    rows += [(-2, None), (-3, ""), (-4, licenses.TEMPLATES[0][1]), (-4, licenses.TEMPLATES[0][1])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {}
+    for r in licenses.find_licenses(docs).collect():
+        got.setdefault(r["doc_id"], []).append((r["span_start"], r["span_end"], r["span_text"]))
+    for i, text in rows[:-4]:
+        k, n = divmod(i, 10) if i >= 0 else (0, 2)
+        words = licenses.TEMPLATES[k][1].rstrip("./")
+        at = [m.start() for m in re.finditer(re.escape(words), text)]
+        assert sorted(got[i]) == [(a, a + len(words), words) for a in at], (i, n)
+        assert len(at) == n
+    assert set(got) == {i for i, _ in rows if i not in (-2, -3)} and len(got[-4]) == 2
+    assert licenses.find_licenses(docs.limit(0)).count() == 0
+    assert licenses.find_licenses(docs, templates=[]).count() == 0
