@@ -62,6 +62,14 @@ def column(df: DataFrame, name: str):
     return df[f"`{name}`"]
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """A name for a helper column that no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def text_hash(text):
     """SHA-256 of a text; a null text is empty."""
     return F.unhex(F.sha2(F.coalesce(text.cast("string"), F.lit("")).cast("binary"), 256))

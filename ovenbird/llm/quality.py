@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import words
-from .common import batches, column, flat_bytes, id_text
+from .common import batches, column, flat_bytes, free_name, id_text
 
 SAMPLE = 3000
 RANK = 64
@@ -132,7 +132,8 @@ class Model:
 
 
 def held_out(doc_id: Column) -> Column:
-    return F.crc32(doc_id.cast("string").cast("binary")) % FOLDS == 0
+    """Whether a document is of the held-out fold (one without an id is not)."""
+    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % FOLDS == 0, F.lit(False))
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int = SAMPLE,
@@ -158,29 +159,55 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int
                                                              F.col("label").cast("int").alias("label"), "text")
             .mapInArrow(run, "order bigint, label int, terms array<int>, counts array<float>")
             .toArrow().sort_by([("order", "ascending"), ("label", "ascending")]))
-    n = rows.num_rows
-    counts = np.zeros((n, TERMS), np.float32)
-    for i, (t, c) in enumerate(zip(rows["terms"], rows["counts"], strict=True)):
-        counts[i, np.asarray(t.values)] = np.asarray(c.values)
+    sample = _Sample(rows)
+    idf = (np.log((1 + sample.n) / (1 + sample.texts_with_term())) + 1).astype(np.float32)
+    projection = _top_directions(sample, idf, RANK)
+    vectors = np.concatenate([np.zeros((0, RANK), np.float32), *[_unit(x @ projection) for x in sample.blocks(idf)]])
     y = rows["label"].to_numpy().astype(np.float64)
-    idf = (np.log((1 + n) / (1 + (counts > 0).sum(axis=0))) + 1).astype(np.float32)
-    x = _weighted(counts, idf)
-    projection = _top_directions(x, RANK)
     # A small sample has few rows of each kind to vote.
-    votes = min(neighbours, max(1, round(n ** 0.5)))
-    return Model(idf, projection, _unit(x @ projection), (y > 0).astype(np.float64), votes)
+    votes = min(neighbours, max(1, round(sample.n ** 0.5)))
+    return Model(idf, projection, vectors, (y > 0).astype(np.float64), votes)
 
 
-def _top_directions(x: np.ndarray, rank: int) -> np.ndarray:
-    """The leading right singular vectors (randomised subspace iteration)."""
-    if not len(x):
-        return np.zeros((x.shape[1], rank), np.float32)
+class _Sample:
+    """The term counts of the sample, of which a block of rows is dense at a time."""
+
+    def __init__(self, rows: pa.Table):
+        terms, counts = (rows[c].combine_chunks() for c in ("terms", "counts"))
+        self.n = rows.num_rows
+        self.terms, self.counts = terms.flatten().to_numpy(), counts.flatten().to_numpy()
+        self.ends = np.concatenate([[0], np.cumsum(terms.value_lengths().to_numpy())]) if self.n else np.zeros(1, np.int64)
+
+    def texts_with_term(self) -> np.ndarray:
+        return np.bincount(self.terms, minlength=TERMS)
+
+    def blocks(self, idf: np.ndarray) -> Iterator[np.ndarray]:
+        """Rows x TERMS weighted counts."""
+        for i in range(0, self.n, BLOCK):
+            ends = self.ends[i:i + BLOCK + 1]
+            x = np.zeros((len(ends) - 1, TERMS), np.float32)
+            own = slice(ends[0], ends[-1])
+            x[np.repeat(np.arange(len(x)), np.diff(ends)), self.terms[own]] = self.counts[own]
+            yield _weighted(x, idf)
+
+
+def _top_directions(sample: _Sample, idf: np.ndarray, rank: int) -> np.ndarray:
+    """The leading right singular vectors (randomised subspace iteration), from
+    blocks of rows."""
+    if not sample.n:
+        return np.zeros((TERMS, rank), np.float32)
     rng = np.random.default_rng(7)
-    q = rng.standard_normal((x.shape[1], rank + 16)).astype(np.float32)
+    q = rng.standard_normal((TERMS, rank + 16)).astype(np.float32)
     for _ in range(4):
-        q, _ = np.linalg.qr(x.T @ (x @ q))
-    _, _, v = np.linalg.svd(x @ q, full_matrices=False)
-    return (q @ v.T)[:, :rank].astype(np.float32)
+        total = np.zeros_like(q)
+        for x in sample.blocks(idf):
+            total += x.T @ (x @ q)
+        q, _ = np.linalg.qr(total)
+    _, _, v = np.linalg.svd(np.concatenate([x @ q for x in sample.blocks(idf)]), full_matrices=False)
+    out = np.zeros((TERMS, rank), np.float32)
+    found = (q @ v.T)[:, :rank]
+    out[:, :found.shape[1]] = found
+    return out
 
 
 def score(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
@@ -210,5 +237,6 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, **how)
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
     """The documents that the classifier doesn't reject, with all their columns."""
-    scored = score(docs.withColumn("text", column(docs, "text").cast("string")), fit(docs, labels), "__quality_score")
-    return scored.filter(F.col("__quality_score") >= threshold).select(*[f"`{c}`" for c in docs.columns])
+    name = free_name(docs, "quality_score")
+    scored = score(docs.withColumn("text", column(docs, "text").cast("string")), fit(docs, labels), name)
+    return scored.filter(F.col(name) >= threshold).select(*[f"`{c}`" for c in docs.columns])
