@@ -6,7 +6,10 @@ Full pieces are sequences of their own.  The others, at most one a document,
 are packed in rounds over two tables, the pieces that wait and the open gaps:
 
 1. Both are range-sorted together from the largest to the smallest (the sort
-   key ends in an id, so a hot size is split over partitions).
+   key ends in an id, so a hot size is split over partitions), into ranges of
+   about ``RANGE_ROWS`` rows.  As the waiting set shrinks there are fewer; what fits
+   into one is packed there to the end, so the number of sequences doesn't hang
+   on the session's partitions.
 2. Every partition sweeps down its range: a piece goes to its successor, the
    smallest gap that holds it, and what is left of the gap is a gap again.
 3. Pieces without a gap in their range meet the unused gaps of the larger
@@ -23,8 +26,8 @@ Pieces come in phases, each half the size of the one before, so that the small
 ones fill what the large ones leave.
 
 Defined results: a null or empty text is the end id alone; rows that repeat a
-doc_id are packed each; an empty table gives no rows; other columns are not
-read.
+doc_id are packed each; an empty table gives no rows; a very long text is
+encoded whole and cut; other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -80,10 +83,15 @@ SWEPT = "kind int, id bigint, size int, seq bigint, offset int, rank bigint"
 WAITS, GAP, PLACED, USED = 0, 1, 2, 3
 
 
-def _sweep(capacity: int):
+#: Pieces and gaps of a range; fewer are packed in one.
+RANGE_ROWS = 100_000
+
+
+def _sweep(capacity: int, alone: bool = False):
     """One partition's sweep.  In: (size descending, gaps first) is_gap, id,
     size.  Out, by kind: pieces placed (seq, offset), pieces that wait (rank),
-    gaps that hold every piece of the smaller ranges (rank) and smaller gaps."""
+    gaps that hold every piece of the smaller ranges (rank) and smaller gaps.
+    ``alone``: the only range, whose pieces open sequences where no gap fits."""
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list[int]] = [[] for _ in range(capacity + 1)]
         full = 0  # bit g: some gap has size g
@@ -106,6 +114,10 @@ def _sweep(capacity: int):
                         held[gap - size].append(seq)
                         full |= 1 << (gap - size)
                     row = (PLACED, id_, size, seq, capacity - gap, None)
+                elif alone:  # there is no other range: the piece opens a sequence
+                    row = (PLACED, id_, size, id_, 0, None)
+                    held[capacity - size].append(id_)
+                    full |= 1 << (capacity - size)
                 else:
                     row = (WAITS, id_, size, None, None, waiting)
                     waiting += 1
@@ -192,10 +204,14 @@ def _round(waits: DataFrame, waiting: int, gaps: DataFrame, lower: int, scratch:
     """One round: a table of the pieces placed, those that still wait and the
     gaps (kind, id, size, seq, offset), and how many pieces still wait."""
     spark = waits.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = -(-(waiting + gaps.count()) // RANGE_ROWS)
     both = gaps.select(F.lit(True).alias("is_gap"), "id", "size").unionByName(
         waits.select(F.lit(False).alias("is_gap"), "id", "size"))
     order = [F.col("size").desc(), F.col("is_gap").desc(), F.col("id")]
+    if parts <= 1:  # a bounded number of rows is one range, packed to the end
+        swept = both.coalesce(1).sortWithinPartitions(*order).mapInArrow(_sweep(capacity, alone=True), SWEPT)
+        kind = F.when(F.col("kind") == PLACED, PLACED).otherwise(GAP).alias("kind")
+        return scratch.put(swept.select(kind, "id", "size", "seq", "offset"), f"round-{turn}"), 0
     ranged = both.repartitionByRange(parts, *order).sortWithinPartitions(*order)
     swept = scratch.put(ranged.mapInArrow(_sweep(capacity), SWEPT).withColumn("part", F.spark_partition_id()),
                         f"swept-{turn}")
