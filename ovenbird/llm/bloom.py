@@ -9,10 +9,10 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, column, text_hash
+from .common import Scratch, column, free_name, text_hash
 
 MAX_BITS = 1 << 27  # 16 MB: the bound of what is collected and broadcast
 BITS_PER_KEY = 16
@@ -64,39 +64,22 @@ def test(shared) -> "callable":
     return hit
 
 
-def key_hash(c: Column) -> Column:
-    return F.xxhash64(c)
-
-
-def drop_rows(rows: DataFrame, dropped: DataFrame, key: str = "doc_id") -> DataFrame:
-    """The rows whose key is not in ``dropped`` (one column ``key``; a null key
-    equals null).  Only rows that may be in it are shuffled for the exact
-    anti-join; the others pass where they are."""
-    scratch = Scratch(rows.sparkSession, "dropped")
-    out = scratch.put(dropped.select(F.col(key).alias("__key")).distinct(), "keys")
-    shared = rows.sparkSession.sparkContext.broadcast(build(out.select(key_hash(F.col("__key")).alias("h"))))
-    hit = test(shared)(key_hash(F.col(f"`{key}`")))
-    suspects = rows.filter(hit)
-    kept = suspects.join(out, suspects[f"`{key}`"].eqNullSafe(out["__key"]), "left_anti")
-    return rows.filter(~hit).unionByName(kept)
-
-
 def drop_documents(docs: DataFrame, decided: DataFrame) -> DataFrame:
-    """The documents that stay.  decided: doc_id, raw (``text_hash`` of the text)
-    and stays, for all rows that go and any others.  Rows of the same id or
-    without one are told apart by their texts; of rows without an id that have
-    the same text and stay, one is left."""
+    """The documents that stay, with all their columns.  decided: doc_id, raw
+    (``text_hash`` of the text) and stays, for all rows that go and any others.  Rows
+    of the same id or without one are told apart by their texts; of rows that have
+    the same id (or none) and the same text and stay, one is left."""
     scratch = Scratch(docs.sparkSession, "dropped")
-    out = scratch.put(decided.filter(~F.col("stays") | F.col("doc_id").isNull()).groupBy("doc_id", "raw", "stays").agg(
-        F.count(F.lit(1)).alias("n")).filter(~F.col("stays") | (F.col("n") > 1)), "documents")
+    out = scratch.put(decided.groupBy("doc_id", "raw", "stays").agg(F.count(F.lit(1)).alias("n"))
+                      .filter(~F.col("stays") | (F.col("n") > 1)), "documents")
     shared = docs.sparkSession.sparkContext.broadcast(build(out.select(F.xxhash64("doc_id", "raw").alias("h"))))
-    known = docs.withColumn("__raw", text_hash(column(docs, "text")))
-    hit = test(shared)(F.xxhash64(column(known, "doc_id"), F.col("__raw")))
+    raw = free_name(docs, "text_sha")
+    known = docs.withColumn(raw, text_hash(column(docs, "text")))
+    hit = test(shared)(F.xxhash64(column(known, "doc_id"), F.col(raw)))
     suspects = known.filter(hit)
     gone = out.filter(~F.col("stays")).select(F.col("doc_id").alias("__id"), F.col("raw").alias("__gone"))
-    kept = suspects.join(gone, column(suspects, "doc_id").eqNullSafe(gone["__id"]) & (suspects["__raw"] == gone["__gone"]),
+    kept = suspects.join(gone, column(suspects, "doc_id").eqNullSafe(gone["__id"]) & (suspects[raw] == gone["__gone"]),
                          "left_anti")
     if not out.filter("stays").isEmpty():
-        nameless = column(kept, "doc_id").isNull()
-        kept = kept.filter(~nameless).unionByName(kept.filter(nameless).dropDuplicates(["__raw"]))
-    return known.filter(~hit).unionByName(kept).drop("__raw")
+        kept = kept.dropDuplicates(["doc_id", raw])
+    return known.filter(~hit).unionByName(kept).drop(raw)

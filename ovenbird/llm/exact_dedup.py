@@ -16,11 +16,10 @@ compared.  Equal texts have equal fingerprints, so none is missed.
 
 Defined results: a null text is empty, and empty texts equal each other; of
 equal texts the row with the most code points in its original text stays, then
-the smallest doc_id (null before all others); ``drop_duplicates`` tells rows of
-the same doc_id, or without one, apart by their texts and leaves one of equal
-rows without a doc_id; rows that repeat a doc_id and its text share one
-decision; an empty table gives no rows; other columns are
-neither read nor changed.
+the smallest doc_id (null before all others), then any: exactly one row of a
+class is kept, also of rows that repeat a doc_id and its text; an empty table
+gives no rows; a very long text is normalised and compared whole; other
+columns, whatever their names, are neither read nor changed.
 """
 
 from __future__ import annotations
@@ -99,8 +98,10 @@ def _fingerprints(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array([fingerprint(x) for x in norms], pa.int64()),
                  pa.array([hashlib.sha256(x).hexdigest() for x in norms]),
-                 pa.array([sha(x) for x in texts], pa.binary())], names=["doc_id", "h", "sha", "raw"])
-    return id_text(docs).mapInArrow(run, f"doc_id {kind}, h bigint, sha string, raw binary")
+                 pa.array([sha(x) for x in texts], pa.binary()), pa.array([len(x) for x in texts], pa.int64())],
+                names=["doc_id", "h", "sha", "raw", "points"])
+    return id_text(docs).mapInArrow(run, f"doc_id {kind}, h bigint, sha string, raw binary, points bigint").withColumn(
+        "place", F.monotonically_increasing_id())
 
 
 def _messages(hashes: DataFrame, owners: int) -> DataFrame:
@@ -157,8 +158,8 @@ def duplicate_classes(docs: DataFrame, owners: int | None = None) -> DataFrame:
 
 
 def _classes(docs: DataFrame, owners: int | None = None) -> DataFrame:
-    """``duplicate_classes`` with raw (``text_hash``) and whether the row stays:
-    kept goes by doc_id, stays by doc_id and text."""
+    """``duplicate_classes`` with raw (``text_hash``) and stays: whether the row has
+    the id and the text of the one that is kept."""
     spark = docs.sparkSession
     owners = owners or int(spark.conf.get("spark.sql.shuffle.partitions"))
     scratch = Scratch(spark, "exact-dedup")
@@ -175,31 +176,33 @@ def _classes(docs: DataFrame, owners: int | None = None) -> DataFrame:
 
     def suspect_texts(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches(it):
-            texts = [x or "" for x in b.column(1).to_pylist()]
-            norms = [normalise(x) for x in texts]
+            norms = [normalise(x or "") for x in b.column(1).to_pylist()]
             rows = np.flatnonzero(shared.value.contains(np.array([fingerprint(x) for x in norms], np.int64)))
             yield pa.RecordBatch.from_arrays(
-                [b.column(0).take(pa.array(rows)), pa.array([hashlib.sha256(norms[i]).hexdigest() for i in rows], pa.string()),
-                 pa.array([norms[i] for i in rows], pa.binary()), pa.array([len(texts[i]) for i in rows], pa.int64()),
-                 pa.array([sha(texts[i]) for i in rows], pa.binary())],
-                names=["doc_id", "sha", "norm", "points", "raw"])
+                [pa.array([hashlib.sha256(norms[i]).hexdigest() for i in rows], pa.string()),
+                 pa.array([norms[i] for i in rows], pa.binary())], names=["sha", "norm"])
 
-    texts = id_text(docs).mapInArrow(suspect_texts, f"doc_id {kind}, sha string, norm binary, points bigint, raw binary")
+    texts = id_text(docs).mapInArrow(suspect_texts, "sha string, norm binary")
     # Grouping by the bytes themselves is the comparison.
     verified = texts.groupBy("sha", "norm").agg(
-        F.count(F.lit(1)).alias("size"), F.min(F.struct((-F.col("points")).alias("p"), "doc_id", "raw")).alias("best"))
+        F.count(F.lit(1)).alias("size"))
     one = scratch.put(verified.groupBy("sha").agg(
-        F.count(F.lit(1)).alias("texts"), F.max("size").alias("size"), F.min("best").alias("best")), "classes")
+        F.count(F.lit(1)).alias("texts"), F.max("size").alias("size")), "classes")
     if one.filter("texts > 1").limit(1).count():
         raise RuntimeError("two different texts share a SHA-256")
     hit = bloom.test(shared)(F.col("h"))
+    # Of the row's own place, so that one of several equal rows of an id is kept.
+    best = prints.filter(hit).groupBy("sha").agg(
+        F.min(F.struct((-F.col("points")).alias("p"), "doc_id", "raw", "place")).alias("best"))
+    # Stored, so that the join below has a plain side and Spark can split a hot class.
+    facts = scratch.put(one.join(best, "sha"), "facts")
     alone = prints.filter(~hit).select(
         "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("bigint").alias("group_size"),
         F.lit(True).alias("kept"), F.col("sha").alias("text_sha256"), "raw", F.lit(True).alias("stays"))
     same = F.col("doc_id").eqNullSafe(F.col("best.doc_id"))
-    grouped = prints.filter(hit).join(one, "sha").select(
+    grouped = prints.filter(hit).join(facts, "sha").select(
         "doc_id", F.col("best.doc_id").alias("keep_id"), F.col("size").alias("group_size"),
-        same.alias("kept"), F.col("sha").alias("text_sha256"), "raw", (same & (F.col("raw") == F.col("best.raw"))).alias("stays"))
+        (F.col("place") == F.col("best.place")).alias("kept"), F.col("sha").alias("text_sha256"), "raw", (same & (F.col("raw") == F.col("best.raw"))).alias("stays"))
     return alone.unionByName(grouped)
 
 

@@ -25,9 +25,9 @@ link between components is lost and the pairs inside a group are not listed.
 Defined results: a null text is empty and has fingerprint 0; equal rows are
 members of one node; a null doc_id is a member but never the smallest id, and
 a component of null ids only has a null id; ``keep_one`` tells rows of the same
-doc_id, or without one, apart by their texts, leaves one of equal rows without a
-doc_id, and rows that repeat a doc_id and its text share one decision; an empty
-table gives no rows.
+doc_id, or without one, apart by their texts and leaves one of rows that repeat
+both; an empty table gives no rows; other columns, whatever their names, are
+neither read nor changed.
 """
 
 from __future__ import annotations

@@ -9,7 +9,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from ovenbird.llm import bloom, decontaminate, exact_dedup, simhash
+from ovenbird.llm import decontaminate, exact_dedup, simhash
 from ovenbird.llm.common import Scratch
 from ovenbird.llm.components import components
 
@@ -38,7 +38,8 @@ def exact_rows():
         base = f"text {rng.randrange(150)} body" if k % 3 else "the hot text"
         rows.append((k, "".join(c + rng.choice(["", " ", "\n", "\t\x0b"]) for c in base)))
     return rows + [(700, None), (701, ""), (702, " \r\n"), (703, "a b"), (704, "ab"), (705, "x" * 300_000), (706, "x" * 300_000 + " "),
-                   (None, "only null id"), (710, "same"), (710, "same")]
+                   (None, "only null id"), (710, "same"), (710, "same"), (711, "two of one id"), (711, "two of  one id"),
+                   (711, "another text")]
 
 
 def _exact(rows):
@@ -49,7 +50,11 @@ def _exact(rows):
     for i, t in rows:
         key = re.sub(r"[\x20\x09-\x0D]", "", t or "")
         keep = min(norm[key])[2]
-        out.append((i, keep, len(norm[key]), keep == i, hashlib.sha256(key.encode()).hexdigest()))
+        # Of several rows of the class with that id one is kept: the longest, of equal ones any.
+        first = rows.index(max((r for r in rows if r[0] == keep and re.sub(r"[\x20\x09-\x0D]", "", r[1] or "") == key),
+                               key=lambda r: len(r[1] or "")))
+        out.append((i, keep, len(norm[key]), (i, t) == rows[first] and (i, t) not in rows[:len(out)],
+                    hashlib.sha256(key.encode()).hexdigest()))
     return out
 
 
@@ -66,13 +71,6 @@ def test_exact_dedup_empty(spark):
     assert exact_dedup.duplicate_classes(_docs(spark, [(1, "x")]).limit(0)).count() == 0
 
 
-def test_drop_rows_is_exact(spark):
-    df = _docs(spark, [(k, "t") for k in range(300)] + [(None, "t")])
-    gone = spark.createDataFrame([(k,) for k in range(0, 300, 2)] + [(None,), (9999,)], "doc_id long")
-    assert sorted(r["doc_id"] for r in bloom.drop_rows(df, gone).collect()) == list(range(1, 300, 2))
-    assert bloom.drop_rows(df, gone.limit(0)).count() == 301
-
-
 def _components(nodes, links):
     root = {n: n for n in nodes}
 
@@ -170,7 +168,7 @@ def test_simhash_documents(spark):
     assert got[5, 3] == "0" * 16 and got[9, 8] == f"{_fingerprint(long, 4):016x}"
     kept = simhash.keep_one(_docs(spark, rows))
     assert kept.columns == _docs(spark, rows).columns
-    assert sorted((r["doc_id"] for r in kept.collect()), key=str) == [2, 3, 8, 8, None]
+    assert sorted((r["doc_id"] for r in kept.collect()), key=str) == [2, 3, 8, None]
     assert simhash.near_components(_docs(spark, rows).limit(0)).count() == 0
 
 

@@ -4,7 +4,7 @@ import random
 
 from test_llm_dedup import _docs
 
-from ovenbird.llm import decontaminate, exact_dedup, simhash
+from ovenbird.llm import decontaminate, exact_dedup, quality, simhash
 
 
 def _kept(df):
@@ -44,3 +44,23 @@ def test_leaks_in_rows_without_an_id(spark):
             (5, f"{item} again"), (5, "the clean text of five"), (6, "six is clean")]
     got = decontaminate.drop_leaks(_docs(spark, rows), spark.createDataFrame([(1, item)], "item_id long, text string"))
     assert _kept(got) == sorted([rows[0], rows[2], rows[3], rows[5], rows[6]], key=str)
+
+
+def test_repeated_rows_and_clashing_columns(spark):
+    """One of equal rows stays; helper columns don't meet the user's."""
+    text = "a text that is there twice " * 20
+    rows = [(1, text), (1, text), (2, "other words here"), (2, "a second text of two"), (1, "a third one")]
+    docs = _docs(spark, rows)
+    for name in ("__raw", "text_sha", "Text_SHA_", "__id", "__quality_score", "quality_score", "raw", "stays", "place"):
+        docs = docs.withColumn(name, docs["doc_id"] + 7)
+    want = sorted(set(rows), key=str)
+    for got in (exact_dedup.drop_duplicates(docs), simhash.keep_one(docs)):
+        assert got.columns == docs.columns and _kept(got) == want
+        assert all(r["__raw"] == r["text_sha"] == r["__id"] == r["doc_id"] + 7 for r in got.collect())
+    item = spark.createDataFrame([(1, "none of these words occurs")], "item_id long, text string")
+    clean = decontaminate.drop_leaks(docs, item)
+    assert clean.columns == docs.columns and _kept(clean) == sorted(rows, key=str)
+    labels = spark.createDataFrame([(k, k % 2) for k in range(1, 9)], "doc_id long, quality int")
+    good = quality.keep_good(docs, labels, threshold=0.0)
+    assert good.columns == docs.columns and _kept(good) == sorted(rows, key=str)
+    assert {r["held_out"] for r in quality.classify(_docs(spark, [(None, "x")]), labels).collect()} == {False}
