@@ -122,9 +122,10 @@ def one_decimal(v: Column) -> Column:
 
 
 def recommend_items(orders: DataFrame, items: DataFrame, menu: DataFrame, categories: DataFrame,
-                    reviews: DataFrame, customer_id: int, n: int = 5,
+                    reviews: DataFrame, customer_id: int, n: int | None = 5,
                     fallback_category: int = 1) -> DataFrame:
-    """Items for one customer from customers who bought any of the same items.
+    """Items for one customer from customers who bought any of the same items
+    (the best ``n``, or with None all of them).
 
     Neighbours are found with a semi join on the customer's item set, so the
     work is one pass over orders and lines whatever the neighbour count.
@@ -165,14 +166,14 @@ def recommend_items(orders: DataFrame, items: DataFrame, menu: DataFrame, catego
     raw = ((F.col("order_count") / F.col("max_orders")) * 0.4 + (F.col("customer_count") / F.col("max_customers")) * 0.3
            + (F.col("avg_rating") / 5.0) * 0.3)
     s = s.withColumn("recommendation_score", F.rint(raw * 1000) / 1000)
-    top = s.orderBy(F.desc("recommendation_score"), F.desc("order_count"), "item_id").limit(n)
+    top = s if n is None else s.orderBy(F.desc("recommendation_score"), F.desc("order_count"), "item_id").limit(n)
     reason = (F.when(F.col("customer_count") > 10,
                      F.concat(F.lit("Popular with "), F.col("customer_count").cast("string"),
                               F.lit(" similar customers")))
               .when(F.col("avg_rating") >= 4.5,
                     F.concat(F.lit("Highly rated ("), one_decimal(F.col("avg_rating")), F.lit(" stars)")))
               .otherwise(F.lit("Recommended based on your taste")))
-    # The text is made for the ``n`` rows only.
+    # The text is made for the chosen rows only.
     top = (top.withColumn("reason", reason)
            .select("item_id", "item_name", "category_name", "recommendation_score", "reason"))
     # Fallback when no candidate exists: first five available items of the

@@ -437,7 +437,7 @@ def q_recommendations(spark, sf_dir):
                                                RECOMMEND_FOR_CUSTOMER, 5))
 
 
-def _recommend(s: Star, customer_id: int, n: int) -> DataFrame:
+def _recommend(s: Star, customer_id: int, n: int | None) -> DataFrame:
     return normalise(analytics.recommend_items(s.fact_order(), s.fact_order_item(), s.dim_menu_item(), s.dim_category(),
                                                s.fact_review(with_text=False), customer_id, n))
 
@@ -445,7 +445,7 @@ def _recommend(s: Star, customer_id: int, n: int) -> DataFrame:
 @register("recommendations_all")
 def q_recommendations_all(spark, sf_dir):
     """Every candidate of the customer, so every kind of reason."""
-    return _recommend(Star(spark, sf_dir), RECOMMEND_FOR_CUSTOMER, 1_000_000)
+    return _recommend(Star(spark, sf_dir), RECOMMEND_FOR_CUSTOMER, None)
 
 
 @register("recommendations_fallback")
@@ -573,6 +573,27 @@ def q_audit_batch(spark, sf_dir):
     return normalise(append_audit(ev).select("event_type", "table_name", "record_id", "details"))
 
 
+@register("audit_user")
+def q_audit_user(spark, sf_dir):
+    """Audit rows name the user and the session that wrote them."""
+    ev = Star(spark, sf_dir).dim_customer().select(
+        F.lit("CHECK").alias("event_type"), F.lit("DIM_CUSTOMER").alias("table_name"),
+        F.col("customer_id").alias("record_id"), F.lit(None).cast("string").alias("details"))
+    return append_audit(ev).select(
+        "event_type", "record_id", (F.col("user_name") == F.lit(spark.sparkContext.sparkUser())).alias("by_user"),
+        (F.col("session_id") == F.lit(spark.sparkContext.applicationId)).alias("in_session"),
+        (F.col("event_timestamp") <= F.current_timestamp().cast("timestamp_ntz")).alias("stamped"))
+
+
+@register("defaults_on_insert")
+def q_defaults_on_insert(spark, sf_dir):
+    """Customers inserted without the columns that have defaults; a column that is
+    given keeps its values, NULLs included."""
+    rows = Star(spark, sf_dir).dim_customer().select("customer_id", "first_name", "email")
+    defaults = {"email": F.lit("none"), "loyalty_points": F.lit(0), "registration_date": timefn.date_lit(AS_OF_ORDERS)}
+    return _stored(spark, "defaults", normalise(tables.apply_defaults(rows, defaults)), tables.append_rows)
+
+
 def _stored(spark, name: str, df: DataFrame, write) -> DataFrame:
     """A result written with one of the table sinks and read back."""
     path = work_dir(spark, f"{name}-{uuid.uuid4().hex}")
@@ -679,6 +700,15 @@ def q_append_feed(spark, sf_dir):
     return normalise(feed.consumed())
 
 
+@register("append_feed_idle")
+def q_append_feed_idle(spark, sf_dir):
+    """The feed is run again when nothing new has landed: no batch, same rows."""
+    feed = _order_feed(spark, sf_dir)
+    for _ in range(3):
+        feed.consume()
+    return normalise(feed.consumed())
+
+
 @register("order_log")
 def q_order_log(spark, sf_dir):
     feed = _order_feed(spark, sf_dir, jobs.order_log)
@@ -817,6 +847,26 @@ def q_streamed_gold_customers(spark, sf_dir):
     return normalise(_run_pipeline(spark, sf_dir).table("gold_customer_activity").drop("last_refreshed"))
 
 
+@register("refreshed_gold_hourly")
+def q_refreshed_gold_hourly(spark, sf_dir):
+    """Manual refresh: of two drops the pipeline has processed one; the refresh takes
+    in the other first."""
+    s = Star(spark, sf_dir)
+    base = work_dir(spark, f"refresh-{uuid.uuid4().hex}")
+    landing = os.path.join(base, "bronze")
+    pipe = IncrementalMedallion(spark, os.path.join(base, "tables"), s.dim_location(), s.dim_customer(),
+                                s.dim_menu_item(), s.dim_category(), period="year")
+    for since, until in ((None, PIPELINE_SPLIT), (PIPELINE_SPLIT, None)):
+        orders = s.fact_order(since=since, until=until)
+        items = s.fact_order_item().join(orders.select("order_id"), "order_id", "left_semi")
+        bronze = medallion.bronze_events(orders, items, s.dim_menu_item(with_category=False))
+        bronze.write.mode("append").parquet(landing)
+        if since is None:
+            pipe.start(landing, bronze.schema, os.path.join(base, "checkpoint")).awaitTermination()
+    pipe.refresh("gold_hourly_sales")
+    return normalise(pipe.table("gold_hourly_sales").drop("last_refreshed"))
+
+
 def _run_views(spark, sf_dir) -> IncrementalViews:
     s = Star(spark, sf_dir)
     base = work_dir(spark, f"views-{uuid.uuid4().hex}")

@@ -6,16 +6,32 @@ that a cluster shares.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession
+
+from ..session import work_dir
 
 
 def session_table(df: DataFrame, name: str) -> DataFrame:
-    """``CREATE TEMPORARY TABLE name AS SELECT``: a session-scoped name for a
-    lazy result (no copy is made; the plan is reused by every reader)."""
-    df.createOrReplaceTempView(name)
+    """``CREATE TEMPORARY TABLE name AS SELECT``: a stored snapshot under a name of
+    the session.  Later changes of the source don't show, and readers don't compute it
+    again; ``drop_session_table`` releases it."""
+    path = work_dir(df.sparkSession, f"session-{name}-{uuid.uuid4().hex}")
+    replace_table(df, path)
+    df.sparkSession.read.schema(df.schema).parquet(path).createOrReplaceTempView(name)
     return df.sparkSession.table(name)
 
 
+def drop_session_table(spark: SparkSession, name: str) -> None:
+    """Remove a session table and its stored rows."""
+    files = spark.table(name).inputFiles()
+    spark.catalog.dropTempView(name)
+    if files:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def apply_defaults(df: DataFrame, defaults: dict[str, Column]) -> DataFrame:
     """Fill omitted columns with their declared defaults (a column that is
     present keeps its values, NULLs included, as an INSERT with the column
