@@ -32,7 +32,6 @@ from __future__ import annotations
 
 import hashlib
 import itertools
-import math
 from collections.abc import Iterator
 
 import numpy as np
