@@ -262,7 +262,7 @@ def test_registered_queries_against_sql(spark):
     import __spark_entry__ as entry
     from ovenbird.llm.queries import ORACLE
     con = duckdb.connect()
-    for t in ("documents", "pages", "conversations"):
+    for t in ("documents", "pages", "conversations", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     for key, sql in ORACLE.items():
         got = entry.queries()[key](spark, SF)
@@ -270,4 +270,4 @@ def test_registered_queries_against_sql(spark):
         rows = sorted((tuple(r) for r in got.select(cols).collect()), key=str)
         con.execute(f"CREATE OR REPLACE TEMP TABLE want AS {sql}")
         assert rows == sorted(con.execute(f"SELECT {', '.join(cols)} FROM want").fetchall(), key=str), key
-    assert {k.split("_")[0] for k in entry.queries() if k.startswith("op")} >= {f"op{n}" for n in range(1, 11)}
+    assert {k.split("_")[0] for k in entry.queries() if k.startswith("op")} >= {f"op{n}" for n in range(1, 14)}
