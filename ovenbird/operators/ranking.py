@@ -14,8 +14,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import ensure_checkpoint_dir
+from .selection import dense_numbers, idiv, wanted_rank
 
 ROW_BITS = 33  # monotonically_increasing_id = partition id << 33 | row index
 
@@ -48,74 +50,45 @@ def global_rank(df: DataFrame, order: Sequence[Column | str], rank_col: str = "r
     return out.drop("__pid", "__mid", "__off", "__total")
 
 
-def _idiv(a: Column, b: Column) -> Column:
-    """Exact floor division of non-negative integers (below 2**53)."""
-    return ((a - a % b) / b).cast("bigint")
-
-
 def quintile_of_rank(rank: Column, n: Column) -> Column:
     """Quintile 1..5 of an ordinal rank r of n (``qcut(rank, 5)`` labels):
     ``max(1, ceil(5 (r-1) / (n-1)))``, 1 when n = 1 — in integer arithmetic."""
-    ceil = _idiv((rank - 1) * 5 + (n - 2), n - 1)
+    ceil = idiv((rank - 1) * 5 + (n - 2), n - 1)
     return F.when(n <= 1, F.lit(1).cast("bigint")).otherwise(F.greatest(F.lit(1).cast("bigint"), ceil))
 
 
-def quantile_edges(ranked: DataFrame, value_col: str, rank_col: str, n_col: str, qs=(1, 2, 3, 4),
-                   parts: int = 5) -> DataFrame:
-    """Linear-interpolation quantile edges k/parts (k in ``qs``) as a one-row
-    frame of (v_lo_k, v_hi_k, m_k): the edge is v_lo + m/parts * (v_hi - v_lo).
-
-    Position k (n-1)/parts splits into an integer part (which order statistic)
-    and a remainder m, so comparisons against an edge stay exact integers for
-    integer values.  Only the order statistics at those positions are read,
-    through a broadcast of the (at most 2 x len(qs)) wanted positions.
-    """
-    n = ranked.agg(F.max(n_col).alias("n"))
-    k = F.explode(F.array(*[F.lit(q) for q in qs])).alias("k")
-    ks = n.select(k, "n").select(
-        "k", _idiv(F.col("k") * (F.col("n") - 1), F.lit(parts)).alias("lo"),
-        ((F.col("k") * (F.col("n") - 1)) % parts).cast("bigint").alias("m"))
-    pos = ks.select("k", "m", F.explode(F.array(
-        F.struct(F.lit("lo").alias("side"), (F.col("lo") + 1).alias("pos")),
-        F.struct(F.lit("hi").alias("side"), (F.col("lo") + 2).alias("pos")))).alias("p")).select(
-        "k", "m", "p.side", "p.pos")
-    v = ranked.select(F.col(rank_col).alias("pos"), F.col(value_col).alias("v"))
-    hit = v.join(F.broadcast(pos), "pos")
-    aggs = []
-    for q in qs:
-        lo = F.max(F.when((F.col("k") == q) & (F.col("side") == "lo"), F.col("v")))
-        hi = F.max(F.when((F.col("k") == q) & (F.col("side") == "hi"), F.col("v")))
-        aggs += [lo.alias(f"v_lo_{q}"), F.coalesce(hi, lo).alias(f"v_hi_{q}"),
-                 F.max(F.when(F.col("k") == q, F.col("m"))).alias(f"m_{q}")]
-    return hit.agg(*aggs)
+def quintile_bounds(at: DataFrame, by: str, value_col: str, id_col: str, parts: int = 5) -> DataFrame:
+    """What scores by value or by rank need, per group and k: rows (by, k, edge, cut).
+    ``at``: the rows at the wanted ranks and the ones after them (``selection.rows_at``).
 
-
-def with_quintile(df: DataFrame, ranked: DataFrame, value_col: str, id_col: str, score_col: str,
-                  parts: int = 5) -> DataFrame:
-    """``df`` with the quintile (see ``quintile_of_rank``) of its rank by
-    (value, id) among ``ranked``.  A rank r of n is above quintile k if
-    ``r > 1 + k (n-1) / parts``, so the row at rank ``1 + floor(k (n-1) / parts)``
-    is the last of the k lowest quintiles: those ``parts - 1`` rows are all that
-    is read of the ranking."""
-    from .joins import attach_constants
-    r = global_rank(ranked.select(value_col, id_col), [value_col, id_col], "__r", "__n")
-    last = [_idiv(F.lit(k) * (F.col("__n") - 1), F.lit(parts)) + 1 for k in range(1, parts)]
-    cuts = r.agg(*[F.max(F.when(F.col("__r") == at, F.struct(value_col, id_col))).alias(f"__cut_{k}")
-                   for k, at in enumerate(last, 1)])
-    own = F.struct(value_col, id_col)
-    score = F.lit(1)
-    for k in range(1, parts):
-        score = score + F.when(own > F.col(f"__cut_{k}"), 1).otherwise(0)
-    out = attach_constants(df, cuts).withColumn(score_col, score.cast("bigint"))
-    return out.drop(*[f"__cut_{k}" for k in range(1, parts)])
+    ``edge``: the linear-interpolation quantile edge k/parts as (lo, hi, m), that is
+    ``lo + m/parts * (hi - lo)``.  Position k (n-1)/parts splits into an integer part
+    (which order statistic) and a remainder m, so comparisons against an edge stay
+    exact integers for integer values.
+    ``cut``: the last row, as (value, id), of the k lowest quintiles (see
+    ``quintile_of_rank``): a rank r of n is above quintile k if ``r > 1 + k (n-1) / parts``."""
+    k = at.select("*", F.explode(F.sequence(F.lit(1), F.lit(parts - 1))).alias("k"))
+    rank = wanted_rank(F.col("k"), F.col("n"), parts)
+    here, after = rank == F.col("before") + 1, rank == F.col("before")
+    lo = F.max(F.when(here, F.col(value_col)))
+    hi = F.coalesce(F.max(F.when(after, F.col(value_col))), lo)
+    m = F.max(F.col("k") * (F.col("n") - 1) % parts)
+    return k.groupBy(by, "k").agg(F.struct(lo.alias("lo"), hi.alias("hi"), m.alias("m")).alias("edge"),
+                                  F.max(F.when(here, F.struct(value_col, id_col))).alias("cut"))
 
 
-def surrogate_ids(new_rows: DataFrame, order: Sequence[Column | str], id_col: str,
+def surrogate_ids(new_rows: DataFrame, order: Sequence[str], id_col: str,
                   existing: DataFrame | None = None) -> DataFrame:
     """AUTOINCREMENT-style dense ids: ``max(existing id) + row_number()`` over
-    ``order`` (which must end in a unique key), without a one-partition
-    window — the row number is the distributed global rank."""
-    ranked = global_rank(new_rows, order, "__rank", None)
+    ``order`` (which must end in a unique key), without a one-partition window.
+    For one integer column the rows are numbered inside exact quantile ranges
+    (``selection.dense_numbers``: no job runs while the frame is built); any other
+    order goes through the distributed global rank."""
+    fields = {f.name: f.dataType for f in new_rows.schema.fields}
+    if len(order) == 1 and isinstance(fields.get(order[0]), T.IntegralType):
+        ranked = dense_numbers(new_rows, order[0], "__rank")
+    else:
+        ranked = global_rank(new_rows, order, "__rank", None)
     if existing is None:
         return ranked.withColumn(id_col, F.col("__rank")).drop("__rank")
     from .joins import attach_constants

@@ -1,8 +1,8 @@
 """Customer analytics: RFM segments, sales anomalies and item recommendations.
 
 The source pulls each query result into one process and scores it with
-pandas; here the scoring stays distributed: quintiles come from a global rank
-(``operators.ranking``), group statistics from grouped aggregates joined back.
+pandas; here the scoring stays distributed: quintiles come from a few boundary
+rows (``operators.selection``), group statistics from grouped aggregates joined back.
 """
 
 from __future__ import annotations
@@ -14,9 +14,12 @@ from pyspark.sql import functions as F
 
 from ..functions import money, timefn
 from ..operators.joins import attach_constants, dim_join
-from ..operators.ranking import global_rank, quantile_edges, with_quintile
+from ..operators.ranking import quintile_bounds
+from ..operators.selection import rows_at
 
 NO_ORDER_RECENCY = 999
+RANKED = ("frequency", "monetary_cents")  # scored by rank; recency by value
+QUINTILES = (1, 2, 3, 4)  # their upper edges
 
 
 def rfm_base(customers: DataFrame, orders: DataFrame, as_of: dt.date) -> DataFrame:
@@ -31,7 +34,8 @@ def rfm_base(customers: DataFrame, orders: DataFrame, as_of: dt.date) -> DataFra
         F.coalesce(timefn.days_between("last_ts", timefn.date_lit(as_of)), F.lit(NO_ORDER_RECENCY))
          .cast("bigint").alias("recency_days"),
         F.coalesce(F.col("frequency"), F.lit(0)).cast("bigint").alias("frequency"),
-        F.coalesce(F.col("monetary").cast("double"), F.lit(0.0)).alias("monetary"))
+        F.coalesce(F.col("monetary").cast("double"), F.lit(0.0)).alias("monetary"),
+        F.coalesce((F.col("monetary") * 100).cast("bigint"), F.lit(0).cast("bigint")).alias("monetary_cents"))
 
 
 def rfm_segment(r, f, m):
@@ -53,20 +57,31 @@ def rfm_segments(customers: DataFrame, orders: DataFrame, as_of: dt.date) -> Dat
     bins right-closed, labels reversed; tied edges skip scores instead of
     failing).  f, m: quintiles of the ordinal rank (ties broken by customer id).
     """
-    # Only (measure, id) pairs are ranked; of each measure a few boundary rows
-    # are kept, and every customer is compared with them.
-    base = rfm_base(customers, orders, as_of).checkpoint(eager=True)
-    ranked = global_rank(base.select("recency_days", "customer_id"), ["recency_days", "customer_id"], "r_rank", "n")
-    edges = quantile_edges(ranked, "recency_days", "r_rank", "n")
-    x = F.col("recency_days")
-    above = None
-    for k in (1, 2, 3, 4):
-        lo, hi, m = F.col(f"v_lo_{k}"), F.col(f"v_hi_{k}"), F.col(f"m_{k}")
-        gt = F.when(x * 5 > lo * 5 + m * (hi - lo), 1).otherwise(0)
-        above = gt if above is None else above + gt
-    scored = attach_constants(base, edges).withColumn("r_score", (F.lit(5) - above).cast("bigint"))
-    for measure, score in (("frequency", "f_score"), ("monetary", "m_score")):
-        scored = with_quintile(scored, base, measure, "customer_id", score)
+    # Of each measure a few boundary rows are selected (no sort, nothing stored), and
+    # every customer is compared with them.
+    base = rfm_base(customers, orders, as_of)
+    measure = lambda name: F.struct(F.lit(name).alias("measure"), F.col(name).cast("bigint").alias("v"), "customer_id")
+    rows = base.select(F.explode(F.array(*map(measure, ("recency_days", *RANKED)))).alias("m")).select("m.*")
+    at = rows_at(rows, "measure", "v", "customer_id", 5, next_too=True)
+    bounds = quintile_bounds(at, "measure", "v", "customer_id")
+    one = lambda name, k, c: F.max(F.when((F.col("measure") == name) & (F.col("k") == k), F.col(c)))
+    bounds = bounds.agg(*[one("recency_days", k, "edge").alias(f"edge_{k}") for k in QUINTILES],
+                        *[one(name, k, "cut").alias(f"{name}_{k}") for name in RANKED for k in QUINTILES])
+    scored = attach_constants(base, bounds)
+
+    def above(*tests: Column) -> Column:
+        return sum((F.when(t, 1).otherwise(0) for t in tests), F.lit(0)).cast("bigint")
+
+    def over_edge(k: int) -> Column:
+        lo, hi, m = (F.col(f"edge_{k}")[part] for part in ("lo", "hi", "m"))
+        return F.col("recency_days") * 5 > lo * 5 + m * (hi - lo)
+
+    def rank_score(name: str) -> Column:
+        own = F.struct(F.col(name).alias("v"), "customer_id")
+        return above(*[own > F.col(f"{name}_{k}") for k in QUINTILES]) + 1
+
+    scored = scored.withColumns({"r_score": 5 - above(*[over_edge(k) for k in QUINTILES]),
+                                 "f_score": rank_score("frequency"), "m_score": rank_score("monetary_cents")})
     r, f, m = F.col("r_score"), F.col("f_score"), F.col("m_score")
     return scored.select("customer_id", "customer_name", "recency_days", "frequency", "monetary",
                      "r_score", "f_score", "m_score", rfm_segment(r, f, m).alias("rfm_segment"))
