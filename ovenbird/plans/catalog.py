@@ -14,6 +14,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 from pyspark.sql import types as T
 
 from ..functions import timefn
@@ -631,14 +632,10 @@ def _stage_base(spark) -> str:
     return work_dir(spark, f"stage-{uuid.uuid4().hex}")
 
 
-@register("partner_a_scan")
-def q_partner_a_scan(spark, sf_dir):
-    """Land partner A files (delivery orders) in the stage and scan them
-    through the typed external-table projection."""
-    s = Star(spark, sf_dir)
+def _partner_a_rows(s: Star) -> DataFrame:
     o = s.fact_order().filter(F.col("order_type") == "DELIVERY")
     c = s.dim_customer().select("customer_id", F.concat("first_name", F.lit(" "), "last_name").alias("customer_name"))
-    rows = o.join(c, "customer_id", "left").select(
+    return o.join(c, "customer_id", "left").select(
         F.concat(F.lit("DD-"), F.col("order_id").cast("string")).alias("order_id"),
         F.concat(F.lit("LOC-"), F.col("location_id").cast("string")).alias("restaurant_id"),
         "customer_name", F.col("total_amount").alias("order_total"),
@@ -648,32 +645,57 @@ def q_partner_a_scan(spark, sf_dir):
         F.col("order_timestamp").alias("order_placed_at"),
         (F.col("actual_ready_time") + F.expr("INTERVAL 25 MINUTES")).alias("delivered_at"),
         (F.col("order_id") % 5 + 1).cast("int").alias("driver_rating"))
+
+
+@register("partner_a_scan")
+def q_partner_a_scan(spark, sf_dir):
+    """Land partner A files (delivery orders) in the stage and scan them
+    through the typed external-table projection."""
     path = external.stage_path(_stage_base(spark), "doordash")
-    external.land_objects(rows, path)
+    external.land_objects(_partner_a_rows(Star(spark, sf_dir)), path)
     return normalise(external.external_scan(spark, path, schemas.PARTNER_A, objects=True))
 
 
-@register("partner_b_scan")
-def q_partner_b_scan(spark, sf_dir):
-    s = Star(spark, sf_dir)
+def _partner_b_rows(s: Star) -> DataFrame:
     o = s.fact_order().filter(F.col("order_type") == "PICKUP")
     lines = s.fact_order_item().join(s.dim_menu_item().select("item_id", F.col("item_name").alias("name")), "item_id")
     arr = lines.groupBy("order_id").agg(F.array_sort(F.collect_list(F.struct("item_id", "name", "quantity"))).alias("items"))
-    rows = o.join(arr, "order_id", "left").select(
+    return o.join(arr, "order_id", "left").select(
         F.concat(F.lit("UE-"), F.col("order_id").cast("string")).alias("uber_order_id"),
         F.concat(F.lit("M"), F.col("location_id").cast("string")).alias("merchant_id"),
         "items", F.col("subtotal"),
         F.round(F.col("subtotal") * F.lit(0.05).cast("decimal(3,2)"), 2).cast("decimal(8,2)").alias("service_fee"),
         F.lit(0).cast("decimal(8,2)").alias("delivery_fee"),
         F.col("order_timestamp").alias("created_at"))
+
+
+@register("partner_b_scan")
+def q_partner_b_scan(spark, sf_dir):
     path = external.stage_path(_stage_base(spark), "ubereats")
-    external.land_objects(rows, path)
+    external.land_objects(_partner_b_rows(Star(spark, sf_dir)), path)
     scan = external.external_scan(spark, path, schemas.PARTNER_B, objects=True)
     arr = F.try_variant_get("items", "$", "array<variant>")
     return normalise(scan.withColumn("item_count", F.when(arr.isNotNull(), F.size(arr)))
                      .withColumn("items", json_text("items")))
 
 
+STAGE_FOLDERS = StructType([StructField("partner", StringType()), StructField("order_month", StringType())])
+
+
+@register("partner_month_scan")
+def q_partner_month_scan(spark, sf_dir):
+    """Both partners land in one stage, in folders by partner and month; partner A's
+    orders of 1997 are scanned, other folders are left out.  The month is that of the
+    file's path."""
+    s, base = Star(spark, sf_dir), _stage_base(spark)
+    for partner, rows, at in (("a", _partner_a_rows(s), "order_placed_at"), ("b", _partner_b_rows(s), "created_at")):
+        external.land_objects(rows, base, by={"partner": F.lit(partner), "order_month": F.date_format(at, "yyyy-MM")})
+    scan = external.external_scan(spark, base, schemas.PARTNER_A, objects=True, partitions=STAGE_FOLDERS,
+                                  file_columns={"file_month": external.path_value("order_month")})
+    return normalise(scan.filter((F.col("partner") == "a") & F.col("order_month").between("1997-01", "1997-12"))
+                     .select("order_id", "restaurant_id", "order_total", "order_placed_at", "partner", "file_month"))
+
+
 # -------------------------------------------------------------- streaming
 
 FEED_SPLIT = dt.datetime(2001, 1, 1)

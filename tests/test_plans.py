@@ -34,3 +34,24 @@ def test_column_pruning_on_lines(spark):
 
 def test_top_k_is_take_ordered(spark):
     assert "TakeOrderedAndProject" in _plan(spark, "customer_top10")
+
+
+def test_partner_and_month_prune_folders(spark):
+    plan = _plan(spark, "partner_month_scan")
+    filters = plan.split("PartitionFilters: ")[1].split("PushedFilters")[0]
+    assert "partner" in filters and "order_month" in filters
+
+
+def test_external_scan_reads_other_folders_never(spark, scratch):
+    from pyspark.sql import functions as F
+    from pyspark.sql import types as T
+
+    from ovenbird.sources import external
+    rows = spark.createDataFrame([(1, "x", 10), (2, "y", 20), (3, "y", None), (4, None, 40)], "id bigint, p string, v int")
+    external.land_objects(rows, f"{scratch}/stage", by={"partner": F.col("p")})
+    scan = external.external_scan(
+        spark, f"{scratch}/stage", T.StructType.fromDDL("id bigint, v int"), objects=True,
+        partitions=T.StructType.fromDDL("partner string"), file_columns={"from_path": external.path_value("partner")})
+    assert sorted(map(tuple, scan.filter("partner = 'y'").collect())) == [(2, 20, "y", "y"), (3, None, "y", "y")]
+    assert [tuple(r)[:3] for r in scan.filter("partner IS NULL").collect()] == [(4, 40, None)]
+    assert len(scan.filter("partner = 'y'").select("id", "from_path").collect()) == 2
