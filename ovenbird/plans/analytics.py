@@ -101,14 +101,30 @@ def sales_anomalies(daily_sales: DataFrame, locations: DataFrame, as_of: dt.date
     ds = daily_sales
     if lookback_days is not None:
         ds = ds.filter(F.col("sales_date") >= timefn.date_lit(as_of - dt.timedelta(days=lookback_days)))
-    ds = dim_join(ds, locations.select("location_id", "location_name"), "location_id")
+    return flag_anomalies(ds, revenue_moments(ds), locations, threshold, min_points)
+
+
+def revenue_moments(days: DataFrame, retracted: Column | None = None) -> DataFrame:
+    """Number of days and exact sums of revenue and its square per location and weekday.
+    They add up, and a day that is ``retracted`` is taken away again, so that they
+    can be kept batch by batch."""
+    x = F.col("total_revenue")
+    day, square = F.when(x.isNotNull(), 1).otherwise(0), x * x
+    if retracted is not None:
+        day, x, square = (F.when(retracted, -c).otherwise(c) for c in (day, x, square))
+    return days.groupBy("location_id", timefn.day_of_week0("sales_date").alias("dow")).agg(
+        F.sum(day).alias("cnt"), F.sum(x).alias("sx"), F.sum(square).alias("sxx"))
+
+
+def flag_anomalies(days: DataFrame, moments: DataFrame, locations: DataFrame, threshold: float,
+                   min_points: int) -> DataFrame:
+    """The days that are far from the mean of their location and weekday."""
+    ds = dim_join(days, locations.select("location_id", "location_name"), "location_id")
     ds = ds.select("sales_date", "location_id", "location_name", "total_revenue",
                    timefn.day_of_week0("sales_date").alias("dow"))
     x = F.col("total_revenue")
-    g = ds.groupBy("location_id", "dow").agg(
-        F.count(x).alias("cnt"), F.sum(x).alias("sx"), F.sum(x * x).alias("sxx"))
     num = F.col("cnt") * F.col("sxx") - F.col("sx") * F.col("sx")
-    g = g.filter((F.col("cnt") >= min_points) & (num != 0)).select(
+    g = moments.filter((F.col("cnt") >= min_points) & (num != 0)).select(
         "location_id", "dow",
         money.mean("sx", "cnt").alias("expected_revenue"),
         F.sqrt(num.cast("double") / (F.col("cnt") * (F.col("cnt") - 1)).cast("double")).alias("std_dev"))

@@ -25,7 +25,7 @@ from ..session import work_dir
 from ..sources import external, schemas, tables
 from ..sources.star import AS_OF_ORDERS, Star
 from ..streaming import feeds, keyed
-from ..streaming.incremental import IncrementalMedallion, IncrementalViews
+from ..streaming.incremental import IncrementalAnomalies, IncrementalMedallion, IncrementalViews
 from . import analytics, change_jobs, jobs, medallion, messages, quality, views
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -911,3 +911,23 @@ def q_streamed_hourly_sales(spark, sf_dir):
 def q_streamed_customer_metrics(spark, sf_dir):
     """``customer_metrics`` kept in step with two order drops."""
     return normalise(_run_views(spark, sf_dir).customer_metrics(AS_OF_ORDERS))
+
+
+@register("streamed_anomalies")
+def q_streamed_anomalies(spark, sf_dir):
+    """Anomalies from moments kept batch by batch.  First the days up to the split land,
+    those of every third location with half their revenue; then those
+    days are corrected (both halves of the update) and the other days land."""
+    s = Star(spark, sf_dir)
+    daily = lambda o: jobs.daily_sales_source(o, s.fact_order_item(), s.dim_customer()).select(
+        "sales_date", "location_id", "total_revenue")
+    early, late = s.fact_order(until=PIPELINE_SPLIT), s.fact_order(since=PIPELINE_SPLIT)
+    short = F.col("location_id") % 3 == 0
+    wrong = daily(early).filter(short).withColumn("total_revenue", (F.col("total_revenue") / 2).cast("decimal(12,2)"))
+    kept = IncrementalAnomalies(spark, work_dir(spark, f"anomalies-{uuid.uuid4().hex}"), s.dim_location())
+    kept.land(daily(early).filter(~short).unionByName(wrong))
+    kept.consume()
+    kept.land(wrong, "DELETE")
+    kept.land(daily(early).filter(short).unionByName(daily(late)))
+    kept.consume()
+    return normalise(kept.anomalies())
