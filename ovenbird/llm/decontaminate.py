@@ -4,8 +4,10 @@ The test items are the indexed side.  Their terms form an inverted index of
 BM25 impacts, each divided by the score its item must reach (``min_score`` of
 the item's score with itself, or the least score of a passage that passes the
 checks below, if that is lower), so that every item is retrieved from 1 on and
-the retrieval loses none that the checks would report.  The index comes in shards of ``SHARD_ITEMS`` items, broadcast ``SHARDS`` at a time
-(a bounded number of items a scan; more items take more scans of the corpus).
+the retrieval loses none that the checks would report.  The index comes in shards
+of at most ``SHARD_ITEMS`` items and ``SHARD_CELLS`` block maxima.  What is broadcast
+for one scan of the corpus holds about ``SHARDS`` x ``SHARD_ITEMS`` items or ``SCAN_WORDS``
+words of items at most (or one longer item); more of them take more scans.
 
 Every document is cut into overlapping passages, long enough that each item
 lies within one of them.  A passage is a query: the sum of its terms' highest
@@ -42,7 +44,9 @@ from .common import batches, column, flat_bytes, id_text, sha
 
 K1, B = 1.2, 0.75
 SHARD_ITEMS = 1024
+SHARD_CELLS = 1 << 21
 SHARDS = 16
+SCAN_WORDS = 1 << 18
 #: Items that share a block maximum, and (passage, term) pairs summed at once.
 BLOCK = 4
 PAIRS = 200_000
@@ -106,15 +110,29 @@ class Shard:
     info: list[Item]
 
 
+def shard_cuts(sizes: list[int]) -> list[int]:
+    """Where shards begin: a shard of n items with w words in all has at most
+    ``SHARD_ITEMS`` items and w x n / ``BLOCK`` block maxima within ``SHARD_CELLS``, or is
+    one item (whose block maxima are one a word)."""
+    cuts, n, total = [0] if sizes else [], 0, 0
+    for at, size in enumerate(sizes):
+        if n and (n == SHARD_ITEMS or (total + size) * -(-(n + 1) // BLOCK) > SHARD_CELLS):
+            cuts.append(at)
+            n = total = 0
+        n, total = n + 1, total + size
+    return cuts
+
+
 def build_shards(rows: list[tuple], df: dict[int, int], n_items: int, mean_words: float,
                  min_score: float, overlap: float = 0.8) -> tuple[list[Shard], int]:
     """rows: (item_id, question, answer, all words' hashes).  Also the words of
     the longest item."""
     shards, longest = [], 1
-    for at in range(0, len(rows), SHARD_ITEMS):
+    cuts = shard_cuts([len(r[3]) for r in rows])
+    for at, end in zip(cuts, [*cuts[1:], len(rows)], strict=False):
         post: list[tuple[int, int, float]] = []
         info = []
-        for item_id, question, answer, h in rows[at:at + SHARD_ITEMS]:
+        for item_id, question, answer, h in rows[at:end]:
             longest = max(longest, len(h))
             q = word_hashes(question)
             info.append(Item(item_id, grams(q), min(SHINGLE, len(q)), np.unique(word_hashes(answer))))
@@ -307,7 +325,8 @@ def _leaks(docs: DataFrame, items: DataFrame, min_score: float = 0.6, overlap: f
     spark = docs.sparkSession
     known = _item_words(_items(items))
     size = known.agg(F.count(F.lit(1)).alias("n"), F.avg(F.size("h")).alias("mean")).first()
-    groups = max(1, -(-size["n"] // (SHARD_ITEMS * SHARDS)))
+    words_in_all = round((size["mean"] or 0) * size["n"])
+    groups = max(1, -(-size["n"] // (SHARD_ITEMS * SHARDS)), -(-words_in_all // SCAN_WORDS))
     df = known.select(F.explode(F.array_distinct("h")).alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("df"))
     placed = known.withColumn("part", F.pmod(F.xxhash64("item_id", "question"), F.lit(groups)))
     kind, item_kind = (x.select(column(x, c).alias(c)).dtypes[0][1] for x, c in ((docs, "doc_id"), (items, "item_id")))
