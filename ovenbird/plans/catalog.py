@@ -22,7 +22,7 @@ from ..functions.variant import json_text, object_of
 from ..operators import changes
 from ..operators.ranking import surrogate_ids
 from ..session import work_dir
-from ..sources import external, schemas, tables
+from ..sources import external, layout, schemas, tables
 from ..sources.star import AS_OF_ORDERS, Star
 from ..streaming import feeds, keyed
 from ..streaming.incremental import IncrementalAnomalies, IncrementalMedallion, IncrementalViews
@@ -78,6 +78,31 @@ def q_order_analytics_header(spark, sf_dir):
                                            s.dim_customer(), fanout=False))
 
 
+def _colocated(spark, s: Star) -> tuple[DataFrame, DataFrame]:
+    """Orders and their lines (with item names), stored in buckets of the order id."""
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tag = uuid.uuid4().hex
+    lines = medallion.named_lines(s.fact_order_item(), s.dim_menu_item(with_category=False))
+    return (layout.store(s.fact_order(), f"orders_by_id_{tag}", "order_id", buckets, max_key_rows=None),
+            layout.store(lines, f"lines_by_order_{tag}", "order_id", buckets))
+
+
+@register("colocated_order_analytics")
+def q_colocated_order_analytics(spark, sf_dir):
+    """The order analytics over stored co-located facts: lines are not shuffled."""
+    s = Star(spark, sf_dir)
+    orders, lines = _colocated(spark, s)
+    return normalise(views.order_analytics(orders, lines, s.dim_location(), s.dim_customer(), fanout=True))
+
+
+@register("colocated_silver_items")
+def q_colocated_silver_items(spark, sf_dir):
+    """The silver items of events built from co-located facts, without an exchange."""
+    orders, lines = _colocated(spark, Star(spark, sf_dir))
+    bronze = medallion.bronze_events(orders, lines, None)
+    return normalise(medallion.silver_order_items(medallion.silver_orders(bronze)))
+
+
 @register("order_status_board")
 def q_order_status_board(spark, sf_dir):
     s = Star(spark, sf_dir)

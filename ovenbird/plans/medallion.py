@@ -32,22 +32,27 @@ def _map(col, mapping, default=None):
     return expr.otherwise(F.lit(default)) if default is not None else expr
 
 
-def order_items_array(items: DataFrame, menu: DataFrame) -> DataFrame:
+def named_lines(items: DataFrame, menu: DataFrame) -> DataFrame:
+    """Order lines with the names of their items."""
+    return items.join(menu.select("item_id", "item_name"), "item_id", "inner")
+
+
+def order_items_array(items: DataFrame, menu: DataFrame | None) -> DataFrame:
     """Per order, the array of line objects (item_id, item_name, quantity,
     price), sorted so the array is repeatable.  Lines are grouped by order
-    before the order join, which therefore stays one-to-one."""
-    lines = items.join(menu.select("item_id", "item_name"), "item_id", "inner")
+    before the order join, which therefore stays one-to-one.  ``menu=None``:
+    ``items`` are ``named_lines`` stored by order, and are not shuffled."""
     # Hash-partition the lines by order first: collecting a list does not
     # shrink the data, so a map-side partial collect only adds work in the
     # scan tasks; the aggregate then reuses this partitioning (no second
     # exchange) and so does the join to the orders.
-    lines = lines.repartition("order_id")
+    lines = items if menu is None else named_lines(items, menu).repartition("order_id")
     return lines.groupBy("order_id").agg(
         F.sort_array(F.collect_list(F.struct(
             "item_id", "item_name", "quantity", F.col("unit_price").alias("price")))).alias("items"))
 
 
-def bronze_events(orders: DataFrame, items: DataFrame, menu: DataFrame, as_of: dt.date | None = None,
+def bronze_events(orders: DataFrame, items: DataFrame, menu: DataFrame | None, as_of: dt.date | None = None,
                   days: int | None = None) -> DataFrame:
     """One ORDER_PLACED event per order, of all orders or (``days``) of the last
     days before ``as_of``.
