@@ -63,3 +63,33 @@ def test_staged_payload_drops_null_keys(spark):
     assert "customer_email" not in rows[1].raw_payload
     assert '"customer_email":"b@x"' in rows[2].raw_payload
     assert '"total":28.99' in rows[2].raw_payload and rows[2].raw_order_id.startswith("ONLINE-")
+
+
+def _order(**change):
+    return json.dumps({**json.loads(VALID), **change})
+
+
+# The typed parse is more lenient than the rules in these; all must come out alike.
+ODD_ORDERS = [
+    VALID, f"[{VALID}]", " \n\t" + VALID, VALID + " x", VALID.replace("31", "031"), VALID.replace('"', "'"),
+    VALID.replace('"note"', '"order_type"'), VALID.replace("PICKUP", "Pickup"), _order(order_type=5), _order(order_type=None),
+    _order(customer_id="31"), _order(customer_id=3.5), _order(customer_id=0), _order(customer_id=1 << 70), _order(items={}),
+    _order(items=[]), _order(items=[None]), _order(items=[5]), _order(items=[[{"item_id": 1, "quantity": 1, "price": 1}]]),
+    _order(items={"item_id": 1, "quantity": 2, "price": 3}), _order(order_type="DELIVERY"),
+    *[_order(order_type="DELIVERY", delivery_address=a) for a in ("", "x", 0, 7, [], None, False)],
+    *[_order(items=[{"item_id": 2, "quantity": 1, "price": 1.1}, {"item_id": i, "quantity": q, "price": p, "size": "L"}])
+      for i, q, p in [(0, 1, 2.5), ("", 1, 2.5), ("7", 1, 2.5), (3, 0, 1), (3, 1.5, 2), (3, "2", 1), (3, True, 1), (3, 1, 0),
+                      (3, 1, "NaN"), (3, 1, "Infinity"), (3, 2, -1.25), (3, 1, None), (None, 1, 1), (3, None, 1), (1.5, 1, 1)]],
+    VALID.replace("7.25", "1e400"), VALID.replace("7.25", "NaN"), VALID.replace("7.25", "0.1234567890123456789"),
+    VALID.replace('"price": 7.25', '"price": 1, "price": 7.25'), "", "{}", "[]", "5", '"x"']
+
+
+def test_typed_parse_changes_nothing(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    fast = {i: tuple(r) for i, r in _validate(spark, ODD_ORDERS).items()}
+    assert fast[0][2] and not fast[1][2] and fast[2][2]
+    monkeypatch.setattr(messages, "_typed_valid", lambda *a: F.lit(False))
+    slow = {i: tuple(r) for i, r in _validate(spark, ODD_ORDERS).items()}
+    for i, text in enumerate(ODD_ORDERS):
+        assert repr(fast[i]) == repr(slow[i]), text
