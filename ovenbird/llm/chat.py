@@ -12,7 +12,9 @@ mark and ``read_back`` restores every turn exactly.
 Defined results: a null text or role is the empty string; a null conversation
 id is one conversation of its own; turns sort by (turn, role, text), a null
 turn first, and repeated rows are repeated turns; an empty table gives no
-rows.  Other columns of the input are not read.
+rows; a very long text is formatted whole, and the work is in proportion to the
+turns of a conversation up to some 100,000 of them.  Other columns of the input
+are not read.
 """
 
 from __future__ import annotations
@@ -26,6 +28,8 @@ START, TEXT, END = "<|start|>", "<|text|>", "<|end|>"
 #: Strings that are marks here or in widely used chat templates.
 CONTROL = [START, TEXT, END, "<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>",
            "<|im_start|>", "<|im_end|>", "<|endoftext|>"]
+#: Pieces whose places are summed up at once (see ``_running_sum``).
+BLOCK = 256
 
 
 def escape(c: Column) -> Column:
@@ -39,6 +43,19 @@ def unescape(c: Column) -> Column:
     return F.regexp_replace(c, r"(?s)\\(.)", "$1")
 
 
+def _running_sum(sizes: Column, first: int = 2) -> Column:
+    """The sums of the first 1, 2, ... numbers of an array (``first=1``: of those in
+    front of each).  Each step copies the array before it: for short arrays."""
+    return F.slice(F.aggregate(sizes, F.array(F.lit(0)), lambda acc, x: F.concat(
+        acc, F.array(F.element_at(acc, -1) + x))), F.lit(first), F.size(sizes))
+
+
+def running_sum_blocks(sizes: str) -> Column:
+    """The running sums of an array in blocks of ``BLOCK`` numbers, each block from 0."""
+    blocks = F.when(F.size(sizes) > 0, F.sequence(F.lit(1), F.size(sizes), F.lit(BLOCK))).otherwise(F.array().cast("array<int>"))
+    return F.transform(blocks, lambda at: _running_sum(F.slice(sizes, at, F.lit(BLOCK))))
+
+
 def format_conversations(turns: DataFrame, trained_role: str = "assistant") -> DataFrame:
     """One row per conversation: ``conv_id``, ``formatted`` and ``loss_spans``,
     the (start, length) in code points of every text of ``trained_role`` in
@@ -64,17 +81,18 @@ def format_conversations(turns: DataFrame, trained_role: str = "assistant") -> D
             F.when(j > 0, F.lit(TEXT)).otherwise(F.concat(
                 F.when(k > 0, F.lit(END)).otherwise(F.lit("")), F.lit(START), b["role"], F.lit(TEXT))).alias("head"),
             x.alias("text"), (b["role"] == trained_role).alias("loss"))))).alias("p"))
-    ends = F.aggregate(
-        "p", F.array(F.lit(0)),
-        lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + F.char_length(x["head"])
-                                             + F.char_length(x["text"]))))
     placed = pieces.select(
-        "conv_id", "p", ends.alias("e"),
+        "conv_id", "p", F.transform("p", lambda x: F.char_length(x["head"]) + F.char_length(x["text"])).alias("sizes"),
         F.concat(F.array_join(F.transform("p", lambda x: F.concat(x["head"], x["text"])), ""),
                  F.lit(END)).alias("formatted"))
-    spans = F.filter(F.transform("p", lambda x, i: F.struct(
-        (F.get("e", i + 1) - F.char_length(x["text"])).alias("start"),
-        F.char_length(x["text"]).alias("length"), x["loss"].alias("loss"))), lambda x: x["loss"])
+    placed = placed.select("conv_id", "p", "formatted", running_sum_blocks("sizes").alias("sums"))
+    # Arrays that belong together are zipped: one that a lambda function only names
+    # can be computed anew for every element.
+    before = _running_sum(F.transform("sums", lambda x: F.element_at(x, -1)), 1)
+    ends = F.flatten(F.zip_with("sums", before, lambda x, b: F.transform(x, lambda e: e + b)))
+    spans = F.filter(F.zip_with("p", ends, lambda x, e: F.struct(
+        (e - F.char_length(x["text"])).alias("start"), F.char_length(x["text"]).alias("length"),
+        x["loss"].alias("loss"))), lambda x: x["loss"])
     return placed.select("conv_id", "formatted", F.transform(
         spans, lambda x: F.struct(x["start"].alias("start"), x["length"].alias("length"))).alias("loss_spans"))
 

@@ -60,6 +60,22 @@ def test_chat_nulls_repeats_and_empty(spark):
     assert got == {None: [("", ""), ("user", "b")], 2: [("user", "x"), ("user", "x")]}
 
 
+@pytest.mark.parametrize("turns", [1, 256, 257, 2_000])
+def test_chat_spans_of_long_conversations(spark, turns):
+    """Every span holds its text, at and beyond the blocks of the running sums."""
+    said = [(k, "user" if k % 3 == 1 else "assistant", NASTY[k % len(NASTY)]) for k in range(turns)]
+    df = spark.range(turns).select(
+        F.lit(1).alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") % 3 == 1, "user").otherwise("assistant").alias("role"),
+        F.element_at(F.array(*map(F.lit, NASTY)), (F.col("id") % len(NASTY) + 1).cast("int")).alias("text"))
+    row = chat.format_conversations(df).select(
+        "formatted", "loss_spans", chat.masked_text(F.col("formatted"), F.col("loss_spans")).alias("masked")).first()
+    wanted = [x for _, role, x in said if role == "assistant"]
+    assert len(row["loss_spans"]) == len(wanted) and row["masked"] == "".join(wanted)
+    for (start, length), x in zip(row["loss_spans"], wanted, strict=True):
+        assert re.sub(r"(?s)\\(.)", r"\1", row["formatted"][start:start + length]) == x
+
+
 def test_chat_plan_is_native(spark):
     plan = read_formatted(_convs(spark, [(1, 0, "user", "x", "", "")]))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
