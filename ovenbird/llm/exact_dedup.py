@@ -39,6 +39,15 @@ from .common import SPACES, Scratch, batches, column, id_text, sha
 
 #: Distinct fingerprints of one message at most (bounds a sender's memory).
 CHUNK = 500_000
+#: Documents per owner at most on average: hash ranges are even, so this bounds an
+#: owner's distinct fingerprints, and one fingerprint comes once from a sender.
+OWNER_ROWS = 2_000_000
+
+
+def owner_count(rows: int, partitions: int) -> int:
+    """Owners for a table of ``rows`` documents: the session's partitions, and more
+    of them where an owner would get more than ``OWNER_ROWS``."""
+    return max(1, partitions, -(-rows // OWNER_ROWS))
 
 
 def normalise(text: str) -> bytes:
@@ -161,10 +170,10 @@ def _classes(docs: DataFrame, owners: int | None = None) -> DataFrame:
     """``duplicate_classes`` with raw (``text_hash``) and stays: whether the row has
     the id and the text of the one that is kept."""
     spark = docs.sparkSession
-    owners = owners or int(spark.conf.get("spark.sql.shuffle.partitions"))
     scratch = Scratch(spark, "exact-dedup")
     kind = docs.select(column(docs, "doc_id").alias("doc_id")).dtypes[0][1]
     prints = scratch.put(_fingerprints(docs), "fingerprints")
+    owners = owners or owner_count(prints.count(), int(spark.conf.get("spark.sql.shuffle.partitions")))
     sent = scratch.put(_messages(prints.select("h"), owners), "messages")
     bitmaps = sent.select("owner", "message", "coded").groupBy("owner").applyInPandas(
         _answer, "message bigint, bitmap binary")

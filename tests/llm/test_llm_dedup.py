@@ -67,6 +67,11 @@ def test_exact_dedup(spark, exact_rows):
     assert sorted((r["doc_id"] for r in kept.collect()), key=str) == sorted((x[0] for x in _exact(exact_rows) if x[3]), key=str)
 
 
+def test_owners_grow_with_the_rows():
+    assert exact_dedup.owner_count(0, 0) == 1 and exact_dedup.owner_count(1000, 200) == 200
+    assert exact_dedup.owner_count(10**10, 200) == 5000  # not 50 million fingerprints for each of 200
+
+
 def test_exact_dedup_empty(spark):
     assert exact_dedup.duplicate_classes(_docs(spark, [(1, "x")]).limit(0)).count() == 0
 
