@@ -1,4 +1,5 @@
-"""Streams with a small state per key (Spark's state store).
+"""Streams with a small state per key (Spark's state store).  Python handles keys
+by shards of their hash, not one by one: the cost per key is that of a row.
 
 ``SnapshotChanges`` turns arriving snapshots of a table into its change stream;
 ``AlertStream`` knows which inventory alerts are open.
@@ -9,8 +10,9 @@ from __future__ import annotations
 import os
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -24,6 +26,16 @@ _JSON = {"ignoreNullFields": "false", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.
          "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 
 
+#: Shards of a state: each should hold some thousands of keys (at 100 TB some
+#: hundred thousand shards).  Fixed for the life of a checkpoint.
+SHARDS = 1024
+SHARD = "shard"
+
+
+def shard_of(keys: Sequence[str], shards: int) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(shards)).alias(SHARD)
+
+
 # ---------------------------------------------------------------- change stream
 
 def _differences(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
@@ -111,37 +123,51 @@ ALERT_EVENTS = ("location_id bigint, ingredient_id bigint, quantity_on_hand deci
 ALERT_KEYS = ["location_id", "ingredient_id"]
 
 
-def _alerts_of_key(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """The alert rows of one (location, ingredient): every low change of a batch
-    alerts unless an alert was open when the batch began.  A resolution closes the
-    alerts that were open then.  Alerts of one opening share a number."""
-    was_open, number = state.get if state.exists else (False, 0)
-    opened, closed = False, None
+NO_LOCATION = "no_location"
+#: Key of an alert in a Python worker: whole numbers without nulls.
+_KEY = ["location_id", NO_LOCATION, "ingredient_id"]
+_ALERT_STATE = [*_KEY, "open", "number"]
+
+
+def _alerts_of_shard(_shard: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """The alert rows of the (location, ingredient) keys of a shard: every low change
+    of a batch alerts unless an alert of its key was open when the batch began.  A
+    resolution closes the alerts that were open then.  Alerts of one opening share
+    a number."""
+    held = state.get if state.exists else [[]] * len(_ALERT_STATE)
+    known = pd.DataFrame({c: np.array(v, np.int64) for c, v in zip(_ALERT_STATE, held, strict=True)})
+    opened, closed = known.iloc[:0], None
     for f in frames:
-        resolved = f["kind"] == RESOLVED
-        if was_open:
-            if resolved.any():
-                first = f.loc[resolved].nsmallest(1, "day") if resolved.sum() > 1 else f.loc[resolved]
-                closed = first if closed is None or first["day"].iloc[0] < closed["day"].iloc[0] else closed
-        elif not resolved.all():
-            opened = True
-            yield f.loc[~resolved].assign(kind=OPEN, alert_number=number + 1)
-    if opened:
-        state.update((True, number + 1))
-    elif closed is not None:
-        state.update((False, number))
-        yield closed.assign(alert_number=number)
+        columns = [*f.columns, "alert_number"]
+        f = f.merge(known, "left", _KEY)
+        was_open, resolved = f["open"] == 1, f["kind"] == RESOLVED
+        number = f["number"].fillna(0).astype("int64")
+        now = f.assign(kind=OPEN, alert_number=number + 1)[~was_open & ~resolved]
+        if len(now):
+            opened = pd.concat([opened, now.assign(open=1, number=now["alert_number"])[_ALERT_STATE]]).drop_duplicates(_KEY)
+            yield now[columns]
+        done = f.assign(alert_number=number)[was_open & resolved][columns]
+        if len(done):  # of a key the first day
+            closed = done if closed is None else pd.concat([closed, done])
+            closed = closed.sort_values("day", kind="stable").drop_duplicates(_KEY)
+    if closed is not None:
+        yield closed
+        opened = pd.concat([opened, closed.assign(open=0, number=closed["alert_number"])[_ALERT_STATE]])
+    if len(opened):
+        kept = pd.concat([opened, known]).drop_duplicates(_KEY)
+        state.update(tuple(kept[c].astype("int64").tolist() for c in _ALERT_STATE))
 
 
 class AlertStream:
     """Low-stock alerts of inventory changes, with the open alerts as keyed state.
 
     Rows of ``ALERT_EVENTS`` land in a folder: changes of stock (``CHANGE``) and
-    resolutions of alerts (``RESOLVED``).  A batch reads the state of the keys that
-    it holds, never the alerts written before."""
+    resolutions of alerts (``RESOLVED``).  Keys are dealt over ``shards`` by their hash,
+    and a shard's keys are one row of state, worked on together.  A batch reads the
+    state of the shards that it holds rows of, never the alerts written before."""
 
-    def __init__(self, spark: SparkSession, landing_dir: str, state_dir: str, ingredients: DataFrame):
-        self.spark, self.landing_dir, self.ingredients = spark, landing_dir, ingredients
+    def __init__(self, spark: SparkSession, landing_dir: str, state_dir: str, ingredients: DataFrame, shards: int = SHARDS):
+        self.spark, self.landing_dir, self.ingredients, self.shards = spark, landing_dir, ingredients, shards
         self.schema = T.StructType.fromDDL(ALERT_EVENTS)
         self.checkpoint = os.path.join(state_dir, "checkpoint")
         self.sink = BatchTable(spark, os.path.join(state_dir, "sink"),
@@ -154,13 +180,16 @@ class AlertStream:
         rows = rows.join(self.ingredients.select("ingredient_id"), "ingredient_id", "left_semi")
         # Whole numbers are cheaper than decimals and dates between Spark and pandas.
         cents = lambda c: (F.col(c) * 100).cast("bigint").alias(c)
-        rows = rows.select(*ALERT_KEYS, cents("quantity_on_hand"), cents("reorder_point"),
-                           F.unix_date("record_date").alias("day"), "kind")
+        location = F.col("location_id")
+        rows = rows.select(F.coalesce(location, F.lit(0)).alias("location_id"), location.isNull().cast("bigint").alias(NO_LOCATION),
+                           "ingredient_id", cents("quantity_on_hand"), cents("reorder_point"),
+                           F.unix_date("record_date").alias("day"), "kind", shard_of(ALERT_KEYS, self.shards))
         out = ", ".join(f"{n} {t}" for n, t in rows.dtypes) + ", alert_number bigint"
-        got = rows.groupBy(*ALERT_KEYS).applyInPandasWithState(_alerts_of_key, out, "open boolean, number bigint", "append",
-                                                              GroupStateTimeout.NoTimeout)
+        state = ", ".join(f"{c} array<bigint>" for c in _ALERT_STATE)
+        got = rows.groupBy(SHARD).applyInPandasWithState(_alerts_of_shard, out, state, "append", GroupStateTimeout.NoTimeout)
         money = lambda c: (F.col(c).cast("decimal(12,0)") / 100).cast("decimal(10,2)").alias(c)
-        return got.select(*ALERT_KEYS, money("quantity_on_hand"), money("reorder_point"),
+        return got.select(F.when(F.col(NO_LOCATION) == 0, location).alias("location_id"), "ingredient_id",
+                          money("quantity_on_hand"), money("reorder_point"),
                           F.date_from_unix_date("day").alias("record_date"), "kind", "alert_number")
 
     def consume(self) -> None:

@@ -194,6 +194,35 @@ def test_alerts_close_and_open_again(spark, scratch):
     assert [r for r in got() if r[5] == 2] == [(1, 1, 6, "LOW_STOCK", "RESOLVED", 2, 9)]
 
 
+def _state_rows(spark, checkpoint):
+    return spark.read.format("statestore").load(checkpoint).count()
+
+
+def test_alerts_of_many_keys_are_worked_on_together(spark, scratch):
+    """A shard of keys is one row of state; its rows may come in several pieces."""
+    c, done, keys = keyed.CHANGE, keyed.RESOLVED, 200
+    st = keyed.AlertStream(spark, os.path.join(scratch, "l"), os.path.join(scratch, "s"),
+                           spark.createDataFrame([(1, "flour")], "ingredient_id long, ingredient_name string"), shards=3)
+    far = 1 << 53  # locations beyond what a double holds, and one without a number
+    places = [None, *[far + i for i in range(keys)]]
+    size = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        _alert_run(spark, scratch, [(p, 1, q, 1, c) for p in places for q in (3, 4)], st)
+        _alert_run(spark, scratch, [(p, 1, 0, d, done) for p in places if p is None or p % 2 for d in (5, 4)], st)
+        _alert_run(spark, scratch, [(p, 1, 5, 6, c) for p in places], st)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+    got = {(r.location_id, int(r.current_quantity), r.alert_status, r.alert_number, r.resolved_date and r.resolved_date.day)
+           for r in st.alerts().filter("location_id IS NOT NULL").collect()}
+    odd = [p for p in places if p is not None and p % 2]
+    assert got == ({(p, q, "RESOLVED", 1, 4) for p in odd for q in (3, 4)} | {(p, 5, "OPEN", 2, None) for p in odd}
+                   | {(p, q, "OPEN", 1, None) for p in places if p is not None and p % 2 == 0 for q in (3, 4)})
+    nowhere = [(r.kind, int(r.quantity_on_hand), r.alert_number) for r in st.sink.read().filter("location_id IS NULL").collect()]
+    assert sorted(nowhere) == [("OPEN", 3, 1), ("OPEN", 4, 1), ("OPEN", 5, 2), ("RESOLVED", 0, 1)]
+    assert _state_rows(spark, st.checkpoint) == 3
+
+
 def test_snapshots_become_a_change_stream(spark, scratch):
     schema = "id long, name string, points int, rate decimal(6,2), since timestamp_ntz"
     t = dt.datetime(2001, 5, 6, 7, 8, 9, 123456)
