@@ -38,30 +38,39 @@ def shard_of(keys: Sequence[str], shards: int) -> Column:
 
 # ---------------------------------------------------------------- change stream
 
-def _differences(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Changes of one key: its rows in newer snapshots against the image in the
-    state.  A key that a newer snapshot doesn't hold times out: it was deleted."""
-    def rows(images: list[tuple]) -> pd.DataFrame:
-        out = pd.DataFrame(images, columns=["image", ACTION, IS_UPDATE])
-        return pd.concat([pd.DataFrame({f"k{i}": [v] * len(out) for i, v in enumerate(key)}), out], axis=1)
-    if state.hasTimedOut:
-        (old,) = state.get
+_IMAGE_STATE = ["key", "image", "seen"]
+
+
+def _differences(_shard: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """Changes of the keys of a shard: their rows in newer snapshots against the images
+    in the state.  ``seen`` is the snapshot (ms) that confirmed an image; a key that
+    the watermark has left behind wasn't in a newer snapshot: it was deleted."""
+    held = state.get if state.exists else [[]] * len(_IMAGE_STATE)
+    old = pd.DataFrame({c: pd.Series(v, dtype="int64" if c == "seen" else object) for c, v in zip(_IMAGE_STATE, held, strict=True)})
+    parts = [old.assign(at=pd.NaT, new=False)]
+    if not state.hasTimedOut:
+        parts += [f.assign(at=f[SNAPSHOT_AT], seen=f[SNAPSHOT_AT].astype("datetime64[ms]").astype("int64"), new=True)[
+            [*_IMAGE_STATE, "at", "new"]] for f in frames]
+    # Per key the image in the state, then one row per snapshot.
+    rows = pd.concat([p for p in parts if len(p)] or parts, ignore_index=True)
+    rows = rows.sort_values(["key", "at", "image"], na_position="first", kind="stable", ignore_index=True)
+    before = rows.groupby("key", sort=False)["image"].shift()
+    added = rows["new"] & before.isna()
+    changed = rows["new"] & before.notna() & (rows["image"] != before)
+    last = rows.drop_duplicates("key", keep="last")
+    gone = ~last["new"] & (last["seen"] + 1 < state.getCurrentWatermarkMs())
+    for images, where, action, update in ((rows["image"], added, "INSERT", False), (before, changed, "DELETE", True),
+                                          (rows["image"], changed, "INSERT", True)):
+        if where.any():
+            yield pd.DataFrame({"key": rows.loc[where, "key"], "image": images[where], ACTION: action, IS_UPDATE: update})
+    if gone.any():
+        yield last.loc[gone, ["key", "image"]].assign(**{ACTION: "DELETE", IS_UPDATE: False})
+    kept = last[~gone]
+    if len(kept):
+        state.update(tuple(kept[c].tolist() for c in _IMAGE_STATE))
+        state.setTimeoutTimestamp(int(kept["seen"].min()) + 1)
+    else:
         state.remove()
-        yield rows([(old, "DELETE", False)])
-        return
-    old = state.get[0] if state.exists else None
-    seen = sorted((at, image) for f in frames for at, image in zip(f[SNAPSHOT_AT], f["image"], strict=True))
-    out = []
-    for _, image in seen:  # one row per snapshot
-        if old is None:
-            out.append((image, "INSERT", False))
-        elif image != old:
-            out += [(old, "DELETE", True), (image, "INSERT", True)]
-        old = image
-    state.update((old,))
-    state.setTimeoutTimestamp(int(seen[-1][0].timestamp() * 1000) + 1)
-    if out:
-        yield rows(out)
 
 
 class SnapshotChanges:
@@ -69,14 +78,16 @@ class SnapshotChanges:
     ``schema`` plus ``snapshot_at``, one row per key, each snapshot later than the
     one before and consumed on its own).
 
-    Every key's image is kept in the state store as JSON.  A snapshot's rows meet
-    the images of their keys: new keys give an INSERT, changed ones both halves of an
+    Every key's image is kept in the state store as JSON; keys are dealt over ``shards``
+    by their hash, and a shard's images are one row of state, compared together.  A
+    snapshot's rows meet the images of their keys: new keys give an INSERT, changed ones both halves of an
     update; keys that it lacks give a DELETE, once the watermark (the snapshot's
     time) has passed the time up to which their image was confirmed."""
 
     def __init__(self, spark: SparkSession, landing_dir: str, state_dir: str, schema: T.StructType, keys: Sequence[str],
-                 job: Callable[[DataFrame], DataFrame] = lambda df: df):
+                 job: Callable[[DataFrame], DataFrame] = lambda df: df, shards: int = SHARDS):
         self.spark, self.landing_dir, self.schema, self.keys, self.job = spark, landing_dir, schema, list(keys), job
+        self.shards = shards
         self.image = T.StructType([f for f in schema.fields if f.name not in self.keys])
         self.checkpoint = os.path.join(state_dir, "checkpoint")
         whole = T.StructType([*schema.fields, T.StructField(ACTION, T.StringType()), T.StructField(IS_UPDATE, T.BooleanType()),
@@ -87,15 +98,15 @@ class SnapshotChanges:
         """The change images as a stream (columns of the table, then metadata)."""
         rows = T.StructType([*self.schema.fields, T.StructField(SNAPSHOT_AT, T.TimestampType())])
         landed = self.spark.readStream.schema(rows).parquet(self.landing_dir)
-        image = F.to_json(F.struct(*self.image.names), _JSON).alias("image")
-        named = [F.col(k).alias(f"k{i}") for i, k in enumerate(self.keys)]
-        rows = landed.select(*named, image, SNAPSHOT_AT).withWatermark(SNAPSHOT_AT, "0 seconds")
-        kinds = ", ".join(f"k{i} {self.schema[k].dataType.simpleString()}" for i, k in enumerate(self.keys))
-        out = rows.groupBy(*[f"k{i}" for i in range(len(self.keys))]).applyInPandasWithState(
-            _differences, f"{kinds}, image string, {ACTION} string, {IS_UPDATE} boolean", "image string", "append",
-            GroupStateTimeout.EventTimeTimeout)
-        out = out.select(*[F.col(f"k{i}").alias(k) for i, k in enumerate(self.keys)],
-                         F.from_json("image", self.image, _JSON).alias("__i"), ACTION, IS_UPDATE)
+        text = lambda names, alias: F.to_json(F.struct(*names), _JSON).alias(alias)
+        rows = landed.select(shard_of(self.keys, self.shards), text(self.keys, "key"), text(self.image.names, "image"),
+                             SNAPSHOT_AT).withWatermark(SNAPSHOT_AT, "0 seconds")
+        out = rows.groupBy(SHARD).applyInPandasWithState(
+            _differences, f"key string, image string, {ACTION} string, {IS_UPDATE} boolean",
+            "key array<string>, image array<string>, seen array<bigint>", "append", GroupStateTimeout.EventTimeTimeout)
+        keys = T.StructType([self.schema[k] for k in self.keys])
+        out = out.select(F.from_json("key", keys, _JSON).alias("__k"), F.from_json("image", self.image, _JSON).alias("__i"),
+                         ACTION, IS_UPDATE).select("__k.*", "__i", ACTION, IS_UPDATE)
         out = out.select(*self.keys, "__i.*", ACTION, IS_UPDATE).withColumn(ROW_ID, row_id(self.keys))
         return out.select(*self.schema.names, ACTION, IS_UPDATE, ROW_ID)
 

@@ -245,6 +245,31 @@ def test_snapshots_become_a_change_stream(spark, scratch):
     assert sorted(null) == [("m", "DELETE", False), ("m", "INSERT", True), ("n", "DELETE", True)]
 
 
+def test_snapshots_of_many_keys_are_compared_together(spark, scratch):
+    like = spark.createDataFrame([], "id long, part string, v int").schema
+    reader = keyed.SnapshotChanges(spark, os.path.join(scratch, "l"), os.path.join(scratch, "s"), like, ["id", "part"], shards=3)
+    far = 1 << 53  # beyond what a double holds
+    first = [(far + i, p, i) for i in range(300) for p in ("a", None)]
+    second = [(i, p, v + (i % 3 == 0)) for i, p, v in first if i % 5] + [(7, "new", 1)]
+    frames = [spark.createDataFrame(x, like) for x in (first, second)]
+    size = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        for day, (frame, step) in enumerate(zip(frames, (reader.prime, reader.consume))):
+            feeds.land(frame.unionByName(frame.limit(3)).withColumn(  # a repeated row is no change
+                keyed.SNAPSHOT_AT, F.lit(f"2001-01-0{day + 1} 00:00:00").cast("timestamp")), reader.landing_dir)
+            step()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+    want = [*[(i, p, v, "DELETE", False) for i, p, v in first if i % 5 == 0], (7, "new", 1, "INSERT", False)]
+    for i, p, v in first:
+        if i % 5 and i % 3 == 0:
+            want += [(i, p, v, "DELETE", True), (i, p, v + 1, "INSERT", True)]
+    got = [tuple(r) for r in reader.consumed().drop(changes.ROW_ID).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    assert _state_rows(spark, reader.checkpoint) == 3
+
+
 def test_refresh_processes_what_has_landed(spark, scratch):
     s, pipe = _pipe(spark, scratch)
     bronze = medallion.bronze_events(s.fact_order().filter("order_id % 40 = 1"), s.fact_order_item(), s.dim_menu_item())
