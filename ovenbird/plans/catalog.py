@@ -220,7 +220,7 @@ def q_gold_hourly(spark, sf_dir):
 def _gold_items(spark, sf_dir):
     s, _, silver = _layers(spark, sf_dir)
     return medallion.gold_item_performance(medallion.silver_order_items(silver), s.dim_location(),
-                                           s.dim_menu_item(), s.dim_category())
+                                           s.dim_menu_item(), s.dim_category(), lines=s.raw("lineitem").count())
 
 
 @register("gold_items")

@@ -1,6 +1,9 @@
 """Plan-shape guardrails for scale: no pairings, no multi-distinct expand,
 filters and column pruning reach the parquet scan, top-k stays top-k."""
 
+import datetime as dt
+from decimal import Decimal
+
 import pytest
 
 import __spark_entry__ as E
@@ -55,3 +58,31 @@ def test_external_scan_reads_other_folders_never(spark, scratch):
     assert sorted(map(tuple, scan.filter("partner = 'y'").collect())) == [(2, 20, "y", "y"), (3, None, "y", "y")]
     assert [tuple(r)[:3] for r in scan.filter("partner IS NULL").collect()] == [(4, 40, None)]
     assert len(scan.filter("partner = 'y'").select("id", "from_path").collect()) == 2
+
+
+def test_gold_items_in_partitions_by_lines(spark):
+    from ovenbird.operators.partitions import TASK_ROWS, by_rows
+    from ovenbird.plans import medallion
+    assert by_rows(spark.range(3), 2 * TASK_ROWS + 1, "id").rdd.getNumPartitions() == 3
+    assert by_rows(spark.range(0), 0, "id").rdd.getNumPartitions() == 1
+    day, other = dt.date(2001, 1, 1), None
+    items = spark.createDataFrame([(day, 1, 1, "a", 2, Decimal(4), 7), (day, 1, 1, "a", 3, Decimal(6), 7), (day, 1, 1, "a", None, None, 8),
+                                   (other, 1, 1, "a", 1, Decimal(2), 9), (day, 1, 2, "b", 1, Decimal(1), 7)],
+                                  "order_date date, location_id bigint, item_id bigint, item_name string, quantity int, "
+                                  "line_total decimal(10,2), order_id bigint")
+    locations = spark.createDataFrame([(1, "x")], "location_id bigint, location_name string")
+    menu = spark.createDataFrame([(i, 1, Decimal(2), Decimal(1)) for i in (1, 2, 2)],
+                                 "item_id bigint, category_id bigint, base_price decimal(8,2), cost_to_make decimal(8,2)")
+    categories = spark.createDataFrame([(1, "c")], "category_id bigint, category_name string")
+    plain, split = (medallion.gold_item_performance(items, locations, menu, categories, lines=n) for n in (None, 30 * TASK_ROWS))
+    assert sorted(plain.collect(), key=str) == sorted(split.collect(), key=str) and plain.count() == 3
+    plan = split._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(order_date" in plan and ", 30)" in plan
+
+
+def test_gold_items_query_counts_its_lines(spark, monkeypatch):
+    from ovenbird.plans import medallion
+    asked = []
+    monkeypatch.setattr(medallion, "by_rows", lambda df, rows, *keys: asked.append(rows) or df)
+    E.queries()["gold_items"](spark, SF)
+    assert asked == [spark.read.parquet(f"{SF}/lineitem.parquet").count()]
