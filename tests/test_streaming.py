@@ -270,6 +270,16 @@ def test_snapshots_of_many_keys_are_compared_together(spark, scratch):
     assert _state_rows(spark, reader.checkpoint) == 3
 
 
+def test_periods_are_refreshed_in_partitions_by_their_lines(spark, scratch, monkeypatch):
+    asked = []
+    monkeypatch.setattr(medallion, "by_rows", lambda df, rows, *keys: asked.append(rows) or df)
+    s, pipe = _pipe(spark, scratch)
+    bronze = medallion.bronze_events(s.fact_order().filter("order_id % 40 = 1"), s.fact_order_item(), s.dim_menu_item())
+    bronze.write.parquet(os.path.join(scratch, "bronze"))
+    pipe.start(os.path.join(scratch, "bronze"), bronze.schema, os.path.join(scratch, "ckpt")).awaitTermination()
+    assert asked == [pipe.silver_items().count()] and asked[0] > 0
+
+
 def test_refresh_processes_what_has_landed(spark, scratch):
     s, pipe = _pipe(spark, scratch)
     bronze = medallion.bronze_events(s.fact_order().filter("order_id % 40 = 1"), s.fact_order_item(), s.dim_menu_item())
