@@ -120,10 +120,11 @@ def silver_orders(bronze: DataFrame) -> DataFrame:
 
 def silver_order_items(silver: DataFrame) -> DataFrame:
     """Item rows of valid orders: one per array element, 1-based sequence.
-    Orders whose items are NULL or empty produce no rows (inner flatten)."""
-    s = silver.filter(F.col("is_valid_order"))
-    arr = F.try_variant_get(F.col("order_items"), "$", "array<variant>")
-    x = s.select("event_id", "order_id", "order_date", "location_id",
+    Orders whose items are NULL or empty produce no rows (inner flatten), nor do
+    invalid ones: as a filter, the condition would be pushed below the payload and
+    build it again for each field that it reads."""
+    arr = F.when(F.col("is_valid_order"), F.try_variant_get(F.col("order_items"), "$", "array<variant>"))
+    x = silver.select("event_id", "order_id", "order_date", "location_id",
                  F.posexplode(arr).alias("pos", "item"))
     v = F.col("item")
     qty = F.variant_get(v, "$.quantity", "int")

@@ -86,3 +86,19 @@ def test_gold_items_query_counts_its_lines(spark, monkeypatch):
     monkeypatch.setattr(medallion, "by_rows", lambda df, rows, *keys: asked.append(rows) or df)
     E.queries()["gold_items"](spark, SF)
     assert asked == [spark.read.parquet(f"{SF}/lineitem.parquet").count()]
+
+
+def test_colocated_payload_is_built_once(spark):
+    assert _plan(spark, "colocated_silver_items").count("VariantExpressionEvalUtils.parseJson") == 1
+
+
+def test_items_of_invalid_orders_are_left_out(spark):
+    from ovenbird.plans import medallion
+    texts = {"a": '{"order_id": 1, "total": 5, "items": [{"item_id": 7}]}', "b": '{"order_id": 2, "total": 0, "items": [{"item_id": 7}]}',
+             "c": '{"total": 5, "items": [{"item_id": 7}]}', "d": '{"order_id": 4, "items": [{"item_id": 8}, {"item_id": 9}]}',
+             "e": '{"order_id": 5, "total": 5, "items": {"item_id": 7}}', "f": '{"order_id": 6, "total": 5, "items": []}'}
+    bronze = spark.createDataFrame(list(texts.items()), "event_id string, text string").selectExpr(
+        "event_id", "timestamp_ntz '2001-01-01 00:00:00' AS event_timestamp", "'ORDER_PLACED' AS event_type",
+        "'DT-001' AS location_code", "parse_json(text) AS payload", "'WEB_APP' AS source_system")
+    got = medallion.silver_order_items(medallion.silver_orders(bronze)).select("event_id", "item_id", "item_sequence").collect()
+    assert sorted(map(tuple, got)) == [("a", 7, 1), ("d", 8, 1), ("d", 9, 2)]
