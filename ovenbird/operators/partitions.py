@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 TASK_ROWS = 100_000
 
 
-def by_rows(df: DataFrame, rows: int, *keys: str, task_rows: int = TASK_ROWS) -> DataFrame:
-    """``df`` of about ``rows`` rows in partitions by ``keys`` of about ``task_rows`` rows."""
-    return df.repartition(max(1, -(-rows // task_rows)), *keys)
+def by_rows(df: DataFrame, rows: int, *keys: str, task_rows: int = TASK_ROWS, least: int = 1) -> DataFrame:
+    """``df`` of about ``rows`` rows in partitions by ``keys`` of about ``task_rows`` rows,
+    and in ``least`` at least."""
+    return df.repartition(max(least, -(-rows // task_rows)), *keys)

@@ -505,7 +505,9 @@ def q_dq_checks(spark, sf_dir):
 def _json_inputs(spark, sf_dir) -> DataFrame:
     """Order JSON texts to validate: every bronze payload plus the event
     property texts (objects without order fields)."""
-    s, bronze, _ = _layers(spark, sf_dir)
+    s = Star(spark, sf_dir)
+    bronze = medallion.bronze_events(s.fact_order(), s.fact_order_item(), s.dim_menu_item(with_category=False),
+                                     lines=s.raw("lineitem").count())
     payloads = bronze.select(F.lit("bronze").alias("source"),
                              F.variant_get("payload", "$.order_id", "bigint").alias("record_id"),
                              json_text("payload").alias("order_json"))

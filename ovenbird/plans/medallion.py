@@ -38,23 +38,32 @@ def named_lines(items: DataFrame, menu: DataFrame) -> DataFrame:
     return items.join(menu.select("item_id", "item_name"), "item_id", "inner")
 
 
-def order_items_array(items: DataFrame, menu: DataFrame | None) -> DataFrame:
+def order_items_array(items: DataFrame, menu: DataFrame | None, lines: int | None = None) -> DataFrame:
     """Per order, the array of line objects (item_id, item_name, quantity,
     price), sorted so the array is repeatable.  Lines are grouped by order
     before the order join, which therefore stays one-to-one.  ``menu=None``:
-    ``items`` are ``named_lines`` stored by order, and are not shuffled."""
+    ``items`` are ``named_lines`` stored by order, and are not shuffled.
+    ``lines``: about how many lines there are, if the work on an order is long for
+    its bytes (payloads, their texts and rules) and should be dealt by rows."""
     # Hash-partition the lines by order first: collecting a list does not
     # shrink the data, so a map-side partial collect only adds work in the
     # scan tasks; the aggregate then reuses this partitioning (no second
     # exchange) and so does the join to the orders.
-    lines = items if menu is None else named_lines(items, menu).repartition("order_id")
-    return lines.groupBy("order_id").agg(
+    if menu is None:
+        by_order = items
+    elif lines is None:
+        by_order = named_lines(items, menu).repartition("order_id")
+    else:
+        # Not fewer partitions than the session's, or the join to the orders would shuffle again.
+        least = int(items.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        by_order = by_rows(named_lines(items, menu), lines, "order_id", least=least)
+    return by_order.groupBy("order_id").agg(
         F.sort_array(F.collect_list(F.struct(
             "item_id", "item_name", "quantity", F.col("unit_price").alias("price")))).alias("items"))
 
 
 def bronze_events(orders: DataFrame, items: DataFrame, menu: DataFrame | None, as_of: dt.date | None = None,
-                  days: int | None = None) -> DataFrame:
+                  days: int | None = None, lines: int | None = None) -> DataFrame:
     """One ORDER_PLACED event per order, of all orders or (``days``) of the last
     days before ``as_of``.
 
@@ -68,7 +77,7 @@ def bronze_events(orders: DataFrame, items: DataFrame, menu: DataFrame | None, a
         o = o.filter(F.col("order_timestamp") >= timefn.ts_lit(as_of - dt.timedelta(days=days)))
         # Only the window's lines are shuffled and collected.
         items = items.join(o.select("order_id"), "order_id", "left_semi")
-    o = o.join(order_items_array(items, menu), "order_id", "left")
+    o = o.join(order_items_array(items, menu, lines), "order_id", "left")
     payload = object_of(
         order_id=F.col("order_id"), customer_id=F.col("customer_id"),
         order_type=F.col("order_type"), subtotal=F.col("subtotal"), tax=F.col("tax_amount"),

@@ -102,3 +102,16 @@ def test_items_of_invalid_orders_are_left_out(spark):
         "'DT-001' AS location_code", "parse_json(text) AS payload", "'WEB_APP' AS source_system")
     got = medallion.silver_order_items(medallion.silver_orders(bronze)).select("event_id", "item_id", "item_sequence").collect()
     assert sorted(map(tuple, got)) == [("a", 7, 1), ("d", 8, 1), ("d", 9, 2)]
+
+
+def test_order_texts_are_dealt_by_lines(spark, monkeypatch):
+    from ovenbird.operators import partitions
+    from ovenbird.plans import medallion
+    asked = []
+    monkeypatch.setattr(medallion, "by_rows", lambda df, rows, *keys, **more: asked.append(rows) or partitions.by_rows(
+        df, rows, *keys, task_rows=100, **more))
+    plan = _plan(spark, "order_json_faults")
+    rows = spark.read.parquet(f"{SF}/lineitem.parquet").count()
+    assert asked == [rows]
+    # Both sides of the join to the orders: one shuffle each, in partitions by rows.
+    assert plan.count(f", {-(-rows // 100)})") == 2 and plan.count("Exchange hashpartitioning(order_id") == 2
